@@ -2,8 +2,8 @@
 
 Every function takes one text (or list) per row and returns one value per row, so none of them
 moves data.  A text is cut into word runs once; single-word terms are looked up in a hash set,
-and the few terms with blanks or punctuation are counted by a constant pattern, only where the
-text contains the term at all.
+and the few terms with blanks or punctuation are counted by a pattern, only in the texts that
+contain the term at all.
 """
 
 from __future__ import annotations
@@ -21,8 +21,13 @@ NON_WORDS = r"[^a-z0-9_\p{L}\p{N}]+"
 _WORD_CLASS = r"[\p{L}\p{N}_]"
 
 
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _strings(values: Sequence[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    """An array literal; parsed from text, as one call per element adds up for a dictionary."""
+    return F.expr(f"array({', '.join(map(_quoted, values))})").cast("array<string>")
 
 
 def term_hits(lowered: Column, dictionary: SkillDictionary) -> Column:
@@ -31,19 +36,20 @@ def term_hits(lowered: Column, dictionary: SkillDictionary) -> Column:
     if dictionary.words:
         words = list(dictionary.words)
         parts.append(F.filter(F.split(lowered, NON_WORDS), lambda t: t.isin(words)))
-    for term in dictionary.phrases:
-        pattern = F.lit(boundary_pattern(term, dictionary.boundary))
-        parts.append(
-            F.when(F.contains(lowered, F.lit(term)),
-                   F.array_repeat(F.lit(term), F.regexp_count(lowered, pattern)))
-            .otherwise(_strings([]))
-        )
+    if dictionary.phrases:
+        patterns = F.arrays_zip(
+            _strings(dictionary.phrases).alias("term"),
+            _strings([boundary_pattern(t, dictionary.boundary) for t in dictionary.phrases])
+            .alias("pattern"))
+        present = F.filter(patterns, lambda p: F.contains(lowered, p["term"]))
+        parts.append(F.flatten(F.transform(present, lambda p: F.array_repeat(
+            p["term"], F.regexp_count(lowered, p["pattern"])))))
     return F.concat(*parts)
 
 
 def display_name(term: Column, dictionary: SkillDictionary) -> Column:
-    pairs = [F.lit(x) for item in dictionary.display.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), term)
+    pairs = ", ".join(_quoted(x) for item in dictionary.display.items() for x in item)
+    return F.try_element_at(F.expr(f"map({pairs})"), term)
 
 
 def mentions(text: Column, dictionary: SkillDictionary) -> Column:

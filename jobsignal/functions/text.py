@@ -9,11 +9,11 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character that counts as white space in Unicode-aware text handling; Java's ``\s``
-# and ``trim`` only know the ASCII ones.
+# Every character that counts as white space in Unicode-aware text handling, and the same set
+# as a pattern; the Unicode form of ``\s`` leaves out the four separator controls.
 SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-SPACES = f"[{SPACE_CHARS}]+"
-NON_SPACES = f"[^{SPACE_CHARS}]+"
+SPACES = r"(?U)[\s\x1c-\x1f]+"
+NON_SPACES = r"(?U)[^\s\x1c-\x1f]+"
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -78,7 +78,7 @@ _BEYOND = 0x110000
 
 def _replaced_code_points() -> dict[int, str]:
     """Numeric references that stand for another character or for nothing."""
-    out = {0x00: "�", 0x0D: "\r"}
+    out = {0x00: "\ufffd", 0x0D: "\r"}
     for n in [*range(0x1, 0x9), 0xB, *range(0xE, 0x20), 0x7F, *range(0xFDD0, 0xFDF0)]:
         out[n] = ""
     for plane in range(0x11):
@@ -97,50 +97,45 @@ def _literal_map(pairs: dict[str, str]) -> Column:
 
 def _character(code: Column) -> Column:
     """The character of a valid code point, by way of its UTF-16 form."""
-
-    def unit(n: Column) -> Column:
-        return F.lpad(F.hex(n), 4, "0")
-
     above = code - F.lit(0x10000)
-    high = F.lit(0xD800) + F.shiftright(above, 10)
+    high = (F.lit(0xD800) + F.shiftright(above, 10)) * F.lit(0x10000)
     low = F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF))
-    units = F.when(code < 0x10000, unit(code)).otherwise(F.concat(unit(high), unit(low)))
+    units = F.when(code < 0x10000, F.lpad(F.hex(code), 4, "0")).otherwise(F.hex(high + low))
     return F.decode(F.unhex(units), "UTF-16BE")
 
 
 def _decode_number(code: Column) -> Column:
     replaced = _literal_map({str(n): c for n, c in _replaced_code_points().items()})
-    return (
-        F.when(code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("�"))
-        .otherwise(F.coalesce(F.try_element_at(replaced, code.cast("string")), _character(code)))
-    )
+    return bind(code, lambda n: (
+        F.when(n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("\ufffd"))
+        .otherwise(F.coalesce(F.try_element_at(replaced, n.cast("string")), _character(n)))
+    ))
 
 
 def _decode_reference(rest: Column) -> Column:
     """Decode ``rest``, the text between one ampersand and the next one."""
-    decimal = F.regexp_extract(rest, r"^#0*([0-9]*)", 1)
-    hexadecimal = F.regexp_extract(rest, r"^#[xX]0*([0-9a-fA-F]*)", 1)
+    decimal = F.regexp_extract(rest, r"^#0*([0-9]+)", 1)
+    hexadecimal = F.regexp_extract(rest, r"^#[xX]0*([0-9a-fA-F]+)", 1)
     closed = F.regexp_extract(rest, r"^([A-Za-z][A-Za-z0-9]*);", 1)
     bare = F.regexp_extract(rest, f"^({'|'.join(_BARE)})", 1)
 
     def number(digits: Column, base: int, limit: int) -> Column:
-        value = F.conv(F.concat(F.lit("0"), digits), base, 10).cast("long")
-        return F.when(F.length(digits) <= limit, value).otherwise(F.lit(_BEYOND))
-
-    def after(pattern: str) -> Column:
-        return F.regexp_replace(rest, pattern, "")
+        value = F.conv(F.when(F.length(digits) <= limit, digits), base, 10).cast("long")
+        return F.coalesce(value, F.lit(_BEYOND))
 
+    code = F.when(decimal != "", number(decimal, 10, 9)).otherwise(number(hexadecimal, 16, 7))
+    numeric = r"^#([0-9]+|[xX][0-9a-fA-F]+);?"
     return (
-        F.when(rest.rlike("^#[0-9]"),
-               F.concat(_decode_number(number(decimal, 10, 9)), after("^#[0-9]+;?")))
-        .when(rest.rlike("^#[xX][0-9a-fA-F]"),
-              F.concat(_decode_number(number(hexadecimal, 16, 7)), after("^#[xX][0-9a-fA-F]+;?")))
-        .otherwise(F.coalesce(
-            F.concat(F.try_element_at(_literal_map(_NAMED), closed), after("^[A-Za-z0-9]+;")),
-            F.concat(F.try_element_at(_literal_map({n: html5[n] for n in _BARE}), bare),
-                     F.substr(rest, F.length(bare) + 1)),
-            F.concat(F.lit("&"), rest),
-        ))
+        F.when(~F.startswith(rest, F.lit("#")), F.coalesce(
+            F.concat(F.try_element_at(_literal_map(_NAMED), closed),
+                     F.regexp_replace(rest, "^[A-Za-z0-9]+;", "")),
+            bind(bare, lambda b: F.concat(
+                F.try_element_at(_literal_map({n: html5[n] for n in _BARE}), b),
+                F.substr(rest, F.length(b) + 1))),
+            F.concat(F.lit("&"), rest)))
+        .when(rest.rlike(numeric),
+              F.concat(_decode_number(code), F.regexp_replace(rest, numeric, "")))
+        .otherwise(F.concat(F.lit("&"), rest))
     )
 
 

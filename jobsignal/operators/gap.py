@@ -70,9 +70,9 @@ def _bounded(profile: DataFrame, n: int) -> DataFrame:
     return F.broadcast(profile) if n <= INLINE_MARKET else profile
 
 
-def _by_key(market: DataFrame, n: int) -> DataFrame:
-    first = market_profile(market, n).where(F.col("rank") == F.col("key_rank"))
-    return _bounded(first, n)
+def _by_key(profile: DataFrame, n: int) -> DataFrame:
+    """The first market skill of every key, to be joined to resume skills."""
+    return _bounded(profile.where(F.col("rank") == F.col("key_rank")), n)
 
 
 def matching(resume_skills: DataFrame, market: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -80,20 +80,20 @@ def matching(resume_skills: DataFrame, market: DataFrame, n: int = TOP_N) -> Dat
 
     The skill is written as in the market; a skill listed twice matches twice.
     """
-    wanted = _by_key(market, n).select("key", F.col("skill").alias("market_skill"),
-                                       "demand_count")
+    wanted = _by_key(market_profile(market, n), n).select(
+        "key", F.col("skill").alias("market_skill"), "demand_count")
     return resume_skills.join(wanted, F.lower(F.col("skill")) == F.col("key")).select(
         "resume_id", "pos", F.col("market_skill").alias("skill"), "demand_count",
         F.lit("In Demand").alias("status"))
 
 
-def _covered(resume_skills: DataFrame, market: DataFrame, n: int) -> DataFrame:
+def _covered(resume_skills: DataFrame, profile: DataFrame, n: int) -> DataFrame:
     """Per resume: skill and match counts, and the ranks of the market skills it covers.
 
     A rank set has at most ``n`` members, whatever the length of the resume, and is built in
     every task before the shuffle.
     """
-    wanted = _by_key(market, n).select("key", "key_rank")
+    wanted = _by_key(profile, n).select("key", "key_rank")
     joined = resume_skills.join(wanted, F.lower(F.col("skill")) == F.col("key"), "left")
     return joined.groupBy("resume_id").agg(
         F.count("skill").alias("resume_skill_count"),
@@ -110,12 +110,11 @@ def _packed(profile: DataFrame) -> Column:
 
 def _uncovered(resume_skills: DataFrame, market: DataFrame, n: int) -> DataFrame:
     """One row per resume with ``missing``, the market skills it lacks, in rank order."""
-    per_resume = _covered(resume_skills, market, n)
-    entries = _packed(market_profile(market, n))
-    return per_resume.select(
-        "resume_id",
-        F.filter(entries, lambda e: ~F.array_contains("covered", e["key_rank"])).alias("missing"),
-    )
+    profile = market_profile(market, n)
+    per_resume = _covered(resume_skills, profile, n).select(
+        "*", _packed(profile).alias("market"))
+    return per_resume.select("resume_id", F.filter(
+        "market", lambda e: ~F.array_contains("covered", e["key_rank"])).alias("missing"))
 
 
 def missing(resume_skills: DataFrame, market: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -180,13 +179,14 @@ def learning_path(resume_skills: DataFrame, market: DataFrame, n: int = TOP_N,
 
 def summary(resume_skills: DataFrame, market: DataFrame, n: int = TOP_N) -> DataFrame:
     """One row per resume: counts, gap percentage (exact and rounded) and assessment."""
-    sizes = market_profile(market, n).groupBy("key_rank").agg(F.count("*").alias("names"))
-    packed = sizes.agg(
+    profile = market_profile(market, n)
+    sizes = profile.groupBy("key_rank").agg(F.count("*").alias("names"))
+    packed = sizes.agg(F.struct(
         F.coalesce(F.sum("names"), F.lit(0)).alias("size"),
         # Market names that differ only by case are covered together.
         F.collect_list(F.when(F.col("names") > 1, F.struct("key_rank", "names"))).alias("shared"),
-    ).scalar()
-    rows = _covered(resume_skills, market, n).select("*", packed.alias("m"))
+    )).scalar()
+    rows = _covered(resume_skills, profile, n).select("*", packed.alias("m"))
     extra = F.aggregate(
         F.filter("m.shared", lambda e: F.array_contains("covered", e["key_rank"])),
         F.lit(0).cast("long"), lambda acc, e: acc + e["names"] - 1)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from jobsignal.functions import rules
 from jobsignal.functions.text import (
-    blank_to, category_text, html_to_text, strip, unescape_html, visible_text,
+    bind, blank_to, category_text, html_to_text, strip, unescape_html, visible_text,
 )
 from jobsignal.operators.postings import first_k
 from jobsignal.schema import LANDED
@@ -216,66 +216,75 @@ def wellfound(landed: DataFrame, categories: Sequence[str], regions: Sequence[st
     blocks = F.transform(pieces(r"<div\b"),
                          lambda b: F.regexp_extract(b, r"(?is)^(.*?)(</div|\z)", 1))
     page = F.when(F.col("body").rlike(f"(?i)<div\\b[^>]*{CARD_MARK}"), marked).otherwise(blocks)
-    cards = _entries(landed, "wellfound", page).select(
-        "cycle", "request", "pos", "e", visible_text(F.col("e")).alias("card"))
-    cards = cards.where((F.length("card") >= SHORTEST_CARD)
-                        & rules.contains_category(F.col("card"), categories))
+    # Texts are made inside the list: a filter on a column that is computed after the generator
+    # would compute it once more.
+    cards = _entries(landed, "wellfound", F.transform(page, lambda html: bind(
+        visible_text(html),
+        lambda text: F.struct(
+            html.alias("html"), text.alias("text"),
+            F.regexp_extract(text, CARD_LOCATION, 1).alias("place")),
+    )))
+    location = F.when(F.col("e.place") == "", F.lit("Unknown")).otherwise(F.col("e.place"))
+    cards = cards.where(
+        (F.length("e.text") >= SHORTEST_CARD)
+        & rules.contains_category(F.col("e.text"), categories)
+        & rules.matches_region(location, regions))
 
     def element(names: str) -> Column:
         """Text of the first such element of the card, 'Unknown' without one."""
-        found = F.col("e").rlike(f"(?is)<({names})\\b")
-        inner = F.regexp_extract("e", f"(?is)<({names})\\b[^>]*>(.*?)</\\1\\s*>", 2)
+        found = F.col("e.html").rlike(f"(?is)<({names})\\b")
+        inner = F.regexp_extract("e.html", f"(?is)<({names})\\b[^>]*>(.*?)</\\1\\s*>", 2)
         return F.when(found, visible_text(inner)).otherwise(F.lit("Unknown"))
 
     link = unescape_html(F.regexp_extract(
-        "e", r"""(?is)<a\b[^>]*?\bhref\s*=\s*(["'])(.*?)\1""", 2))
-    location = F.regexp_extract("card", CARD_LOCATION, 1)
+        "e.html", r"""(?is)<a\b[^>]*?\bhref\s*=\s*(["'])(.*?)\1""", 2))
     rows = cards.select(
         "cycle", "request", "pos",
         *unified_schema(
             now if now is not None else iso_now(),
             title=element("h2|h3|a"),
             company=element("span"),
-            description=F.col("card"),
+            description=F.col("e.text"),
             source=F.lit("wellfound"),
-            location=F.when(location == "", F.lit("Unknown")).otherwise(location),
+            location=location,
             url=F.when(F.startswith(link, F.lit("/")), F.concat(F.lit(WELLFOUND_SITE), link))
             .otherwise(link),
-            is_remote=_says_remote(F.col("card")),
+            is_remote=_says_remote(F.col("e.text")),
         ),
-    ).where(rules.matches_region(F.col("location"), regions))
+    )
     return first_k(rows, WELLFOUND_POSTINGS, by=["cycle", "request"], order=["pos"])
 
 
 def hackernews(landed: DataFrame, categories: Sequence[str], regions: Sequence[str],
                now: Column | None = None) -> DataFrame:
     """Comments of a hiring thread; the first 80 that pass the filters."""
-    rows = _entries(landed, "hackernews", _parsed(
-        "struct<children:array<struct<id:string,text:string>>>")["children"])
-    comments = rows.select("cycle", "request", "pos", F.col("e.id").alias("id"),
-                           html_to_text(F.col("e.text")).alias("comment"))
-    comments = comments.where((F.col("comment") != "")
-                              & rules.contains_category(F.col("comment"), categories))
-    low = F.lower("comment")
+    children = _parsed("struct<children:array<struct<id:string,text:string>>>")["children"]
+    comments = _entries(landed, "hackernews", F.transform(children, lambda c: F.struct(
+        c["id"].alias("id"), html_to_text(c["text"]).alias("text"))))
+    text = F.col("e.text")
+    remote = _says_remote(text)
+    location = F.when(remote, F.lit("Remote")).otherwise(F.lit("Unknown"))
+    comments = comments.where((text != "") & rules.contains_category(text, categories)
+                              & rules.matches_region(location, regions))
+    low = F.lower(text)
     title = F.lit("Software Engineer")
     for name in reversed(list(categories)):
         phrase = rules.CATEGORY_QUERIES.get(name, name).title()
         title = F.when(F.contains(low, F.lit(name)), F.lit(phrase)).otherwise(title)
-    company = F.left(strip(F.substring_index("comment", "|", 1)), F.lit(80))
-    remote = _says_remote(F.col("comment"))
+    company = F.left(strip(F.substring_index(text, "|", 1)), F.lit(80))
     postings = comments.select(
         "cycle", "request", "pos",
         *unified_schema(
             now if now is not None else iso_now(),
             title=title,
             company=F.when(company == "", F.lit("Unknown")).otherwise(company),
-            description=F.col("comment"),
+            description=text,
             source=F.lit("hackernews"),
-            location=F.when(remote, F.lit("Remote")).otherwise(F.lit("Unknown")),
-            url=F.concat(F.lit(HACKERNEWS_ITEM), F.coalesce(F.col("id"), F.lit("None"))),
+            location=location,
+            url=F.concat(F.lit(HACKERNEWS_ITEM), F.coalesce(F.col("e.id"), F.lit("None"))),
             is_remote=remote,
         ),
-    ).where(rules.matches_region(F.col("location"), regions))
+    )
     return first_k(postings, HACKERNEWS_POSTINGS, by=["cycle", "request"], order=["pos"])
 
 

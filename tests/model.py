@@ -2,8 +2,6 @@
 
 import re
 
-SPACE_SPLIT = str.split
-
 
 def count_mentions(text, dictionary):
     low = (text or "").lower()

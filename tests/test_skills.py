@@ -124,7 +124,6 @@ def test_jaccard_edges(spark):
 @given(st.lists(st.text(alphabet="python java+c#.nét_9²İ \n-/", max_size=40), min_size=1,
                 max_size=40))
 def test_mentions_on_arbitrary_text(spark, texts):
-    # Lower-casing of a dotted capital I differs between the two languages by a combining dot.
     rows = frame(spark, texts).select("id", S.mention_map(F.col("text"), POSTINGS).alias("m"))
     for row in rows.collect():
         assert row["m"] == model.count_mentions(texts[row["id"]], POSTINGS)
