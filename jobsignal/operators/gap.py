@@ -133,8 +133,8 @@ def _missing_by_rank(resume_skills: DataFrame, market: DataFrame, n: int) -> Dat
     remains is joined to the market; all three steps are spread over (resume, rank).
     """
     profile = market_profile(market, n)
-    held = (resume_skills.join(profile, F.lower(F.col("skill")) == F.col("key"))
-            .select("resume_id", "rank").distinct())
+    held = (resume_skills.select("resume_id", F.lower("skill").alias("key"))
+            .join(profile.select("key", "rank"), "key").select("resume_id", "rank").distinct())
     size = F.coalesce(profile.agg(F.max("market_size")).scalar(), F.lit(0)).cast("int")
     ranks = F.when(size > 0, F.sequence(F.lit(0), size - 1))
     ids = resume_skills.select("resume_id").distinct()
