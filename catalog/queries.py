@@ -319,7 +319,7 @@ def streamed_demand(spark, sf):
     base = working_folder(spark, "stream")
     messages.publish(V.postings(spark, sf), "files", f"{base}/messages")
     store = DemandStore(spark, f"{base}/store")
-    stream = messages.message_stream(spark, "files", f"{base}/messages", maxFilesPerTrigger="3")
+    stream = messages.message_stream(spark, "files", f"{base}/messages", maxFilesPerTrigger="4")
     processor.start(stream, store, f"{base}/checkpoint", V.VOCABULARY, trigger=None,
                     name="streamed_demand").awaitTermination()
     return market.market_demand(store.skill_demand())

@@ -2,8 +2,8 @@
 
 Every function takes one text (or list) per row and returns one value per row, so none of them
 moves data.  A text is cut into word runs once; single-word terms are looked up in a hash set,
-and the few terms with blanks or punctuation are counted by a pattern, only in the texts that
-contain the term at all.
+and a term with blanks or punctuation is counted by a pattern, only in the texts that have its
+longest word and contain the term.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from jobsignal.dictionaries import SkillDictionary, boundary_pattern
 from jobsignal.functions.text import bind, blank_to
 
-# Listing the plain letters first lets the regex engine settle most characters by a bit set.
-NON_WORDS = r"[^a-z0-9_\p{L}\p{N}]+"
+# Runs of anything but letters, numbers and underscores.  The plain ``\W`` comes first because it
+# settles an ASCII letter with one look-up.
+NON_WORDS = r"[\W&&[^\p{L}\p{N}]]+"
 _WORD_CLASS = r"[\p{L}\p{N}_]"
 
 
@@ -32,19 +33,37 @@ def _strings(values: Sequence[str]) -> Column:
 
 def term_hits(lowered: Column, dictionary: SkillDictionary) -> Column:
     """All term occurrences in a lower-case text as array<string>, one element per mention."""
-    parts = []
-    if dictionary.words:
+    keys = dictionary.phrase_keys
+    wanted = list(dict.fromkeys([*dictionary.words, *filter(None, keys.values())]))
+    if not wanted:
+        return _phrase_hits(lowered, _strings([]), dictionary)
+
+    def hits(found: Column) -> Column:
+        if not keys:
+            return found
         words = list(dictionary.words)
-        parts.append(F.filter(F.split(lowered, NON_WORDS), lambda t: t.isin(words)))
-    if dictionary.phrases:
-        patterns = F.arrays_zip(
-            _strings(dictionary.phrases).alias("term"),
-            _strings([boundary_pattern(t, dictionary.boundary) for t in dictionary.phrases])
-            .alias("pattern"))
-        present = F.filter(patterns, lambda p: F.contains(lowered, p["term"]))
-        parts.append(F.flatten(F.transform(present, lambda p: F.array_repeat(
-            p["term"], F.regexp_count(lowered, p["pattern"])))))
-    return F.concat(*parts)
+        named = found if len(words) == len(wanted) else F.filter(found, lambda t: t.isin(words))
+        phrases = bind(F.array_distinct(found),
+                       lambda seen: _phrase_hits(lowered, seen, dictionary))
+        return F.concat(named, phrases) if words else phrases
+
+    return bind(F.filter(F.split(lowered, NON_WORDS), lambda t: t.isin(wanted)), hits)
+
+
+def _phrase_hits(lowered: Column, seen: Column, dictionary: SkillDictionary) -> Column:
+    """Occurrences of the terms that are not single words.
+
+    ``seen`` are the distinct words of the text.  A term is searched for only if its key word is
+    among them, and counted by its pattern only if the text contains it at all.
+    """
+    keys = dictionary.phrase_keys
+    patterns = [boundary_pattern(t, dictionary.boundary) for t in keys]
+    terms = F.arrays_zip(_strings(list(keys)).alias("term"), _strings(patterns).alias("pattern"),
+                         _strings(list(keys.values())).alias("word"))
+    present = F.filter(terms, lambda p: (
+        ((p["word"] == "") | F.array_contains(seen, p["word"])) & F.contains(lowered, p["term"])))
+    return F.flatten(F.transform(present, lambda p: F.array_repeat(
+        p["term"], F.regexp_count(lowered, p["pattern"]))))
 
 
 def display_name(term: Column, dictionary: SkillDictionary) -> Column:
@@ -134,13 +153,14 @@ def match_skills(text: Column, required: Sequence[str] | Column) -> Column:
 def _has_word(low: Column, term: Column) -> Column:
     """Whole-word test for a term that is itself a column; see ``boundary_pattern``."""
 
-    def edge(ch: Column, behind: str) -> Column:
-        return (F.when(ch.rlike(_WORD_CLASS), F.lit(f"(?{behind}!{_WORD_CLASS})"))
-                .otherwise(F.lit(f"(?{behind}={_WORD_CLASS})")))
-
     quoted = F.regexp_replace(term, r"([^\p{L}\p{N}_])", r"\\$1")
-    pattern = F.concat(edge(F.left(term, F.lit(1)), "<"), quoted,
-                       edge(F.right(term, F.lit(1)), ""))
+
+    def sign(ch: Column) -> Column:
+        return F.when(ch.rlike(_WORD_CLASS), F.lit("!")).otherwise(F.lit("="))
+
+    pattern = F.concat(
+        quoted, F.lit("(?"), sign(F.right(term, F.lit(1))), F.lit(f"{_WORD_CLASS})(?<"),
+        sign(F.left(term, F.lit(1))), F.lit(_WORD_CLASS), quoted, F.lit(")"))
     empty = low.rlike(_WORD_CLASS)  # an empty name is found next to any word
     return F.when(term == "", empty).otherwise(F.contains(low, term) & F.rlike(low, pattern))
 

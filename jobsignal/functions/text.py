@@ -10,10 +10,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Every character that counts as white space in Unicode-aware text handling, and the same set
-# as a pattern; the Unicode form of ``\s`` leaves out the four separator controls.
+# as a pattern.  The Unicode form of ``\s`` leaves out the four separator controls; the printable
+# ASCII characters are ruled out first because that settles most characters at once.
 SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-SPACES = r"(?U)[\s\x1c-\x1f]+"
-NON_SPACES = r"(?U)[^\s\x1c-\x1f]+"
+SPACES = r"(?U)[[^!-~]&&[\s\x1c-\x1f]]+"
 
 
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -31,7 +31,8 @@ def blank_to(text: Column, default: str) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(blank_to(text, ""), F.lit(NON_SPACES))
+    return bind(strip(blank_to(text, "")), lambda t: F.when(t == "", 0).otherwise(
+        F.size(F.split(t, SPACES))))
 
 
 def job_text(title: Column, description: Column) -> Column:
@@ -63,7 +64,7 @@ def html_to_text(html: Column) -> Column:
 
 def visible_text(html: Column) -> Column:
     """Like :func:`html_to_text`, without scripts, style sheets and comments."""
-    invisible = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->"
+    invisible = r"(?is)<(?:(script|style)\b.*?</\1\s*>|!--.*?-->)"
     return html_to_text(F.regexp_replace(blank_to(html, ""), invisible, " "))
 
 
@@ -112,31 +113,43 @@ def _decode_number(code: Column) -> Column:
     ))
 
 
-def _decode_reference(rest: Column) -> Column:
-    """Decode ``rest``, the text between one ampersand and the next one."""
+# No name is longer than this, so only the beginning of a text is searched for one.
+_LONGEST = max(map(len, html5)) + 1
+
+
+def _decode_name(rest: Column) -> Column:
+    head = F.left(rest, F.lit(_LONGEST))
+    closed = F.regexp_extract(head, "^([A-Za-z][A-Za-z0-9]*);", 1)
+    bare = F.regexp_extract(head, f"^({'|'.join(_BARE)})", 1)
+
+    def decoded(name: Column, known: dict[str, str], extra: int) -> Column:
+        return bind(name, lambda n: F.concat(F.try_element_at(_literal_map(known), n),
+                                             F.substr(rest, F.length(n) + 1 + extra)))
+
+    return F.coalesce(decoded(closed, _NAMED, 1), decoded(bare, {n: html5[n] for n in _BARE}, 0),
+                      F.concat(F.lit("&"), rest))
+
+
+def _decode_code(rest: Column) -> Column:
     decimal = F.regexp_extract(rest, r"^#0*([0-9]+)", 1)
     hexadecimal = F.regexp_extract(rest, r"^#[xX]0*([0-9a-fA-F]+)", 1)
-    closed = F.regexp_extract(rest, r"^([A-Za-z][A-Za-z0-9]*);", 1)
-    bare = F.regexp_extract(rest, f"^({'|'.join(_BARE)})", 1)
+    whole = F.regexp_extract(rest, r"^#([0-9]+|[xX][0-9a-fA-F]+);?", 0)
 
     def number(digits: Column, base: int, limit: int) -> Column:
         value = F.conv(F.when(F.length(digits) <= limit, digits), base, 10).cast("long")
         return F.coalesce(value, F.lit(_BEYOND))
 
     code = F.when(decimal != "", number(decimal, 10, 9)).otherwise(number(hexadecimal, 16, 7))
-    numeric = r"^#([0-9]+|[xX][0-9a-fA-F]+);?"
-    return (
-        F.when(~F.startswith(rest, F.lit("#")), F.coalesce(
-            F.concat(F.try_element_at(_literal_map(_NAMED), closed),
-                     F.regexp_replace(rest, "^[A-Za-z0-9]+;", "")),
-            bind(bare, lambda b: F.concat(
-                F.try_element_at(_literal_map({n: html5[n] for n in _BARE}), b),
-                F.substr(rest, F.length(b) + 1))),
-            F.concat(F.lit("&"), rest)))
-        .when(rest.rlike(numeric),
-              F.concat(_decode_number(code), F.regexp_replace(rest, numeric, "")))
-        .otherwise(F.concat(F.lit("&"), rest))
-    )
+    return bind(whole, lambda w: F.when(w == "", F.concat(F.lit("&"), rest)).otherwise(
+        F.concat(_decode_number(code), F.substr(rest, F.length(w) + 1))))
+
+
+def _decode_reference(rest: Column) -> Column:
+    """Decode ``rest``, the text between one ampersand and the next one."""
+    first = F.left(rest, F.lit(1))
+    return (F.when(first == "#", _decode_code(rest))
+            .when(first.between("A", "Z") | first.between("a", "z"), _decode_name(rest))
+            .otherwise(F.concat(F.lit("&"), rest)))
 
 
 def unescape_html(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,32 +21,30 @@ def skill_demand(texts: DataFrame, text: Column, dictionary: SkillDictionary,
 
     Each task sums its own mentions first, so it shuffles at most one row per group and term.
     """
-    hits = texts.select(*by, F.lower(blank_to(text, "")).alias("_low"))
-    hits = hits.select(*by, F.explode_outer(term_hits(F.col("_low"), dictionary)).alias("_term"))
-    return _count_terms(hits, dictionary, by)
+    return _count_terms(texts, F.lower(blank_to(text, "")), term_hits, dictionary, by)
 
 
 def fallback_demand(texts: DataFrame, text: Column, dictionary: SkillDictionary,
                     by: Sequence[str] = ()) -> DataFrame:
     """(*by, skill, count): number of texts that contain the term, inside words too."""
-    hits = texts.select(*by, F.lower(blank_to(text, "")).alias("_low"))
-    hits = hits.select(
-        *by, F.explode_outer(contained_terms(F.col("_low"), dictionary)).alias("_term"))
-    return _count_terms(hits, dictionary, by)
-
-
-def _count_terms(hits: DataFrame, dictionary: SkillDictionary, by: Sequence[str]) -> DataFrame:
-    counted = (hits.where(F.col("_term").isNotNull()).groupBy(*by, "_term")
-               .agg(F.count("*").alias("count")))
-    return counted.select(*by, display_name(F.col("_term"), dictionary).alias("skill"), "count")
+    return _count_terms(texts, F.lower(blank_to(text, "")), contained_terms, dictionary, by)
 
 
 def posting_demand(postings: DataFrame, dictionary: SkillDictionary,
                    fallback: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Demand over postings, searched in title and description."""
     text = job_text(F.col("title"), F.col("description"))
-    count = fallback_demand if fallback else skill_demand
-    return count(postings, text, dictionary, by)
+    return _count_terms(postings, text, contained_terms if fallback else term_hits, dictionary, by)
+
+
+def _count_terms(texts: DataFrame, lowered: Column,
+                 hits: Callable[[Column, SkillDictionary], Column],
+                 dictionary: SkillDictionary, by: Sequence[str]) -> DataFrame:
+    low = texts.select(*by, lowered.alias("_low"))
+    found = low.select(*by, F.explode_outer(hits(F.col("_low"), dictionary)).alias("_term"))
+    counted = (found.where(F.col("_term").isNotNull()).groupBy(*by, "_term")
+               .agg(F.count("*").alias("count")))
+    return counted.select(*by, display_name(F.col("_term"), dictionary).alias("skill"), "count")
 
 
 def market_demand(demand: DataFrame) -> DataFrame:
@@ -93,4 +91,5 @@ def market_skills(store: DemandStore, n: int = 50,
         return top_n(market_demand(store.skill_demand()), n), "parquet"
     if latest is not None:
         return top_n(latest, n), "in-memory"
-    return store.spark.createDataFrame([], "skill string, count bigint"), "none"
+    none = store.spark.range(0).select(F.lit("").alias("skill"), F.col("id").alias("count"))
+    return none, "none"

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobsignal.functions.rules import string_array
 from jobsignal.functions.text import blank_to, strip
 from jobsignal.schema import FEED_ORDER
 
@@ -78,6 +79,7 @@ def cycle_totals(fetched: DataFrame, sources: Sequence[str],
 def counts_by_source(fetched: DataFrame, sources: Sequence[str]) -> DataFrame:
     """(source, postings) for every requested source, 0 for those without rows."""
     found = fetched.groupBy("source").agg(F.count("*").alias("postings"))
-    asked = fetched.sparkSession.createDataFrame([(s,) for s in sources], "source string")
+    asked = fetched.sparkSession.range(1).select(
+        F.explode(string_array(sources)).alias("source"))
     return asked.join(found, "source", "left").select(
         "source", F.coalesce("postings", F.lit(0)).cast("long").alias("postings"))

@@ -21,7 +21,8 @@ def totals(raw_jobs: DataFrame, demand: DataFrame) -> DataFrame:
 
 def system_stats(store: DemandStore) -> DataFrame:
     """``totals`` of a store; 0 for a table that does not exist yet."""
-    none = store.spark.createDataFrame([], "skill string, count bigint, batch_id bigint")
+    none = store.spark.range(0).select(
+        F.lit("").alias("skill"), F.col("id").alias("count"), F.col("id").alias("batch_id"))
     raw = store.raw_jobs() if store.has_raw() else none
     return totals(raw, store.skill_demand() if store.has_demand() else none)
 

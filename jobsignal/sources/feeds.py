@@ -37,7 +37,7 @@ SHORTEST_CARD = 20
 REMOTEOK_JOB = "https://remoteok.com/remote-jobs/"
 WELLFOUND_SITE = "https://wellfound.com"
 HACKERNEWS_ITEM = "https://news.ycombinator.com/item?id="
-CARD_LOCATION = "(?i)(Remote|United States|UK|Europe|Germany|India|Canada)"
+CARD_LOCATIONS = ("Remote", "United States", "UK", "Europe", "Germany", "India", "Canada")
 CARD_MARK = 'data-test="JobSearchResult"'
 
 
@@ -220,30 +220,31 @@ def wellfound(landed: DataFrame, categories: Sequence[str], regions: Sequence[st
     # would compute it once more.
     cards = _entries(landed, "wellfound", F.transform(page, lambda html: bind(
         visible_text(html),
-        lambda text: F.struct(
-            html.alias("html"), text.alias("text"),
-            F.regexp_extract(text, CARD_LOCATION, 1).alias("place")),
+        lambda text: F.struct(html.alias("html"), text.alias("text"),
+                              _first_location(text).alias("place")),
     )))
-    location = F.when(F.col("e.place") == "", F.lit("Unknown")).otherwise(F.col("e.place"))
+    location = F.col("e.place")
     cards = cards.where(
         (F.length("e.text") >= SHORTEST_CARD)
         & rules.contains_category(F.col("e.text"), categories)
         & rules.matches_region(location, regions))
 
-    def element(names: str) -> Column:
-        """Text of the first such element of the card, 'Unknown' without one."""
+    def inner(names: str) -> Column:
+        """Content of the first such element of the card, 'Unknown' without one."""
         found = F.col("e.html").rlike(f"(?is)<({names})\\b")
-        inner = F.regexp_extract("e.html", f"(?is)<({names})\\b[^>]*>(.*?)</\\1\\s*>", 2)
-        return F.when(found, visible_text(inner)).otherwise(F.lit("Unknown"))
+        content = F.regexp_extract("e.html", f"(?is)<({names})\\b[^>]*>(.*?)</\\1\\s*>", 2)
+        return F.when(found, content).otherwise(F.lit("Unknown"))
 
+    cards = cards.withColumn("names", F.transform(
+        F.array(inner("h2|h3|a"), inner("span")), visible_text))
     link = unescape_html(F.regexp_extract(
         "e.html", r"""(?is)<a\b[^>]*?\bhref\s*=\s*(["'])(.*?)\1""", 2))
     rows = cards.select(
         "cycle", "request", "pos",
         *unified_schema(
             now if now is not None else iso_now(),
-            title=element("h2|h3|a"),
-            company=element("span"),
+            title=F.get("names", F.lit(0)),
+            company=F.get("names", F.lit(1)),
             description=F.col("e.text"),
             source=F.lit("wellfound"),
             location=location,
@@ -255,6 +256,15 @@ def wellfound(landed: DataFrame, categories: Sequence[str], regions: Sequence[st
     return first_k(rows, WELLFOUND_POSTINGS, by=["cycle", "request"], order=["pos"])
 
 
+def _first_location(text: Column) -> Column:
+    """The first place name in the text, as it is written there, else 'Unknown'."""
+    # Plain searches rule out most texts; the pattern has to look at every character.
+    named = bind(F.lower(text), lambda low: rules.any_of(
+        [F.contains(low, F.lit(n.lower())) for n in CARD_LOCATIONS]))
+    found = F.regexp_extract(text, f"(?i)({'|'.join(CARD_LOCATIONS)})", 1)
+    return F.coalesce(F.nullif(F.when(named, found), F.lit("")), F.lit("Unknown"))
+
+
 def hackernews(landed: DataFrame, categories: Sequence[str], regions: Sequence[str],
                now: Column | None = None) -> DataFrame:
     """Comments of a hiring thread; the first 80 that pass the filters."""

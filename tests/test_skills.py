@@ -44,6 +44,16 @@ def test_mentions_equal_the_word_boundary_search(spark, dictionary):
         assert row["l"] == sorted(expected)
 
 
+@pytest.mark.parametrize("terms", [["++", "+"], ["c++", "."], ["go"], ["machine learning", "api"]])
+def test_small_dictionaries(spark, terms):
+    texts = random_texts(300, seed=5)
+    d = SkillDictionary.titled(terms)
+    rows = frame(spark, texts).select("id", S.mention_map(F.col("text"), d).alias("m")).collect()
+    assert any(r["m"] for r in rows)
+    for row in rows:
+        assert row["m"] == model.count_mentions(texts[row["id"]], d)
+
+
 def test_demand_adds_up_mentions(spark):
     texts = random_texts(400, seed=3)
     expected = {}
