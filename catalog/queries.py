@@ -19,6 +19,7 @@ from jobsignal.plans.collection import collect
 from jobsignal.plans.resume_gap import gap_bundle as bundle
 from jobsignal.plans.resume_gap import resume_report as report
 from jobsignal.plans.status import system_stats
+from jobsignal.schema import LANDED
 from jobsignal.session import working_folder
 from jobsignal.sources import feeds, messages
 from jobsignal.sources.resumes import accepted_uploads
@@ -207,10 +208,6 @@ def _posting_row(df: DataFrame) -> DataFrame:
 _NOW = "2024-01-01T00:00:00+00:00"
 
 
-def _categories(spark: SparkSession) -> tuple[str, ...]:
-    return V.CATEGORIES
-
-
 def _feed(name: str, regions: tuple[str, ...] = V.REGIONS) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         adapter = feeds.ADAPTERS[name]
@@ -226,8 +223,13 @@ QUERIES["feed_hackernews"] = _feed("hackernews", ("global",))
 
 
 def _collection(spark: SparkSession, sf: str):
+    """A run over stored responses; every adapter reads the folder of its own feed only."""
+    folder = working_folder(spark, "landed")
+    responses = V.all_landed(spark, sf).repartition(16, "source", "request")
+    responses.write.partitionBy("source").parquet(folder)
     filters = CollectionFilters(V.CATEGORIES, V.REGIONS)
-    return collect(V.all_landed(spark, sf), filters, F.lit(_NOW))
+    landed = spark.read.schema(LANDED).parquet(folder)
+    return collect(landed, filters, F.lit(_NOW))
 
 
 @query

@@ -67,7 +67,8 @@ def parts_market(spark: SparkSession, sf_dir: str, fold: int | None = None) -> D
 
     ``fold`` keeps the remainder only, which spreads the skills over all priority tiers.
     """
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("n"))
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_partkey")
+    lines = lines.groupBy("l_partkey").agg(F.count("*").alias("n"))
     parts = table(spark, sf_dir, "part").select("p_partkey", part_skill().alias("skill"))
     sold = (lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .groupBy("skill").agg(F.sum("n").alias("count")))
@@ -76,7 +77,8 @@ def parts_market(spark: SparkSession, sf_dir: str, fold: int | None = None) -> D
 
 def buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(resume_id, pos, skill): customers and the part types and sizes they bought."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
+        "l_orderkey", "l_partkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", part_skill().alias("skill"))
     bought = (lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))

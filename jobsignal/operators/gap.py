@@ -233,16 +233,22 @@ def match_rate(resume_skills: DataFrame, market: DataFrame, n: int | None = None
 # Nested form --------------------------------------------------------------------------------
 
 
-def _match_list(skills: Column, entries: Column) -> Column:
-    """Market entries of the listed skills, in list order."""
+def _match_list(keys: Column, held: Column, entries: Column, entry_keys: Column) -> Column:
+    """Market entries of the listed skills, in list order; the first entry of a key counts.
 
-    def entry(skill: Column) -> Column:
-        return F.get(F.filter(entries, lambda e: e["key"] == F.lower(skill)), F.lit(0))
+    ``held`` are the distinct keys that the market has, already in list order, so a list without
+    repeated skills needs no second look.
+    """
+    listed = F.when(F.size(F.array_distinct(keys)) == F.size(keys), held).otherwise(
+        F.filter(keys, lambda k: F.array_contains(held, k)))
+
+    def match(key: Column) -> Column:
+        entry = F.element_at(entries, F.array_position(entry_keys, key).cast("int"))
+        return F.struct(entry["skill"].alias("skill"),
+                        entry["demand_count"].alias("demand_count"),
+                        F.lit("In Demand").alias("status"))
 
-    found = F.filter(F.transform(skills, entry), lambda e: e.isNotNull())
-    return F.transform(found, lambda e: F.struct(
-        e["skill"].alias("skill"), e["demand_count"].alias("demand_count"),
-        F.lit("In Demand").alias("status")))
+    return F.transform(listed, match)
 
 
 def analyze(resumes: DataFrame, market: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -257,10 +263,13 @@ def analyze(resumes: DataFrame, market: DataFrame, n: int = TOP_N) -> DataFrame:
     entries = _packed(market_profile(market, n))
     lists = resumes.select(
         "*", entries.alias("_market"), F.transform("skills", F.lower).alias("_keys"))
+    lists = lists.select("*", F.transform("_market", lambda e: e["key"]).alias("_market_keys"))
+    lists = lists.select("*", F.array_intersect("_keys", "_market_keys").alias("_held"))
     lists = lists.select(
         "*",
-        _match_list(F.col("skills"), F.col("_market")).alias("matching_skills"),
-        F.filter("_market", lambda e: ~F.array_contains("_keys", e["key"])).alias("_missing"),
+        _match_list(*map(F.col, ("_keys", "_held", "_market", "_market_keys")))
+        .alias("matching_skills"),
+        F.filter("_market", lambda e: ~F.array_contains("_held", e["key"])).alias("_missing"),
     )
     gap = percentage(F.size("_missing"), F.size("_market"))
     report = lists.select(
