@@ -37,7 +37,8 @@ def first_line(text: str = "text") -> Column:
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as postings; ``doc_id`` is the feed order."""
-    stamp = F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id")),
+    posted = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id"))
+    stamp = F.date_format(F.to_utc_timestamp(posted, F.current_timezone()),
                           "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     return documents(spark, sf_dir).select(
         "doc_id",
