@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from jobsignal.dictionaries import POSTINGS, RESUMES, SkillDictionary
 from jobsignal.session import spread
@@ -23,8 +24,15 @@ SMALL_PAYLOAD = 64
 LARGE_PAYLOAD = 128
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is looked up in the file once, which takes a job of its own."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
