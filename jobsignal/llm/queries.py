@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 from jobsignal.llm.byte_bpe import op10_byte_bpe
+from jobsignal.llm.secrets import op1_secret_scan
+from jobsignal.llm.token_files import op5_token_files
 
 QUERIES = {f.__name__: f for f in (
+    op1_secret_scan,
+    op5_token_files,
     op10_byte_bpe,
 )}
 ORACLE_SQL: dict[str, str] = {}
