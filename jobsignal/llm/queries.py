@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from jobsignal.llm.byte_bpe import op10_byte_bpe
+from jobsignal.llm.mixing import op7_block_mixing
 from jobsignal.llm.repetition import op4_suffix_repetition
 from jobsignal.llm.secrets import op1_secret_scan
 from jobsignal.llm.simhash import op8_simhash_groups
@@ -12,6 +13,7 @@ QUERIES = {f.__name__: f for f in (
     op1_secret_scan,
     op4_suffix_repetition,
     op5_token_files,
+    op7_block_mixing,
     op8_simhash_groups,
     op10_byte_bpe,
 )}
