@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from jobsignal.llm import licenses
 from jobsignal.llm.byte_bpe import op10_byte_bpe
+from jobsignal.llm.licenses import op3_license_scan
 from jobsignal.llm.mixing import op7_block_mixing
+from jobsignal.llm.pii import op9_weak_pii
 from jobsignal.llm.repetition import op4_suffix_repetition
 from jobsignal.llm.secrets import op1_secret_scan
 from jobsignal.llm.simhash import op8_simhash_groups
@@ -11,10 +14,14 @@ from jobsignal.llm.token_files import op5_token_files
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan,
+    op3_license_scan,
     op4_suffix_repetition,
     op5_token_files,
     op7_block_mixing,
     op8_simhash_groups,
+    op9_weak_pii,
     op10_byte_bpe,
 )}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_license_scan": licenses.SQL,
+}
