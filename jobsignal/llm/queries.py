@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from jobsignal.llm import licenses
+from jobsignal.llm import embeddings, licenses
 from jobsignal.llm.byte_bpe import op10_byte_bpe
+from jobsignal.llm.embeddings import op2_rotated_codes
 from jobsignal.llm.licenses import op3_license_scan
 from jobsignal.llm.mixing import op7_block_mixing
 from jobsignal.llm.pii import op9_weak_pii
@@ -14,6 +15,7 @@ from jobsignal.llm.token_files import op5_token_files
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan,
+    op2_rotated_codes,
     op3_license_scan,
     op4_suffix_repetition,
     op5_token_files,
@@ -23,5 +25,6 @@ QUERIES = {f.__name__: f for f in (
     op10_byte_bpe,
 )}
 ORACLE_SQL: dict[str, str] = {
+    "op2_rotated_codes": embeddings.SQL,
     "op3_license_scan": licenses.SQL,
 }
