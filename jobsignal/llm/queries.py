@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobsignal.llm import embeddings, licenses
+from jobsignal.llm import embeddings, licenses, url_trust
 from jobsignal.llm.byte_bpe import op10_byte_bpe
 from jobsignal.llm.embeddings import op2_rotated_codes
 from jobsignal.llm.licenses import op3_license_scan
@@ -12,6 +12,7 @@ from jobsignal.llm.repetition import op4_suffix_repetition
 from jobsignal.llm.secrets import op1_secret_scan
 from jobsignal.llm.simhash import op8_simhash_groups
 from jobsignal.llm.token_files import op5_token_files
+from jobsignal.llm.url_trust import op6_host_trust
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan,
@@ -19,6 +20,7 @@ QUERIES = {f.__name__: f for f in (
     op3_license_scan,
     op4_suffix_repetition,
     op5_token_files,
+    op6_host_trust,
     op7_block_mixing,
     op8_simhash_groups,
     op9_weak_pii,
@@ -27,4 +29,5 @@ QUERIES = {f.__name__: f for f in (
 ORACLE_SQL: dict[str, str] = {
     "op2_rotated_codes": embeddings.SQL,
     "op3_license_scan": licenses.SQL,
+    "op6_host_trust": url_trust.SQL,
 }
