@@ -10,6 +10,7 @@ were drawn twice.  Blocks and slots meet in a join on source and block number.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from jobsignal.llm.tables import running_total, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
+_WORD = re.compile(WORD)
 
 
 @dataclass(frozen=True)
@@ -227,6 +229,34 @@ def taken(docs: DataFrame, targets: DataFrame, pieces: DataFrame) -> DataFrame:
         .select("doc_id", "size", "source_size", "target", F.col("taken").cast("long"))
 
 
+def word_ranges(text: Column, ranges: Column) -> Column:
+    """The parts of a text between words, from `first` to before `last` of each range, in order.
+
+    Adjoining ranges keep what stands between them; others are set off by a line break.  Ranges
+    that hold all words give the whole text.
+    """
+
+    @F.arrow_udf("string")
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, lists in batches:
+            out = []
+            for x, wanted in zip(texts, lists):
+                s, joined = x.as_py() or "", []
+                for r in wanted.as_py() or []:
+                    if joined and joined[-1][1] == r["first"]:
+                        joined[-1][1] = r["last"]
+                    else:
+                        joined.append([r["first"], r["last"]])
+                words = [m.span() for m in _WORD.finditer(s)]
+                if joined == [[0, len(words)]]:
+                    out.append(s)
+                else:
+                    out.append("\n".join(s[words[a][0]:words[b - 1][1]] for a, b in joined))
+            yield pa.array(out, pa.string())
+
+    return cut(text, ranges)
+
+
 def op7_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of each of the `documents`.
 

@@ -277,22 +277,36 @@ def accepted(patterns: dict[str, int], threshold: float = 0.5) -> list[str]:
                   if 1 / (1 + math.exp(-float(features(p) @ weights))) >= threshold)
 
 
-def detected(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:
-    """`key` and `spans` (kind, start, end) of every row of `df`.
+def accepted_counts(found: DataFrame) -> list[str]:
+    """The accepted patterns of `found`, a table with a column `proposed`.
 
-    Texts are read once; the proposed spans are written down and counted by pattern.  A pattern has
-    one of a fixed number of forms, so that the counts that the driver fetches are bounded,
-    whatever the corpus.  A null text is empty.
+    A pattern has one of a fixed number of forms, so that the counts that the driver fetches are
+    bounded, whatever the corpus.
     """
-    found = stored(df.select(*key, proposed(F.col(text)).alias("proposed")), "proposed")
     counts = found.select(F.explode("proposed.pattern").alias("pattern")) \
         .groupBy("pattern").count().orderBy("pattern").collect()
-    patterns = {r["pattern"]: r["count"] for r in counts}
-    good = accepted(patterns)
-    stays = F.filter("proposed", lambda s: s["kind"].isin(list(BASE)) | s["pattern"].isin(good))
-    return found.select(*key, F.transform(stays, lambda s: F.struct(
+    return accepted({r["pattern"]: r["count"] for r in counts})
+
+
+def accepted_patterns(df: DataFrame, text: str = "text") -> list[str]:
+    """The accepted patterns of all texts of `df`."""
+    return accepted_counts(df.select(proposed(F.col(text)).alias("proposed")))
+
+
+def spans_of(proposed: Column, good: list[str]) -> Column:
+    """Of the proposed spans those of base kinds and of accepted patterns (kind, start, end)."""
+    stays = F.filter(proposed, lambda s: s["kind"].isin(list(BASE)) | s["pattern"].isin(good))
+    return F.transform(stays, lambda s: F.struct(
         s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-        .alias("spans"))
+
+
+def detected(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+    """`key` and `spans` (kind, start, end) of every row of `df`; a null text is empty.
+
+    Texts are read once: the proposed spans are written down, counted and judged.
+    """
+    found = stored(df.select(*key, proposed(F.col(text)).alias("proposed")), "proposed")
+    return found.select(*key, spans_of(F.col("proposed"), accepted_counts(found)).alias("spans"))
 
 
 def redacted(text: Column, spans: Column) -> Column:

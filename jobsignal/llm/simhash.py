@@ -216,7 +216,8 @@ def grouped(df: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     Rows with the same fingerprint are one vertex, represented by their smallest doc_id, so that
     copies are never paired.  A null text is an empty one; texts without words have fingerprint 0.
-    Rows without doc_id are linked with nothing and have no component_id.
+    Rows without doc_id are linked with nothing and have no component_id; rows with the same doc_id
+    are the same vertex.
     """
     prints = stored(df.select(F.col("doc_id").cast("long").alias("doc_id"),
                               fingerprints(F.col("text")).alias("print")), "fingerprints")
