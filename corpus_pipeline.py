@@ -35,20 +35,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the row whose doc_id names the group.
+    """One document of each SimHash group: the one whose doc_id names the group.
 
-    Rows without doc_id belong to no group and stay.  Of repeated rows of that doc_id the one with
-    the smallest fingerprint, and then of equal rows any one, stays.
+    Rows without doc_id belong to no group and stay.  Of rows that repeat that doc_id the first by
+    text, lang, source and n_chars stays.
     """
     docs = _documents(docs)
-    groups = simhash.grouped(docs)
-    leaders = groups.filter("doc_id = component_id").groupBy("doc_id") \
-        .agg(F.min("print").alias("print"))
-    own = docs.withColumn("_print", simhash.fingerprints(F.col("text")))
-    named = own.filter("doc_id IS NOT NULL") \
-        .join(leaders.withColumnRenamed("print", "_first").hint("shuffle_hash"), "doc_id") \
-        .filter(F.col("_print") == F.col("_first")).drop("_print", "_first")
-    once = named.dropDuplicates(["doc_id"])
+    leaders = simhash.grouped(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(leaders.hint("shuffle_hash"), "doc_id", "left_semi")
+    once = named.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")) \
+        .select("doc_id", "row.*")
     return _documents(once.unionByName(docs.filter("doc_id IS NULL")))
 
 
