@@ -31,8 +31,8 @@ class Search:
     """`error` is the number of standard deviations of the estimate that its bound allows for."""
 
     cosine: float = 0.9
-    recall: float = 0.995
-    bucket: int = 256
+    recall: float = 0.9995
+    bucket: int = 1024
     block: int = 1024
     error: float = 5.0
     seed: int = 42

@@ -213,24 +213,28 @@ def proposed(text: Column) -> Column:
 def estimate(patterns: dict[str, int], rounds: int = 50) -> dict[str, float]:
     """How likely each vote pattern is personal data, by expectation-maximisation.
 
-    Two classes, independent labelers.  A labeler's yes and no are counted within each class, with
-    a few more counts for being right, so that classes can't change places; silence says nothing.
+    Two classes, independent labelers.  Within each class a labeler's answers, yes, no or nothing,
+    are counted, with a few more counts for being right, so that the classes can't change places.
     Each kind has a share of personal data of its own.
     """
     keys = list(patterns)
     n = np.array([patterns[k] for k in keys], float)
     kind = np.array([KINDS.index(k.split(":")[0]) for k in keys])
-    said = np.array([[{"1": 1, "0": 0, "-": -1}[c] for c in k.split(":")[1]] for k in keys])
-    yes, no = said == 1, said == 0
-    right = 1 / (1 + np.exp(-1.5 * (yes.sum(1) - no.sum(1) - 0.5)))
+    said = np.array([["10-".index(c) for c in k.split(":")[1]] for k in keys])
+    answers = said[:, :, None] == np.arange(3)
+    yes, no = answers[:, :, 0].sum(1), answers[:, :, 1].sum(1)
+    right = 1 / (1 + np.exp(-1.5 * (yes - no - 0.5)))
+    true_more, false_more = np.array([8.0, 1.0, 8.0]), np.array([1.0, 8.0, 8.0])
     for _ in range(rounds):
         w, v = n * right, n * (1 - right)
         share = np.array([(w[kind == k].sum() + 1) / (n[kind == k].sum() + 2)
                           for k in range(len(KINDS))])
-        hit = ((w[:, None] * yes).sum(0) + 8) / ((w[:, None] * (yes | no)).sum(0) + 10)
-        slip = ((v[:, None] * yes).sum(0) + 2) / ((v[:, None] * (yes | no)).sum(0) + 10)
-        odds = np.log(share[kind] / (1 - share[kind])) + yes @ np.log(hit / slip) \
-            + no @ np.log((1 - hit) / (1 - slip))
+        true = (w[:, None, None] * answers).sum(0) + true_more
+        false = (v[:, None, None] * answers).sum(0) + false_more
+        true /= true.sum(1, keepdims=True)
+        false /= false.sum(1, keepdims=True)
+        odds = np.log(share[kind] / (1 - share[kind])) + \
+            (answers * np.log(true / false)).sum((1, 2))
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         if np.abs(new - right).max() < 1e-9:
             break
