@@ -152,7 +152,7 @@ FEED_SQL = {
                lang AS tags, true AS is_remote, text AS description
         FROM (SELECT *, CASE WHEN doc_id % 5 <> 0 THEN first_line ELSE 'Unknown' END AS title,
                      coalesce(place, 'Remote') AS location FROM {_docs(V.SMALL_PAYLOAD)})
-        WHERE pos BETWEEN 1 AND 50
+        WHERE pos >= 1
           AND {has_category("lower(title || ' ' || text || ' ' || lang)", phrases=R.CATEGORY_QUERIES)}""",
     "arbeitnow": f"""
         SELECT cycle, 'arbeitnow' AS source, request, pos, first_line AS title,
@@ -162,38 +162,34 @@ FEED_SQL = {
         FROM (SELECT *, coalesce(place, 'Unknown') AS location,
                      CASE WHEN doc_id % 3 <> 0 THEN lang ELSE '' END AS tags
               FROM {_docs(V.LARGE_PAYLOAD)})
-        WHERE pos < 100 AND {has_category("lower(first_line || ' ' || text || ' ' || tags)", phrases=R.CATEGORY_QUERIES)}
+        WHERE {has_category("lower(first_line || ' ' || text || ' ' || tags)", phrases=R.CATEGORY_QUERIES)}
           AND {in_region("location", V.REGIONS)}""",
     "wellfound": f"""
         SELECT cycle, 'wellfound' AS source, request, pos, title, company, location,
                NULL::VARCHAR AS salary, 'https://wellfound.com/jobs/' || doc_id || '?a=1&b=2' AS url,
                '' AS tags, contains(lower(card), 'remote') AS is_remote, card AS description
-        FROM (SELECT *, row_number() OVER (PARTITION BY request ORDER BY pos) AS k
-          FROM (SELECT *, coalesce(nullif(regexp_extract(card, {lit(R'(?i)(Remote|United States|UK|Europe|Germany|India|Canada)')}, 1), ''), 'Unknown') AS location
+        FROM (SELECT * FROM (SELECT *, coalesce(nullif(regexp_extract(card, {lit(R'(?i)(Remote|United States|UK|Europe|Germany|India|Canada)')}, 1), ''), 'Unknown') AS location
             FROM (SELECT *, {strip(f"regexp_replace(first_line, {SPACES}, ' ', 'g')")} AS title,
                   CASE WHEN doc_id % 4 <> 0 THEN source ELSE 'Unknown' END AS company,
                   {strip(f"regexp_replace(' ' || first_line || ' ' || CASE WHEN doc_id % 4 <> 0 THEN ' ' || source || ' ' ELSE '' END || ' ' || coalesce(place, '-') || ' ' || text, {SPACES}, ' ', 'g')")} AS card
                   FROM {_docs(V.LARGE_PAYLOAD)}))
           WHERE length(card) >= 20 AND {has_category("lower(card)", phrases=R.CATEGORY_QUERIES)}
-            AND {in_region("location", V.REGIONS)})
-        WHERE k <= 40""",
+            AND {in_region("location", V.REGIONS)})""",
     "hackernews": f"""
         SELECT cycle, 'hackernews' AS source, request, pos,
                CASE WHEN contains(lower(comment), 'that') THEN 'That'
                     WHEN contains(lower(comment), 'rest of') THEN 'Rest Of'
                     ELSE 'Software Engineer' END AS title,
-               coalesce(nullif(left({strip("split_part(comment, '|', 1)")}, 80), ''), 'Unknown') AS company,
+               coalesce(nullif({strip("split_part(comment, '|', 1)")}, ''), 'Unknown') AS company,
                location, NULL::VARCHAR AS salary,
                'https://news.ycombinator.com/item?id=' || page_id AS url, '' AS tags,
                location = 'Remote' AS is_remote, comment AS description
-        FROM (SELECT *, row_number() OVER (PARTITION BY request ORDER BY pos) AS k
-          FROM (SELECT *, CASE WHEN contains(lower(comment), 'remote') THEN 'Remote'
+        FROM (SELECT * FROM (SELECT *, CASE WHEN contains(lower(comment), 'remote') THEN 'Remote'
                                ELSE 'Unknown' END AS location
                 FROM (SELECT *, {html_text("'<b>' || url || '</b> | ' || html")} AS comment
                       FROM ({_entry(V.LARGE_PAYLOAD, "pages", "page_id")}) WHERE page_id % 9 <> 0))
           WHERE comment <> '' AND {has_category("lower(comment)", phrases=R.CATEGORY_QUERIES)}
-            AND {in_region("location", ("global",))})
-        WHERE k <= 80""",
+            AND {in_region("location", ("global",))})""",
     "adzuna": f"""
         SELECT cycle, 'adzuna' AS source, request, pos, first_line AS title,
                CASE WHEN doc_id % 4 <> 0 THEN source ELSE 'Unknown' END AS company,
@@ -210,7 +206,7 @@ FEED_SQL = {
                     ELSE '' END AS location,
                NULL::VARCHAR AS salary, '/j/' || doc_id AS url, query AS tags,
                doc_id % 2 = 0 AS is_remote, text AS description
-        FROM {_docs(V.SMALL_PAYLOAD)} WHERE pos < 30""",
+        FROM {_docs(V.SMALL_PAYLOAD)}""",
 }
 
 
@@ -492,7 +488,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT resume_id, matches, resume_skill_count, match_ratio,
                    round_even(match_ratio, 2)::DOUBLE AS match_rate FROM rated""",
         "gap_match_rate_whole_market": f"""WITH {gap()},
-            served AS (SELECT * FROM market WHERE count % 3 <> 0), {MATCH_RATE}
+            served AS (SELECT * FROM ({SOLD})), {MATCH_RATE}
             SELECT resume_id, matches, resume_skill_count, match_ratio,
                    round_even(match_ratio, 2)::DOUBLE AS match_rate FROM rated""",
         "gap_bundle": f"""WITH {gap()}, {PATH},
@@ -529,7 +525,7 @@ def oracle_sql() -> dict[str, str]:
             FROM conversations c LEFT JOIN have h USING (conv_id, turn)
                  LEFT JOIN top t ON t.skill = h.skill GROUP BY 1, 2""",
         "resume_skills": "WITH " + mentions(
-            "SELECT conv_id, lower(text) AS low FROM conversations WHERE role = 'user'", "conv_id",
+            "SELECT conv_id, lower(text) AS low FROM conversations", "conv_id",
             V.RESUME_TERMS) + """
             SELECT conv_id, string_agg(DISTINCT skill, '|' ORDER BY skill) AS skills
             FROM mention GROUP BY 1""",

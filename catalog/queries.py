@@ -129,7 +129,7 @@ QUERIES["word_count"] = QUERIES.pop("word_count_per_doc")
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
-    return V.spread(V.table(spark, sf, "pages"), "page_id")
+    return V.table(spark, sf, "pages")
 
 
 @query
@@ -400,8 +400,7 @@ def gap_match_rate(spark, sf):
 
 @query
 def gap_match_rate_whole_market(spark, sf):
-    whole = V.parts_market(spark, sf, FOLD).where(F.col("count") % 3 != 0)
-    return gap.match_rate(V.buyers(spark, sf), whole)
+    return gap.match_rate(V.buyers(spark, sf), V.parts_market(spark, sf))
 
 
 def _named(array: str, *parts: str) -> Column:
@@ -450,9 +449,8 @@ def _entities(rows: DataFrame) -> DataFrame:
 
 @query
 def resume_skills(spark, sf):
-    """Skills named in the user's turns of every conversation."""
-    asked = V.turns(spark, sf).where(F.col("role") == "user")
-    named = extraction.keyword_skills(asked, ["conv_id"], F.col("text"), V.RESUME_TERMS)
+    """Skills named in all turns of every conversation."""
+    named = extraction.keyword_skills(V.turns(spark, sf), ["conv_id"], F.col("text"), V.RESUME_TERMS)
     return extraction.merge_skills([named], ["conv_id"]).select(
         "conv_id", joined("skills").alias("skills"))
 

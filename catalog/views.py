@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from jobsignal.dictionaries import POSTINGS, RESUMES, SkillDictionary
-from jobsignal.session import spread
 
-# Frequent words and phrases of the invented prose, next to two real skill names.
+# Frequent words and phrases of the invented prose, next to two real skill names; more of them
+# than any top list is long.
 TEXT_TERMS = SkillDictionary.titled(
-    ["that", "with", "this", "from", "rest", "apache", "of the", "in the"])
+    ["that", "with", "this", "from", "rest", "apache", "of the", "in the", "the", "and", "for",
+     "was", "are", "les", "des", "qui", "pour", "par", "und", "der", "die", "das", "mit", "ein",
+     "los", "las", "que", "con", "una"])
 VOCABULARY = SkillDictionary({**POSTINGS.display, **TEXT_TERMS.display})
 RESUME_TERMS = SkillDictionary({
     **RESUMES.display,
@@ -36,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def first_line(text: str = "text") -> Column:
@@ -64,7 +66,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "conversations"), "conv_id")
+    return table(spark, sf_dir, "conversations")
 
 
 def part_skill() -> Column:
@@ -76,7 +78,7 @@ def parts_market(spark: SparkSession, sf_dir: str, fold: int | None = None) -> D
 
     ``fold`` keeps the remainder only, which spreads the skills over all priority tiers.
     """
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_partkey")
+    lines = table(spark, sf_dir, "lineitem")
     lines = lines.groupBy("l_partkey").agg(F.count("*").alias("n"))
     parts = table(spark, sf_dir, "part").select("p_partkey", part_skill().alias("skill"))
     sold = (lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -86,7 +88,7 @@ def parts_market(spark: SparkSession, sf_dir: str, fold: int | None = None) -> D
 
 def buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(resume_id, pos, skill): customers and the part types and sizes they bought."""
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
+    lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", part_skill().alias("skill"))

@@ -41,13 +41,18 @@ REGION_TOKENS = (
 )
 
 # --- fixed values: wording of the gap report ------------------------------------------------
+# The placeholders are the skill and its demand.
 RECOMMENDATIONS = {
-    "High": ("Highly recommended - ", " is mentioned in many job postings (",
-             " times). Learning this skill could significantly improve your job prospects."),
-    "Medium": ("Consider learning - ", " appears regularly in job postings (",
-               " times) and would be a valuable addition."),
-    "Low": ("Optional skill - ", " is mentioned in some positions (",
-            " times). Nice to have but not critical."),
+    "High": "Highly recommended - %s is mentioned in many job postings (%d times). "
+            "Learning this skill could significantly improve your job prospects.",
+    "Medium": "Consider learning - %s appears regularly in job postings (%d times) "
+              "and would be a valuable addition.",
+    "Low": "Optional skill - %s is mentioned in some positions (%d times). "
+           "Nice to have but not critical.",
+}
+LEARNING_REASONS = {
+    "High": "High market demand (%d mentions)",
+    "Medium": "Growing demand (%d mentions)",
 }
 EXCELLENT = "Excellent! Your skills are well-aligned with market demand."
 GOOD = "Good skill set! Some areas for improvement identified."
@@ -137,16 +142,14 @@ def priority(demand: Column, market_size: Column) -> Column:
 
 def recommendation(skill: Column, tier: Column, demand: Column) -> Column:
     out = F.lit(None).cast("string")
-    for name, (before, between, after) in RECOMMENDATIONS.items():
-        text = F.concat(F.lit(before), skill, F.lit(between), demand.cast("string"), F.lit(after))
-        out = F.when(tier == name, text).otherwise(out)
+    for name, sentence in RECOMMENDATIONS.items():
+        out = F.when(tier == name, F.format_string(sentence, skill, demand)).otherwise(out)
     return out
 
 
 def learning_reason(tier: Column, demand: Column) -> Column:
-    opening = F.when(tier == "High", F.lit("High market demand (")).otherwise(
-        F.lit("Growing demand ("))
-    return F.concat(opening, demand.cast("string"), F.lit(" mentions)"))
+    return F.when(tier == "High", F.format_string(LEARNING_REASONS["High"], demand)).otherwise(
+        F.format_string(LEARNING_REASONS["Medium"], demand))
 
 
 def percentage(part: Column, whole: Column) -> Column:

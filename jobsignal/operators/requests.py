@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,8 +155,13 @@ class CollectionFilters:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> CollectionFilters:
-        """Filters of a JSON document; defaults for what it leaves out."""
-        row = spark.read.schema(FILTERS).option("multiLine", True).json(path).first()
+        """Filters of a JSON document; defaults for what it leaves out, or if there is none."""
+        try:
+            row = spark.read.schema(FILTERS).option("multiLine", True).json(path).first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            row = None
         settings = row.asDict() if row else {}
         return cls.from_settings({k: v for k, v in settings.items() if v is not None})
 

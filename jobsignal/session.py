@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -26,26 +28,23 @@ def build_session(app: str = "jobsignal", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> str:
+    """A folder of this process, for a local session that names none; removed at its end."""
+    folder = tempfile.mkdtemp(prefix="jobsignal-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def working_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one the cluster names, for tables between two jobs.
 
-    Only a local session, where nothing is named, gets a folder on the machine itself.
+    Where nothing is named, a local session takes a folder that is removed when the process ends;
+    any other has to name one.
     """
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        shared = os.path.join(tempfile.gettempdir(), "jobsignal")
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash a table scan over all cores when the files give fewer splits than that.
-
-    Meant for small tables in front of text work; a large scan has splits enough and is left
-    as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

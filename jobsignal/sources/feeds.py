@@ -23,14 +23,8 @@ from jobsignal.schema import LANDED
 
 # --- fixed values: feeds in the order their postings are taken ------------------------------
 FEEDS = ("remoteok", "arbeitnow", "wellfound", "hackernews", "adzuna", "jsearch")
-SEARCH_FEEDS = ("adzuna", "jsearch")  # asked once per search phrase, not filtered afterwards
-
-# --- fixed values: entries taken per response, before or after filtering --------------------
-REMOTEOK_ENTRIES = 50
-ARBEITNOW_ENTRIES = 100
-JSEARCH_ENTRIES = 30
-WELLFOUND_POSTINGS = 40
-HACKERNEWS_POSTINGS = 80
+
+# --- fixed values: characters of the shortest job card --------------------------------------
 SHORTEST_CARD = 20
 
 # --- fixed values: addresses and patterns ---------------------------------------------------
@@ -81,13 +75,22 @@ def iso_now() -> Column:
     return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
-def _entries(landed: DataFrame, feed: str, entries: Column) -> DataFrame:
-    """One row per entry of the feed's responses: request, query, pos, e."""
+def _entries(landed: DataFrame, feed: str, entries: Column, first: int = 0,
+             limit: int | None = None) -> DataFrame:
+    """One row per entry of the feed's responses from ``first`` on: request, query, pos, e."""
     rows = landed.where(F.col("source") == feed).select("cycle", "request", "query", entries.alias("list"))
     # The outer form keeps the optimizer from parsing every response a second time for a
     # "list is not empty" filter below the generator.
     return (rows.select("cycle", "request", "query", F.posexplode_outer("list").alias("pos", "e"))
-            .where(F.col("pos").isNotNull()))
+            .where(F.col("pos") >= first if limit is None
+                   else F.col("pos").between(first, first + limit - 1)))
+
+
+def _first(postings: DataFrame, limit: int | None) -> DataFrame:
+    """The first ``limit`` postings of every response; all without a limit."""
+    if limit is None:
+        return postings
+    return first_k(postings, limit, by=["cycle", "request"], order=["pos"])
 
 
 def _parsed(schema: str) -> Column:
@@ -95,12 +98,12 @@ def _parsed(schema: str) -> Column:
 
 
 def remoteok(landed: DataFrame, categories: Sequence[str], regions: Sequence[str],
-             now: Column | None = None) -> DataFrame:
-    """Entry 0 is a notice; the next 50 are taken, then filtered."""
+             now: Column | None = None, limit: int | None = None) -> DataFrame:
+    """Entry 0 is a notice; the others, or the next ``limit``, are filtered."""
     rows = _entries(landed, "remoteok", _parsed(
         "array<struct<position:string,company:string,description:string,tags:array<string>,"
         "location:string,salary:string,url:string,slug:string>>"
-    )).where(F.col("pos").between(1, REMOTEOK_ENTRIES))
+    ), 1, limit)
     rows = rows.select(
         "cycle", "request", "pos",
         *unified_schema(
@@ -124,13 +127,13 @@ def remoteok(landed: DataFrame, categories: Sequence[str], regions: Sequence[str
 
 
 def arbeitnow(landed: DataFrame, categories: Sequence[str], regions: Sequence[str],
-              now: Column | None = None) -> DataFrame:
-    """The first 100 entries, then filtered; the response is an object or a bare list."""
+              now: Column | None = None, limit: int | None = None) -> DataFrame:
+    """All entries, or the first ``limit``, filtered; the response is an object or a bare list."""
     entry = ("array<struct<title:string,description:string,tags:array<string>,location:string,"
              "company_name:string,url:string,remote:boolean>>")
     bare = F.startswith(strip(F.col("body")), F.lit("["))
     entries = F.when(bare, _parsed(entry)).otherwise(_parsed(f"struct<data:{entry}>")["data"])
-    rows = _entries(landed, "arbeitnow", entries).where(F.col("pos") < ARBEITNOW_ENTRIES)
+    rows = _entries(landed, "arbeitnow", entries, 0, limit)
     rows = rows.select(
         "cycle", "request", "pos",
         *unified_schema(
@@ -149,13 +152,16 @@ def arbeitnow(landed: DataFrame, categories: Sequence[str], regions: Sequence[st
                       & rules.matches_region(F.col("location"), regions))
 
 
-def adzuna(landed: DataFrame, now: Column | None = None) -> DataFrame:
-    """Search results, one response per phrase and country; the search has filtered them."""
+def adzuna(landed: DataFrame, now: Column | None = None, limit: int | None = None) -> DataFrame:
+    """Search results, one response per phrase and country; the search has filtered them.
+
+    ``limit`` takes the first so many of every response.
+    """
     rows = _entries(landed, "adzuna", _parsed(
         "struct<results:array<struct<title:string,company:struct<display_name:string>,"
         "description:string,location:struct<display_name:string>,salary_min:string,"
         "redirect_url:string>>>"
-    )["results"])
+    )["results"], 0, limit)
     return rows.select(
         "cycle", "request", "pos",
         *unified_schema(
@@ -173,13 +179,13 @@ def adzuna(landed: DataFrame, now: Column | None = None) -> DataFrame:
     )
 
 
-def jsearch(landed: DataFrame, now: Column | None = None) -> DataFrame:
-    """The first 30 search results of every phrase."""
+def jsearch(landed: DataFrame, now: Column | None = None, limit: int | None = None) -> DataFrame:
+    """The search results of every phrase, or the first ``limit`` of them."""
     rows = _entries(landed, "jsearch", _parsed(
         "struct<data:array<struct<job_title:string,employer_name:string,job_description:string,"
         "job_city:string,job_country:string,job_salary:string,job_apply_link:string,"
         "job_is_remote:boolean>>>"
-    )["data"]).where(F.col("pos") < JSEARCH_ENTRIES)
+    )["data"], 0, limit)
     place = F.concat(blank_to(F.col("e.job_city"), ""), F.lit(", "),
                      blank_to(F.col("e.job_country"), ""))
     return rows.select(
@@ -200,12 +206,13 @@ def jsearch(landed: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def wellfound(landed: DataFrame, categories: Sequence[str], regions: Sequence[str],
-              now: Column | None = None) -> DataFrame:
-    """Job cards of a listing page; the first 40 that pass the filters.
+              now: Column | None = None, limit: int | None = None,
+              shortest: int = SHORTEST_CARD) -> DataFrame:
+    """Job cards of a listing page that pass the filters, or the first ``limit`` of them.
 
     Cards are the marked blocks of the page, or every block where none is marked.  The page is
-    cut by pattern, so a marked card reaches up to the next one, and an unmarked block up to
-    its first closing tag.
+    cut by pattern: a marked card reaches up to the next one.  An unmarked block reaches to the tag
+    that closes it, inner blocks included, and each inner block is a card as well.
     """
     def pieces(start: str) -> Column:
         # The blank keeps a block at the very beginning from becoming the part before it.
@@ -213,9 +220,8 @@ def wellfound(landed: DataFrame, categories: Sequence[str], regions: Sequence[st
         return F.slice(parts, 2, 1 << 30)
 
     marked = pieces(f"<div\\b[^>]*{CARD_MARK}")
-    blocks = F.transform(pieces(r"<div\b"),
-                         lambda b: F.regexp_extract(b, r"(?is)^(.*?)(</div|\z)", 1))
-    page = F.when(F.col("body").rlike(f"(?i)<div\\b[^>]*{CARD_MARK}"), marked).otherwise(blocks)
+    page = F.when(F.col("body").rlike(f"(?i)<div\\b[^>]*{CARD_MARK}"), marked) \
+        .otherwise(_nested_blocks(pieces(r"</?div\b")))
     # Texts are made inside the list: a filter on a column that is computed after the generator
     # would compute it once more.
     cards = _entries(landed, "wellfound", F.transform(page, lambda html: bind(
@@ -225,7 +231,7 @@ def wellfound(landed: DataFrame, categories: Sequence[str], regions: Sequence[st
     )))
     location = F.col("e.place")
     cards = cards.where(
-        (F.length("e.text") >= SHORTEST_CARD)
+        (F.length("e.text") >= shortest)
         & rules.contains_category(F.col("e.text"), categories)
         & rules.matches_region(location, regions))
 
@@ -253,7 +259,37 @@ def wellfound(landed: DataFrame, categories: Sequence[str], regions: Sequence[st
             is_remote=_says_remote(F.col("e.text")),
         ),
     )
-    return first_k(rows, WELLFOUND_POSTINGS, by=["cycle", "request"], order=["pos"])
+    return _first(rows, limit)
+
+
+def _nested_blocks(tags: Column) -> Column:
+    """The blocks of a page that was cut before every opening and closing tag, in page order.
+
+    A block ends where the depth falls below its own for the first time, or with the page.
+    """
+    def opens(piece: Column) -> Column:
+        return F.when(F.startswith(piece, F.lit("</")), -1).otherwise(1)
+
+    def blocks(parts: Column) -> Column:
+        # Depth after each tag.
+        depth = F.aggregate(parts, F.array().cast("array<int>"), lambda acc, p: F.concat(
+            acc, F.array(F.coalesce(F.element_at(F.slice(F.reverse(acc), 1, 1), 1), F.lit(0))
+                         + opens(p))))
+
+        def cut(depths: Column) -> Column:
+            def block(piece: Column, i: Column) -> Column:
+                rest = F.slice(depths, i + 1, F.size(depths))
+                inside = F.array_position(
+                    F.transform(rest, lambda d: d < F.get(depths, i)), F.lit(True))
+                n = F.when(inside > 0, inside - 1).otherwise(F.size(rest))
+                return F.when(opens(piece) > 0, F.array_join(
+                    F.slice(parts, i + 1, n.cast("int")), ""))
+
+            return F.filter(F.transform(parts, block), lambda x: x.isNotNull())
+
+        return bind(depth, cut)
+
+    return bind(tags, blocks)
 
 
 def _first_location(text: Column) -> Column:
@@ -266,8 +302,12 @@ def _first_location(text: Column) -> Column:
 
 
 def hackernews(landed: DataFrame, categories: Sequence[str], regions: Sequence[str],
-               now: Column | None = None) -> DataFrame:
-    """Comments of a hiring thread; the first 80 that pass the filters."""
+               now: Column | None = None, limit: int | None = None,
+               company_length: int | None = None) -> DataFrame:
+    """Comments of a hiring thread that pass the filters, or the first ``limit`` of them.
+
+    The company is what stands before the first bar, cut to ``company_length`` characters if given.
+    """
     children = _parsed("struct<children:array<struct<id:string,text:string>>>")["children"]
     comments = _entries(landed, "hackernews", F.transform(children, lambda c: F.struct(
         c["id"].alias("id"), html_to_text(c["text"]).alias("text"))))
@@ -281,7 +321,9 @@ def hackernews(landed: DataFrame, categories: Sequence[str], regions: Sequence[s
     for name in reversed(list(categories)):
         phrase = rules.CATEGORY_QUERIES.get(name, name).title()
         title = F.when(F.contains(low, F.lit(name)), F.lit(phrase)).otherwise(title)
-    company = F.left(strip(F.substring_index(text, "|", 1)), F.lit(80))
+    company = strip(F.substring_index(text, "|", 1))
+    if company_length is not None:
+        company = F.left(company, F.lit(company_length))
     postings = comments.select(
         "cycle", "request", "pos",
         *unified_schema(
@@ -295,7 +337,7 @@ def hackernews(landed: DataFrame, categories: Sequence[str], regions: Sequence[s
             is_remote=remote,
         ),
     )
-    return first_k(postings, HACKERNEWS_POSTINGS, by=["cycle", "request"], order=["pos"])
+    return _first(postings, limit)
 
 
 def latest_thread(body: Column) -> Column:
