@@ -234,13 +234,20 @@ BOUGHT = """SELECT c_custkey AS resume_id, min(l_orderkey * 10 + l_linenumber) A
             GROUP BY c_custkey, p_type || ' ' || p_size"""
 
 
-def gap(n: int = 50, fold: int = 40) -> str:
-    """CTEs market(skill, count), top(..., rank, n, priority) and bought."""
+OFFERED = """SELECT p_type || ' ' || l_partkey || ' ' || l_suppkey AS skill,
+                    sum(l_quantity::BIGINT)::BIGINT AS count
+             FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1"""
+OFFERS_BOUGHT = BOUGHT.replace("p_type || ' ' || p_size",
+                               "p_type || ' ' || l_partkey || ' ' || l_suppkey")
+
+
+def scored(market: str, n: int | None = 50) -> str:
+    """CTEs market(skill, count) and scored(skill, count, rank, n, priority, recommendation)."""
     return f"""
-    market AS (SELECT skill, count % {fold} AS count FROM ({SOLD})),
+    market AS ({market}),
     top AS (SELECT *, row_number() OVER (ORDER BY count DESC, skill) AS rank,
                    count(*) OVER () AS n
-            FROM (SELECT * FROM market ORDER BY count DESC, skill LIMIT {n})),
+            FROM (SELECT * FROM market ORDER BY count DESC, skill {f"LIMIT {n}" if n else ""})),
     tier AS (SELECT *, CASE WHEN count > 0.3 * n THEN 'High' WHEN count > 0.1 * n THEN 'Medium'
                             ELSE 'Low' END AS priority FROM top),
     scored AS (SELECT *, CASE priority
@@ -249,7 +256,12 @@ def gap(n: int = 50, fold: int = 40) -> str:
         WHEN 'Medium' THEN 'Consider learning - ' || skill || ' appears regularly in job postings ('
             || count || ' times) and would be a valuable addition.'
         ELSE 'Optional skill - ' || skill || ' is mentioned in some positions (' || count
-            || ' times). Nice to have but not critical.' END AS recommendation FROM tier),
+            || ' times). Nice to have but not critical.' END AS recommendation FROM tier)"""
+
+
+def gap(n: int = 50, fold: int = 40) -> str:
+    """CTEs market(skill, count), top(..., rank, n, priority) and bought."""
+    return scored(f"SELECT skill, count % {fold} AS count FROM ({SOLD})", n) + f""",
     bought AS ({BOUGHT}),
     matching AS (SELECT resume_id, pos, t.skill, t.count AS demand_count
                  FROM bought b JOIN scored t ON lower(b.skill) = lower(t.skill)),
@@ -438,6 +450,11 @@ def oracle_sql() -> dict[str, str]:
                    count(DISTINCT ({title_key()})) AS sent_total,
                    {", ".join(f"count(*) FILTER (source = '{s}') AS {s}" for s in FEED_SQL)}
             FROM ({fetched()}) GROUP BY cycle""",
+        "collection_last_run": f"""WITH {POSTING}
+            SELECT 'data science|software engineer' AS categories, count(*) AS fetched_total,
+                   count(DISTINCT ({title_key()})) AS deduplicated_total,
+                   count(*) FILTER (source = 'src0') AS src0 FROM posting""",
+        "landed_files": feed("adzuna"),
         "latest_thread": """SELECT page_id, CASE WHEN page_id % 5 <> 0 THEN (page_id + 1000)::VARCHAR END
             AS thread FROM pages""",
         "parse_event_json": """SELECT event_type, count(*) AS events,
@@ -456,9 +473,26 @@ def oracle_sql() -> dict[str, str]:
         "latest_batch_demand": f"""WITH {batch}
             SELECT skill, count FROM demand WHERE batch_id = (SELECT max(batch_id) FROM demand)
             ORDER BY count DESC, skill LIMIT 20""",
+        "market_with_source": f"""WITH {batch}
+            SELECT skill, sum(count)::BIGINT AS count, 'parquet' AS origin FROM demand GROUP BY skill
+            ORDER BY count DESC, skill LIMIT 15""",
+        "two_runs_in_one_store": f"""WITH {posting_vocab}
+            SELECT skill, sum(mentions)::BIGINT AS count FROM mention GROUP BY skill""",
+        "skill_trend_stream": """SELECT date_trunc('day', ts)::TIMESTAMP AS period_start,
+            event_type AS skill, count(*) AS count FROM events GROUP BY ALL""",
+        "match_own_skills": f"""
+            SELECT DISTINCT doc_id, required, CASE WHEN contains(required, ' ')
+                THEN regexp_matches(lower(text), '(^|[^\\p{{L}}\\p{{N}}_])of the($|[^\\p{{L}}\\p{{N}}_])')
+                ELSE list_contains(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}_]+'),
+                                   lower(required)) END AS found
+            FROM (SELECT doc_id, text, unnest([lang, 'That', 'of the', source]) AS required
+                  FROM documents)""",
+        "report_without_market": """SELECT conv_id, turn, true AS no_gap,
+            'Resume analyzed but no market data available for comparison' AS message
+            FROM conversations""",
         "stats_summary": f"""WITH {batch}
             SELECT (SELECT count(*) FROM documents) AS total_jobs_processed,
-                   (SELECT least(20, count(*)) FROM demand
+                   (SELECT count(*) FROM demand
                     WHERE batch_id = (SELECT max(batch_id) FROM demand)) AS total_skills_tracked""",
         "streamed_demand": f"""WITH {posting_vocab}
             SELECT skill, sum(mentions)::BIGINT AS count FROM mention GROUP BY skill""",
@@ -477,6 +511,22 @@ def oracle_sql() -> dict[str, str]:
             SELECT resume_id, resume_skill_count, market_total_skills, matching_count, missing_count,
                    gap_ratio, round_even(gap_ratio, 2)::DOUBLE AS gap_percentage,
                    {ASSESSMENT} AS overall_assessment FROM ratio""",
+        "gap_summary_large_market": f"""WITH {scored(OFFERED, None)}, bought AS ({OFFERS_BOUGHT}),
+            summary AS (SELECT resume_id, count(skill) AS resume_skill_count,
+                    (SELECT count(*) FROM top) AS market_total_skills, count(skill) AS matching_count,
+                    (SELECT count(*) FROM top) - count(skill) AS missing_count
+                FROM bought GROUP BY 1),
+            ratio AS (SELECT *, missing_count / market_total_skills * 100.0::DOUBLE AS gap_ratio FROM summary)
+            SELECT resume_id, resume_skill_count, market_total_skills, matching_count, missing_count,
+                   gap_ratio, round_even(gap_ratio, 2)::DOUBLE AS gap_percentage,
+                   {ASSESSMENT} AS overall_assessment FROM ratio""",
+        "gap_priorities_large_market": f"""WITH {scored(OFFERED, None)}, bought AS ({OFFERS_BOUGHT}),
+            held AS (SELECT resume_id, list(t.rank) AS ranks, count(t.rank) AS n
+                     FROM bought b LEFT JOIN scored t ON b.skill = t.skill GROUP BY 1)
+            SELECT resume_id, row_number() OVER (PARTITION BY resume_id ORDER BY t.rank)::INTEGER AS rank,
+                   skill, count AS demand_count, priority, recommendation
+            FROM held JOIN scored t ON t.rank <= held.n + 10 AND NOT list_contains(ranks, t.rank)
+            QUALIFY row_number() OVER (PARTITION BY resume_id ORDER BY t.rank) <= 10""",
         "gap_top_priorities": f"""WITH {gap()} SELECT resume_id,
             row_number() OVER (PARTITION BY resume_id ORDER BY count DESC, skill)::INTEGER AS rank,
             skill, count AS demand_count, priority, recommendation FROM missing

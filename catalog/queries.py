@@ -15,10 +15,10 @@ from jobsignal.functions import skills as S
 from jobsignal.functions.text import html_to_text, word_count
 from jobsignal.operators import extraction, gap, market, postings, requests
 from jobsignal.operators.requests import CollectionFilters
-from jobsignal.plans.collection import collect
+from jobsignal.plans.collection import collect, cycle_stats, write_stats
 from jobsignal.plans.resume_gap import gap_bundle as bundle
 from jobsignal.plans.resume_gap import resume_report as report
-from jobsignal.plans.status import system_stats
+from jobsignal.plans.status import collection_status, system_stats
 from jobsignal.schema import LANDED
 from jobsignal.session import working_folder
 from jobsignal.sources import feeds, messages
@@ -101,6 +101,14 @@ def match_required_skills(spark, sf):
                                          .alias("required", "found"))
 
 
+@query
+def match_own_skills(spark, sf):
+    """Which of its own words a text is asked for it has: the skills are a column."""
+    asked = F.array(F.col("lang"), F.lit("That"), F.lit("of the"), F.col("source"))
+    return V.documents(spark, sf).select("doc_id", F.explode_outer(
+        S.match_skills(F.col("text"), asked)).alias("required", "found"))
+
+
 @query
 def skill_similarity(spark, sf):
     """Skills the two sides of every conversation have in common."""
@@ -225,8 +233,7 @@ QUERIES["feed_hackernews"] = _feed("hackernews", ("global",))
 def _collection(spark: SparkSession, sf: str):
     """A run over stored responses; every adapter reads the folder of its own feed only."""
     folder = working_folder(spark, "landed")
-    responses = V.all_landed(spark, sf).repartition(16, "source", "request")
-    responses.write.partitionBy("source").parquet(folder)
+    V.all_landed(spark, sf).write.partitionBy("source").parquet(folder)
     filters = CollectionFilters(V.CATEGORIES, V.REGIONS)
     landed = spark.read.schema(LANDED).parquet(folder)
     return collect(landed, filters, F.lit(_NOW))
@@ -238,11 +245,40 @@ def collected_postings(spark, sf):
         "cycle", "source", "request", "pos", "title", "company", "location")
 
 
+def _stats_row(stats: DataFrame) -> DataFrame:
+    counts = [F.col("by_source")[s].alias(s) for s in feeds.FEEDS]
+    return stats.select("cycle", "fetched_total", "deduplicated_total", "sent_total", *counts)
+
+
 @query
 def collection_stats(spark, sf):
-    counts = [F.col("by_source")[s].alias(s) for s in feeds.FEEDS]
-    return _collection(spark, sf).stats.select(
-        "cycle", "fetched_total", "deduplicated_total", "sent_total", *counts)
+    """Statistics of a run whose postings were sent."""
+    return _stats_row(_collection(spark, sf).send("files", working_folder(spark, "sent")))
+
+
+@query
+def collection_last_run(spark, sf):
+    """The run that a written statistics file ends with, as the status shows it."""
+    rows = V.postings(spark, sf).select("source", "title", "company", "location").withColumns({
+        "cycle": F.lit("c"), "source_rank": F.lit(0)})
+    path = working_folder(spark, "stats")
+    filters = CollectionFilters.load(spark, f"{path}-none")
+    write_stats(cycle_stats(rows, filters, ["src0", "src1"], F.lit(_NOW), False), path)
+    status = collection_status(spark, filters, path)
+    last = F.col("collector_metrics")
+    return status.select(joined("filters.categories").alias("categories"),
+                         last["fetched_total"].alias("fetched_total"),
+                         last["deduplicated_total"].alias("deduplicated_total"),
+                         last["by_source"]["src0"].alias("src0"))
+
+
+@query
+def landed_files(spark, sf):
+    """Responses stored as files in folders by cycle, source, request and phrase."""
+    folder = working_folder(spark, "responses")
+    V.landed(spark, sf, "adzuna").withColumnRenamed("body", "value") \
+        .write.partitionBy("cycle", "source", "request", "query").text(folder)
+    return _posting_row(feeds.adzuna(feeds.read_landed(spark, folder), now=F.lit(_NOW)))
 
 
 @query
@@ -307,7 +343,14 @@ def market_demand(spark, sf):
 
 @query
 def latest_batch_demand(spark, sf):
-    return market.latest_batch_demand(_stored(spark, sf, demand=True).skill_demand())
+    return market.latest_batch_demand(_stored(spark, sf, demand=True).latest_demand())
+
+
+@query
+def market_with_source(spark, sf):
+    """The served market and where it comes from."""
+    rows, source = market.market_skills(_stored(spark, sf, demand=True), 15)
+    return rows.withColumn("origin", F.lit(source))
 
 
 @query
@@ -327,15 +370,50 @@ def streamed_demand(spark, sf):
     return market.market_demand(store.skill_demand())
 
 
+@query
+def two_runs_in_one_store(spark, sf):
+    """Two streams with checkpoints of their own, one of them restarted, fill one store."""
+    base = working_folder(spark, "runs")
+    store = DemandStore(spark, f"{base}/store")
+    rows = V.postings(spark, sf)
+    for run, of in (("a", F.col("is_remote")), ("b", ~F.col("is_remote")), ("a", None)):
+        if of is not None:
+            messages.publish(rows.where(of), "files", f"{base}/messages-{run}")
+        stream = messages.message_stream(spark, "files", f"{base}/messages-{run}")
+        processor.start(stream, store, f"{base}/checkpoint-{run}", V.VOCABULARY, trigger=None,
+                        name=f"run_{run}").awaitTermination()
+    return market.market_demand(store.skill_demand())
+
+
+@query
+def skill_trend_stream(spark, sf):
+    """Demand per day of a stream with a watermark, all periods that it has seen."""
+    base = working_folder(spark, "trend")
+    seen = V.table(spark, sf, "events").select(
+        F.col("ts").cast("timestamp").alias("timestamp"), F.col("event_type").alias("skill"),
+        F.lit(1).cast("long").alias("count"))
+    seen.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(seen.schema).parquet(f"{base}/in")
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out")
+
+    trends.skill_trend(stream).writeStream.outputMode("complete").foreachBatch(keep).option(
+        "checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start() \
+        .awaitTermination()
+    return spark.read.parquet(f"{base}/out").withColumn(
+        "period_start", F.col("period_start").cast("timestamp_ntz"))
+
+
 @query
 def streamed_keys(spark, sf):
     """Distinct postings of a stream, de-duplicated across its micro-batches."""
     base = working_folder(spark, "dedup")
     rows = V.postings(spark, sf).select("title", "company", "location", "timestamp")
     rows.write.parquet(f"{base}/in")
-    stream = (spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3)
-              .parquet(f"{base}/in").withColumn("event_time", F.to_timestamp("timestamp")))
-    kept = trends.deduplicate_stream(stream, "event_time", "400 days")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3) \
+        .parquet(f"{base}/in")
+    kept = trends.deduplicate_stream(stream, "400 days")
     writer = kept.select(*postings.dedup_keys()).writeStream.format("parquet").option(
         "checkpointLocation", f"{base}/checkpoint")
     writer.trigger(availableNow=True).start(f"{base}/out").awaitTermination()
@@ -360,7 +438,7 @@ def market_top_parts(spark, sf):
 
 @query
 def market_chart(spark, sf):
-    row = market.chart(market.top_n(V.parts_market(spark, sf), 50))
+    row = market.chart(V.parts_market(spark, sf), 50)
     return row.select(joined("skills").alias("skills"), joined("counts").alias("counts"), "total")
 
 
@@ -392,6 +470,17 @@ def gap_learning_path(spark, sf):
     return gap.learning_path(V.buyers(spark, sf), V.parts_market(spark, sf, FOLD))
 
 
+@query
+def gap_summary_large_market(spark, sf):
+    """Every customer against all parts, each from each of its suppliers: thousands of skills."""
+    return gap.summary(V.buyers(spark, sf, V.offer()), V.offers_market(spark, sf), None)
+
+
+@query
+def gap_priorities_large_market(spark, sf):
+    return gap.top_priorities(V.buyers(spark, sf, V.offer()), V.offers_market(spark, sf), None)
+
+
 @query
 def gap_match_rate(spark, sf):
     return gap.match_rate(V.buyers(spark, sf), V.parts_market(spark, sf, FOLD),
@@ -488,6 +577,15 @@ def resume_report(spark, sf):
                        "gap_analysis.missing_count", "message")
 
 
+@query
+def report_without_market(spark, sf):
+    """Every turn analysed as a resume while nothing is known about the market."""
+    none = spark.createDataFrame([], "skill string, count long")
+    done = report(extraction.analyze_resumes(_keyed_turns(spark, sf),
+                                             dictionary=V.RESUME_TERMS), none)
+    return done.select("file_path.*", F.col("gap_analysis").isNull().alias("no_gap"), "message")
+
+
 @query
 def pdf_uploads(spark, sf):
     ending = F.get(F.array(F.lit(".pdf"), F.lit(".PDF"), F.lit(".pdf.doc")),

@@ -86,15 +86,34 @@ def parts_market(spark: SparkSession, sf_dir: str, fold: int | None = None) -> D
     return sold if fold is None else sold.withColumn("count", F.col("count") % fold)
 
 
-def buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(resume_id, pos, skill): customers and the part types and sizes they bought."""
+def offer() -> Column:
+    """A part and its supplier."""
+    return F.concat_ws(" ", "p_type", F.col("l_partkey").cast("string"),
+                       F.col("l_suppkey").cast("string"))
+
+
+def offers_market(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(skill, count): pieces sold per part and supplier."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_partkey", "l_suppkey").agg(
+        F.sum(F.col("l_quantity").cast("long")).alias("count"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    return lines.join(parts, F.col("l_partkey") == F.col("p_partkey")) \
+        .select(offer().alias("skill"), "count")
+
+
+def buyers(spark: SparkSession, sf_dir: str, skill: Column | None = None) -> DataFrame:
+    """(resume_id, pos, skill): customers and the part types and sizes they bought.
+
+    ``skill`` names what was bought in another way.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    parts = table(spark, sf_dir, "part").select("p_partkey", part_skill().alias("skill"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
     bought = (lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
               .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-              .groupBy(F.col("o_custkey").alias("resume_id"), "skill")
+              .groupBy(F.col("o_custkey").alias("resume_id"),
+                       (part_skill() if skill is None else skill).alias("skill"))
               .agg(F.min(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos")))
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("resume_id"))
     return customers.join(bought, "resume_id", "left").select("resume_id", "pos", "skill")

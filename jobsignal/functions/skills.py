@@ -35,7 +35,7 @@ def term_hits(lowered: Column, dictionary: SkillDictionary) -> Column:
     """All term occurrences in a lower-case text as array<string>, one element per mention."""
     keys = dictionary.phrase_keys
     wanted = list(dict.fromkeys([*dictionary.words, *filter(None, keys.values())]))
-    if not wanted:
+    if not dictionary.words:  # nothing to look up: the text is not cut into words
         return _phrase_hits(lowered, _strings([]), dictionary)
 
     def hits(found: Column) -> Column:
@@ -45,7 +45,7 @@ def term_hits(lowered: Column, dictionary: SkillDictionary) -> Column:
         named = found if len(words) == len(wanted) else F.filter(found, lambda t: t.isin(words))
         phrases = bind(F.array_distinct(found),
                        lambda seen: _phrase_hits(lowered, seen, dictionary))
-        return F.concat(named, phrases) if words else phrases
+        return F.concat(named, phrases)
 
     return bind(F.filter(F.split(lowered, NON_WORDS), lambda t: t.isin(wanted)), hits)
 
@@ -53,17 +53,21 @@ def term_hits(lowered: Column, dictionary: SkillDictionary) -> Column:
 def _phrase_hits(lowered: Column, seen: Column, dictionary: SkillDictionary) -> Column:
     """Occurrences of the terms that are not single words.
 
-    ``seen`` are the distinct words of the text.  A term is searched for only if its key word is
-    among them, and counted by its pattern only if the text contains it at all.
+    ``seen`` are the distinct words of the text, empty if the dictionary has no single words.  A
+    term is searched for only if its key word is among them, and counted by its pattern only if the
+    text contains it at all.
     """
-    keys = dictionary.phrase_keys
-    patterns = [boundary_pattern(t, dictionary.boundary) for t in keys]
-    terms = F.arrays_zip(_strings(list(keys)).alias("term"), _strings(patterns).alias("pattern"),
-                         _strings(list(keys.values())).alias("word"))
-    present = F.filter(terms, lambda p: (
-        ((p["word"] == "") | F.array_contains(seen, p["word"])) & F.contains(lowered, p["term"])))
-    return F.flatten(F.transform(present, lambda p: F.array_repeat(
-        p["term"], F.regexp_count(lowered, p["pattern"]))))
+    empty = F.array().cast("array<string>")
+
+    def occurrences(term: str, word: str) -> Column:
+        present = F.contains(lowered, F.lit(term))
+        if word and dictionary.words:
+            present = F.array_contains(seen, F.lit(word)) & present
+        # The pattern is a constant, so it is compiled once.
+        times = F.regexp_count(lowered, F.lit(boundary_pattern(term, dictionary.boundary)))
+        return F.when(present, F.array_repeat(F.lit(term), times)).otherwise(empty)
+
+    return F.concat(empty, *[occurrences(t, w) for t, w in dictionary.phrase_keys.items()])
 
 
 def display_name(term: Column, dictionary: SkillDictionary) -> Column:
@@ -130,15 +134,20 @@ def top_skills(text: Column, dictionary: SkillDictionary, n: int = 10) -> Column
 def match_skills(text: Column, required: Sequence[str] | Column) -> Column:
     """map<skill, found>: which of the required skills occur as whole words.
 
-    ``required`` is a list of names, the same for all rows, or an array column.
+    ``required`` is a list of names, the same for all rows, or an array column.  Names of a column
+    that are single words are looked up among the words of the text.
     """
     if isinstance(required, Column):
+        def found(low: Column, words: Column, name: Column) -> Column:
+            plain = F.rlike(name, F.lit(f"^{_WORD_CLASS}+$"))
+            return F.when(plain, F.array_contains(words, name)).otherwise(_has_word(low, name))
+
         return bind(
             F.lower(blank_to(text, "")),
-            lambda low: F.map_from_entries(F.transform(
-                F.array_distinct(required),
-                lambda r: F.struct(r.alias("skill"), _has_word(low, F.lower(r)).alias("found")),
-            )),
+            lambda low: bind(F.split(low, NON_WORDS), lambda words: F.map_from_entries(F.transform(
+                F.array_distinct(required), lambda r: F.struct(
+                    r.alias("skill"), found(low, words, F.lower(r)).alias("found")),
+            ))),
         )
     names = list(dict.fromkeys(required))
     return bind(

@@ -2,22 +2,25 @@
 
 Resumes come in either of two forms:
 
-* long, ``(resume_id, pos, skill)``: relational operators, fit for lists of any length;
-* nested, one row per resume with a ``skills`` array: ``analyze`` and ``bundle``, which add
-  columns and move no data.
-
-The market side is cut to its top ``n`` skills first, so it is as small as the caller asks.
-Up to ``INLINE_MARKET`` skills it is broadcast; beyond, the operators join by key instead.
+* long, ``(resume_id, pos, skill)``: relational operators, fit for lists of any length and a market
+  of any size;
+* nested, one row per resume with a ``skills`` array: ``analyze``, which adds columns and moves no
+  data.  Its rows hold up to ``n`` missing skills each, so the market array that it works with is no
+  larger than one row of its result.
+
+``n`` cuts the market to its top skills; None takes it whole.  The joins have no hints: the planner
+broadcasts a market that it measures as small, and splits frequent skills at run time otherwise.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsignal.functions import rules
 from jobsignal.functions.rules import percentage, rounded
 from jobsignal.operators.market import top_n as top_of_market
+from jobsignal.operators.ranking import with_rank
 
 TOP_N = 50
 SERVED_MARKET = 100
@@ -25,7 +28,6 @@ TOP_PRIORITIES = 10
 LEARNING_PATH = 5
 SHOWN_MATCHING = 20
 SHOWN_MISSING = 15
-INLINE_MARKET = 5_000
 
 _MISSING = ("skill", "demand_count", "priority", "recommendation")
 
@@ -36,120 +38,84 @@ def long_resumes(resumes: DataFrame, key: str = "resume_id") -> DataFrame:
                           F.posexplode_outer("skills").alias("pos", "skill"))
 
 
-def market_profile(market: DataFrame, n: int = TOP_N, postings: int | None = None) -> DataFrame:
+def market_profile(market: DataFrame, n: int | None = TOP_N,
+                   postings: int | None = None) -> DataFrame:
     """The top ``n`` market skills, ranked and scored once for all resumes.
 
-    Columns: rank (from 0), skill, key (lower case), key_rank (rank of the first skill with that
-    key), demand_count, market_size, priority, recommendation.  With ``postings`` the tiers are
-    shares of that number instead of shares of the number of market skills.
+    Columns: rank (from 0), skill, key (lower case), demand_count, market_size, priority,
+    recommendation.  With ``postings`` the tiers are shares of that number instead of shares of the
+    number of market skills.
     """
-    packed = top_of_market(market.where(F.col("skill").isNotNull()), n).agg(
-        F.array_sort(F.collect_list(F.struct(
-            (-F.col("count")).alias("k"), "skill", F.lower("skill").alias("key")))).alias("top"))
-    ranked = packed.select(
-        F.transform("top", lambda e: e["key"]).alias("keys"),
-        F.size("top").cast("long").alias("market_size"),
-        F.posexplode("top").alias("rank", "e"),
-    )
-    size = F.col("market_size") if postings is None else F.lit(postings)
+    named = market.where(F.col("skill").isNotNull())
+    top = (named if n is None else top_of_market(named, n)).select(
+        "skill", F.col("count").alias("demand_count"))
+    ranked = with_rank(top, [F.col("demand_count").desc(), F.col("skill")])
+    size = ranked.agg(F.count("*")).scalar()
     scored = ranked.select(
-        "rank",
-        F.col("e.skill").alias("skill"),
-        F.col("e.key").alias("key"),
-        (F.array_position("keys", F.col("e.key")) - 1).cast("int").alias("key_rank"),
-        (-F.col("e.k")).alias("demand_count"),
-        "market_size",
-        rules.priority(-F.col("e.k"), size).alias("priority"),
-    )
-    return scored.withColumn("recommendation", rules.recommendation(
-        F.col("skill"), F.col("priority"), F.col("demand_count")))
-
-
-def _bounded(profile: DataFrame, n: int) -> DataFrame:
-    """Broadcast a profile that was limited to a small ``n``; leave a larger one to the planner."""
-    return F.broadcast(profile) if n <= INLINE_MARKET else profile
+        "rank", "skill", F.lower("skill").alias("key"), "demand_count", size.alias("market_size"))
+    tiers = F.col("market_size") if postings is None else F.lit(postings)
+    return scored.withColumn("priority", rules.priority(F.col("demand_count"), tiers)).withColumn(
+        "recommendation", rules.recommendation(
+            F.col("skill"), F.col("priority"), F.col("demand_count")))
 
 
-def _by_key(profile: DataFrame, n: int) -> DataFrame:
-    """The first market skill of every key, to be joined to resume skills."""
-    return _bounded(profile.where(F.col("rank") == F.col("key_rank")), n)
-
-
-def matching(resume_skills: DataFrame, market: DataFrame, n: int = TOP_N) -> DataFrame:
+def matching(resume_skills: DataFrame, market: DataFrame, n: int | None = TOP_N) -> DataFrame:
     """(resume_id, pos, skill, demand_count, status): resume skills among the top ``n``.
 
-    The skill is written as in the market; a skill listed twice matches twice.
+    The skill is written as in the market, the first one of those that differ only by case; a skill
+    listed twice matches twice.
     """
-    wanted = _by_key(market_profile(market, n), n).select(
-        "key", F.col("skill").alias("market_skill"), "demand_count")
+    wanted = market_profile(market, n).groupBy("key").agg(
+        F.min_by(F.struct("skill", "demand_count"), "rank").alias("m"))
     return resume_skills.join(wanted, F.lower(F.col("skill")) == F.col("key")).select(
-        "resume_id", "pos", F.col("market_skill").alias("skill"), "demand_count",
-        F.lit("In Demand").alias("status"))
+        "resume_id", "pos", "m.skill", "m.demand_count", F.lit("In Demand").alias("status"))
 
 
-def _covered(resume_skills: DataFrame, profile: DataFrame, n: int) -> DataFrame:
-    """Per resume: skill and match counts, and the ranks of the market skills it covers.
+def _gaps(resume_skills: DataFrame, profile: DataFrame) -> DataFrame:
+    """(resume_id, first, last, before): the runs of market ranks that a resume does not cover.
 
-    A rank set has at most ``n`` members, whatever the length of the resume, and is built in
-    every task before the shuffle.
+    ``before`` counts the missing ranks ahead of the run.  A resume has at most one run more than
+    it has market skills, so no row is made for a rank before it is known to be missing.
     """
-    wanted = _by_key(profile, n).select("key", "key_rank")
-    joined = resume_skills.join(wanted, F.lower(F.col("skill")) == F.col("key"), "left")
-    return joined.groupBy("resume_id").agg(
-        F.count("skill").alias("resume_skill_count"),
-        F.count("key_rank").alias("matching_count"),
-        F.collect_set("key_rank").alias("covered"),
+    held = (resume_skills.select("resume_id", F.lower("skill").alias("key"))
+            .join(profile.select("key", "rank"), "key").select("resume_id", "rank").distinct())
+    end = profile.agg(F.count("*")).scalar()
+    ends = resume_skills.select("resume_id").distinct().select("resume_id", end.alias("rank"))
+    in_order = Window.partitionBy("resume_id").orderBy("rank")
+    runs = held.unionByName(ends).select(
+        "resume_id",
+        (F.lag("rank", 1, -1).over(in_order) + 1).alias("first"),
+        (F.col("rank") - 1).alias("last"),
+        (F.row_number().over(in_order) - 1).alias("held"),
     )
+    return runs.where("first <= last").select(
+        "resume_id", "first", "last", (F.col("first") - F.col("held")).alias("before"))
 
 
-def _packed(profile: DataFrame) -> Column:
-    """The profile as one array value, in rank order; empty for an empty market."""
-    fields = ["rank", "skill", "key", "key_rank", *_MISSING[1:]]
-    return profile.agg(F.array_sort(F.collect_list(F.struct(*fields)))).scalar()
-
-
-def _uncovered(resume_skills: DataFrame, market: DataFrame, n: int) -> DataFrame:
-    """One row per resume with ``missing``, the market skills it lacks, in rank order."""
-    profile = market_profile(market, n)
-    per_resume = _covered(resume_skills, profile, n).select(
-        "*", _packed(profile).alias("market"))
-    return per_resume.select("resume_id", F.filter(
-        "market", lambda e: ~F.array_contains("covered", e["key_rank"])).alias("missing"))
+def _listed(gaps: DataFrame, last: Column, profile: DataFrame) -> DataFrame:
+    """The market skills of the runs up to ``last``; ``place`` numbers a resume's missing skills."""
+    ranks = gaps.withColumn("until", last).where("first <= until").select(
+        "resume_id", "first", "before", F.explode(F.sequence("first", "until")).alias("rank"))
+    numbered = ranks.select(
+        "resume_id", "rank",
+        (F.col("before") + F.col("rank") - F.col("first") + 1).cast("int").alias("place"))
+    return numbered.join(profile, "rank")
 
 
-def missing(resume_skills: DataFrame, market: DataFrame, n: int = TOP_N) -> DataFrame:
+def missing(resume_skills: DataFrame, market: DataFrame, n: int | None = TOP_N) -> DataFrame:
     """(resume_id, skill, demand_count, priority, recommendation): top skills a resume lacks."""
-    if n <= INLINE_MARKET:
-        rows = _uncovered(resume_skills, market, n).select(
-            "resume_id", F.explode_outer("missing").alias("m"))
-        return rows.where(F.col("m").isNotNull()).select("resume_id", *[f"m.{c}" for c in _MISSING])
-    return _missing_by_rank(resume_skills, market, n)
-
-
-def _missing_by_rank(resume_skills: DataFrame, market: DataFrame, n: int) -> DataFrame:
-    """``missing`` for a market too large to hand to every task.
-
-    Every resume is paired with the ranks by number, the covered ones are taken away, and what
-    remains is joined to the market; all three steps are spread over (resume, rank).
-    """
     profile = market_profile(market, n)
-    held = (resume_skills.select("resume_id", F.lower("skill").alias("key"))
-            .join(profile.select("key", "rank"), "key").select("resume_id", "rank").distinct())
-    size = F.coalesce(profile.agg(F.max("market_size")).scalar(), F.lit(0)).cast("int")
-    ranks = F.when(size > 0, F.sequence(F.lit(0), size - 1))
-    ids = resume_skills.select("resume_id").distinct()
-    asked = ids.select("resume_id", F.explode(ranks).alias("rank"))
-    lacking = asked.join(held, ["resume_id", "rank"], "left_anti")
-    return lacking.join(profile, "rank").select("resume_id", *_MISSING)
+    return _listed(_gaps(resume_skills, profile), F.col("last"), profile) \
+        .select("resume_id", *_MISSING)
 
 
-def top_priorities(resume_skills: DataFrame, market: DataFrame, n: int = TOP_N,
+def top_priorities(resume_skills: DataFrame, market: DataFrame, n: int | None = TOP_N,
                    k: int = TOP_PRIORITIES) -> DataFrame:
     """(resume_id, rank, ...): the ``k`` missing skills in highest demand."""
-    rows = _uncovered(resume_skills, market, n).select(
-        "resume_id", F.posexplode_outer(F.slice("missing", 1, k)).alias("pos", "m"))
-    return rows.where(F.col("m").isNotNull()).select(
-        "resume_id", (F.col("pos") + 1).alias("rank"), *[f"m.{c}" for c in _MISSING])
+    profile = market_profile(market, n)
+    last = F.least(F.col("last"), F.col("first") + k - 1 - F.col("before"))
+    return _listed(_gaps(resume_skills, profile), last, profile).select(
+        "resume_id", F.col("place").alias("rank"), *_MISSING)
 
 
 def _path(missing_skills: Column, k: int) -> Column:
@@ -168,34 +134,40 @@ def _path(missing_skills: Column, k: int) -> Column:
     ))
 
 
-def learning_path(resume_skills: DataFrame, market: DataFrame, n: int = TOP_N,
+def learning_path(resume_skills: DataFrame, market: DataFrame, n: int | None = TOP_N,
                   k: int = LEARNING_PATH) -> DataFrame:
-    """(resume_id, order, skill, priority, demand, reason): what to learn first."""
-    steps = _path(F.col("missing"), k)
-    rows = _uncovered(resume_skills, market, n).select(
-        "resume_id", F.explode_outer(steps).alias("s"))
-    return rows.where(F.col("s").isNotNull()).select("resume_id", "s.*")
+    """(resume_id, order, skill, priority, demand, reason): what to learn first.
 
+    The skills worth learning are the first ranks of the market.
+    """
+    profile = market_profile(market, n)
+    worth = profile.agg(F.count_if(F.col("priority") != "Low")).scalar()
+    last = F.least(F.col("last"), F.col("first") + k - 1 - F.col("before"), worth - 1)
+    return _listed(_gaps(resume_skills, profile), last, profile).select(
+        "resume_id", F.col("place").alias("order"), "skill", "priority",
+        F.col("demand_count").alias("demand"),
+        rules.learning_reason(F.col("priority"), F.col("demand_count")).alias("reason"))
 
-def summary(resume_skills: DataFrame, market: DataFrame, n: int = TOP_N) -> DataFrame:
-    """One row per resume: counts, gap percentage (exact and rounded) and assessment."""
+
+def summary(resume_skills: DataFrame, market: DataFrame, n: int | None = TOP_N) -> DataFrame:
+    """One row per resume: counts, gap percentage (exact and rounded) and assessment.
+
+    Market names that differ only by case are covered together.
+    """
     profile = market_profile(market, n)
-    sizes = profile.groupBy("key_rank").agg(F.count("*").alias("names"))
-    packed = sizes.agg(F.struct(
-        F.coalesce(F.sum("names"), F.lit(0)).alias("size"),
-        # Market names that differ only by case are covered together.
-        F.collect_list(F.when(F.col("names") > 1, F.struct("key_rank", "names"))).alias("shared"),
-    )).scalar()
-    rows = _covered(resume_skills, profile, n).select("*", packed.alias("m"))
-    extra = F.aggregate(
-        F.filter("m.shared", lambda e: F.array_contains("covered", e["key_rank"])),
-        F.lit(0).cast("long"), lambda acc, e: acc + e["names"] - 1)
-    counted = rows.select(
-        "resume_id", "resume_skill_count",
-        F.col("m.size").alias("market_total_skills"),
-        "matching_count",
-        (F.col("m.size") - F.size("covered") - extra).alias("missing_count"),
-    )
+    names = profile.groupBy("key").agg(F.count("*").alias("names"))
+    size = profile.agg(F.count("*")).scalar()
+    listed = (resume_skills.select("resume_id", F.lower("skill").alias("key"))
+              .groupBy("resume_id", "key").agg(F.count("key").alias("listed")))
+    found = listed.join(names, "key", "left")
+    counted = found.groupBy("resume_id").agg(
+        F.sum("listed").alias("resume_skill_count"),
+        F.coalesce(F.sum(F.when(F.col("names").isNotNull(), F.col("listed"))), F.lit(0))
+        .alias("matching_count"),
+        F.coalesce(F.sum("names"), F.lit(0)).alias("covered"),
+    ).select(
+        "resume_id", "resume_skill_count", size.alias("market_total_skills"), "matching_count",
+        (size - F.col("covered")).alias("missing_count"))
     gap = percentage(F.col("missing_count"), F.col("market_total_skills"))
     return counted.select(
         "*",
@@ -215,8 +187,6 @@ def match_rate(resume_skills: DataFrame, market: DataFrame, n: int | None = None
     if n is not None:
         market = top_of_market(market, n)
     keys = market.select(F.lower("skill").alias("key")).distinct()
-    if n is not None:
-        keys = _bounded(keys, n)
     # Repeated skills are counted before the join; a skill that many resumes share stays one
     # row per resume.
     listed = (resume_skills.select("resume_id", F.lower("skill").alias("key"))
@@ -251,15 +221,20 @@ def _match_list(keys: Column, held: Column, entries: Column, entry_keys: Column)
     return F.transform(listed, match)
 
 
-def analyze(resumes: DataFrame, market: DataFrame, n: int = TOP_N) -> DataFrame:
+def _packed(profile: DataFrame) -> Column:
+    """The profile as one array value, in rank order; empty for an empty market."""
+    fields = ["rank", "skill", "key", *_MISSING[1:]]
+    return profile.agg(F.array_sort(F.collect_list(F.struct(*fields)))).scalar()
+
+
+def analyze(resumes: DataFrame, market: DataFrame, n: int | None = TOP_N,
+            top: int = TOP_PRIORITIES) -> DataFrame:
     """The whole gap report of every resume in one row, as nested columns.
 
     ``resumes`` has a ``skills`` array; all its columns are kept.  The market is an array of at
     most ``n`` entries that is computed once, and the report is built where the resume is.
+    ``top`` is the length of ``top_priorities``.
     """
-    if n > INLINE_MARKET:
-        raise ValueError(
-            f"a nested report repeats up to {n} skills per resume; use matching() and missing()")
     entries = _packed(market_profile(market, n))
     lists = resumes.select(
         "*", entries.alias("_market"), F.transform("skills", F.lower).alias("_keys"))
@@ -284,7 +259,7 @@ def analyze(resumes: DataFrame, market: DataFrame, n: int = TOP_N) -> DataFrame:
         rounded(gap).alias("gap_percentage"),
         rules.assessment(gap, F.size("matching_skills")).alias("overall_assessment"),
     )
-    return report.withColumn("top_priorities", F.slice("missing_skills", 1, TOP_PRIORITIES))
+    return report.withColumn("top_priorities", F.slice("missing_skills", 1, top))
 
 
 def with_match_rate(resumes: DataFrame, market: DataFrame, n: int = SERVED_MARKET) -> DataFrame:
@@ -302,7 +277,8 @@ def with_learning_path(report: DataFrame, k: int = LEARNING_PATH) -> DataFrame:
     return report.withColumn("learning_path", _path(F.col("missing_skills"), k))
 
 
-def shown(report: DataFrame) -> DataFrame:
+def shown(report: DataFrame, matching: int = SHOWN_MATCHING,
+          missing: int = SHOWN_MISSING) -> DataFrame:
     """Cut the two lists of a report to the lengths that are displayed."""
-    return (report.withColumn("matching_skills", F.slice("matching_skills", 1, SHOWN_MATCHING))
-            .withColumn("missing_skills", F.slice("missing_skills", 1, SHOWN_MISSING)))
+    return (report.withColumn("matching_skills", F.slice("matching_skills", 1, matching))
+            .withColumn("missing_skills", F.slice("missing_skills", 1, missing)))

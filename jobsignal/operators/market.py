@@ -13,6 +13,7 @@ from jobsignal.functions.text import blank_to, job_text
 from jobsignal.sources.store import DemandStore
 
 BATCH_TOP = 20
+CHART_TOP = 50
 
 
 def skill_demand(texts: DataFrame, text: Column, dictionary: SkillDictionary,
@@ -57,10 +58,8 @@ def top_n(market: DataFrame, n: int) -> DataFrame:
     return market.orderBy(F.col("count").desc(), "skill").limit(n)
 
 
-def latest_batch_demand(demand: DataFrame, n: int = BATCH_TOP) -> DataFrame:
-    """(skill, count): the top skills of the newest batch that named any, in title case."""
-    newest = demand.agg(F.max("batch_id")).scalar()
-    latest = demand.where(F.col("batch_id") == newest)
+def latest_batch_demand(latest: DataFrame, n: int = BATCH_TOP) -> DataFrame:
+    """(skill, count): the top skills of a batch, in title case."""
     return top_n(latest, n).select(title_case(F.col("skill")).alias("skill"), "count")
 
 
@@ -70,10 +69,10 @@ def title_case(name: Column) -> Column:
     return F.array_join(F.transform(runs, F.initcap), "")
 
 
-def chart(top: DataFrame) -> DataFrame:
-    """One row: the ranked skills and their counts as two arrays of the same order."""
+def chart(market: DataFrame, n: int = CHART_TOP) -> DataFrame:
+    """One row: the top ``n`` skills and their counts as two arrays of the same order."""
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("k"), "skill")))
-    return top.agg(ranked.alias("r")).select(
+    return top_n(market, n).agg(ranked.alias("r")).select(
         F.transform("r", lambda e: e["skill"]).alias("skills"),
         F.transform("r", lambda e: -e["k"]).alias("counts"),
         F.size("r").alias("total"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -11,23 +12,45 @@ from jobsignal.functions.rules import string_array
 from jobsignal.operators.postings import cycle_totals, deduplicate, select_sources, union_feeds
 from jobsignal.operators.requests import CollectionFilters
 from jobsignal.schema import CYCLE_STATS
+from jobsignal.session import working_folder
+from jobsignal.sources import messages
 from jobsignal.sources.feeds import ADAPTERS, FEEDS, iso_now
 
 
 @dataclass(frozen=True)
 class Collection:
-    """Lazy results of a run.  ``fetched`` are all postings, ``postings`` the distinct ones."""
+    """A run.  ``fetched`` are all postings, written down once; ``postings`` the distinct ones."""
 
     fetched: DataFrame
     postings: DataFrame
-    stats: DataFrame
+    filters: CollectionFilters
+    asked: tuple[str, ...]
+    now: Column
+
+    def stats(self, sent: bool = False) -> DataFrame:
+        """One row per cycle; ``sent_total`` is 0 unless the postings have been sent."""
+        return cycle_stats(self.fetched, self.filters, self.asked, self.now, sent)
+
+    def send(self, kind: str, location: str, topic: str = messages.TOPIC) -> DataFrame:
+        """Publish the distinct postings; the statistics with what was sent.
+
+        Raises if the sink took another number of messages than there are postings.
+        """
+        taken = messages.publish(self.postings, kind, location, topic)
+        stats = self.stats(sent=True)
+        due = stats.agg(F.coalesce(F.sum("sent_total"), F.lit(0))).first()[0]
+        if taken != due:
+            raise RuntimeError(f"{taken} messages sent of {due}")
+        return stats
 
 
 def collect(landed: DataFrame, filters: CollectionFilters, now: Column | None = None) -> Collection:
     """Postings of the selected feeds, the first of every (title, company, location) per cycle.
 
-    Feeds are ranked in their fixed order, whatever the order of ``filters.sources``.
+    Feeds are ranked in their fixed order, whatever the order of ``filters.sources``.  Responses are
+    parsed once: the postings are written to the working folder, where all later steps read them.
     """
+    spark = landed.sparkSession
     stamp = iso_now() if now is None else now
     asked = [f for f in FEEDS if filters.enabled and f in filters.sources]
     landed = select_sources(landed, filters.sources, filters.enabled)
@@ -36,14 +59,16 @@ def collect(landed: DataFrame, filters: CollectionFilters, now: Column | None =
         adapter = ADAPTERS[feed]
         limits = (filters.categories, filters.regions) if adapter.filtered else ()
         frames[feed] = adapter.read(landed, *limits, now=stamp)
+    path = working_folder(spark, "fetched")
     fetched = union_feeds(frames)
-    postings = deduplicate(fetched, within=("cycle",))
-    return Collection(fetched, postings, cycle_stats(fetched, filters, asked, stamp))
+    fetched.write.parquet(path)
+    fetched = spark.read.schema(fetched.schema).parquet(path)
+    return Collection(fetched, deduplicate(fetched, within=("cycle",)), filters, tuple(asked), stamp)
 
 
-def cycle_stats(fetched: DataFrame, filters: CollectionFilters, asked: list[str],
-                now: Column) -> DataFrame:
-    """One statistics row per cycle; every distinct posting is sent."""
+def cycle_stats(fetched: DataFrame, filters: CollectionFilters, asked: Sequence[str],
+                now: Column, sent: bool) -> DataFrame:
+    """One statistics row per cycle."""
     settings = asdict(filters)
     fields = [
         (string_array(list(settings[f.name])) if f.dataType.typeName() == "array"
@@ -56,7 +81,7 @@ def cycle_stats(fetched: DataFrame, filters: CollectionFilters, asked: list[str]
         F.struct(*fields).alias("filters"),
         "fetched_total",
         "deduplicated_total",
-        F.col("deduplicated_total").alias("sent_total"),
+        (F.col("deduplicated_total") if sent else F.lit(0).cast("long")).alias("sent_total"),
         "by_source",
     )
 

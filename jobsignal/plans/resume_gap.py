@@ -10,19 +10,21 @@ from jobsignal.operators import gap
 from jobsignal.operators.market import top_n
 
 
-def compare(resumes: DataFrame, market: DataFrame) -> DataFrame:
+def compare(resumes: DataFrame, market: DataFrame, n: int | None = gap.TOP_N) -> DataFrame:
     """Gap report of every resume against the top of the market."""
-    return gap.analyze(resumes, market)
+    return gap.analyze(resumes, market, n)
 
 
-def gap_bundle(resumes: DataFrame, market: DataFrame) -> DataFrame:
+def gap_bundle(resumes: DataFrame, market: DataFrame, served: int = gap.SERVED_MARKET,
+               n: int | None = gap.TOP_N, path: int = gap.LEARNING_PATH) -> DataFrame:
     """Score, counts, lists, learning path and assessment per resume.
 
-    The served market is the top 100.  The score takes all of it, the report its first 50.
+    The score takes all of the ``served`` top skills, the report its first ``n``; ``path`` is the
+    length of the learning path.
     """
-    served = top_n(market, gap.SERVED_MARKET)
-    report = gap.analyze(resumes, served)
-    report = gap.with_match_rate(gap.with_learning_path(report), served)
+    top = top_n(market, served)
+    report = gap.analyze(resumes, top, n)
+    report = gap.with_match_rate(gap.with_learning_path(report, path), top, served)
     return report.select(
         *resumes.columns,
         "skill_score",
@@ -36,12 +38,13 @@ def gap_bundle(resumes: DataFrame, market: DataFrame) -> DataFrame:
     )
 
 
-def resume_report(analyzed: DataFrame, market: DataFrame) -> DataFrame:
+def resume_report(analyzed: DataFrame, market: DataFrame, served: int = gap.SERVED_MARKET,
+                  n: int | None = gap.TOP_N) -> DataFrame:
     """Resume analysis and, where there is a market, its gap analysis.
 
     Without market data ``gap_analysis`` is null and ``message`` says so.
     """
-    report = gap.analyze(analyzed, top_n(market, gap.SERVED_MARKET))
+    report = gap.analyze(analyzed, top_n(market, served), n)
     fields = [c for c in report.columns if c not in analyzed.columns]
     known = F.col("market_total_skills") > 0
     return report.select(

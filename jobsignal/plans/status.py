@@ -6,25 +6,23 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignal.operators.market import latest_batch_demand
 from jobsignal.operators.requests import CollectionFilters
 from jobsignal.schema import CYCLE_STATS
 from jobsignal.sources.store import DemandStore
 
 
-def totals(raw_jobs: DataFrame, demand: DataFrame) -> DataFrame:
-    """One row: stored postings, and skills in the top list of the newest batch."""
-    tracked = latest_batch_demand(demand).agg(F.count("*").alias("n")).scalar()
+def totals(raw_jobs: DataFrame, latest: DataFrame) -> DataFrame:
+    """One row: stored postings, and the number of skills in the newest batch."""
+    tracked = latest.agg(F.count_distinct("skill").alias("n")).scalar()
     return raw_jobs.agg(F.count("*").alias("total_jobs_processed")).select(
         "total_jobs_processed", tracked.alias("total_skills_tracked"))
 
 
 def system_stats(store: DemandStore) -> DataFrame:
     """``totals`` of a store; 0 for a table that does not exist yet."""
-    none = store.spark.range(0).select(
-        F.lit("").alias("skill"), F.col("id").alias("count"), F.col("id").alias("batch_id"))
-    raw = store.raw_jobs() if store.has_raw() else none
-    return totals(raw, store.skill_demand() if store.has_demand() else none)
+    none = store.spark.range(0).select(F.lit("").alias("skill"), F.col("id").alias("count"))
+    return totals(store.raw_jobs() if store.has_raw() else none,
+                  store.latest_demand() if store.has_demand() else none)
 
 
 def collection_status(spark: SparkSession, filters: CollectionFilters,

@@ -273,8 +273,7 @@ def _nested_blocks(tags: Column) -> Column:
     def blocks(parts: Column) -> Column:
         # Depth after each tag.
         depth = F.aggregate(parts, F.array().cast("array<int>"), lambda acc, p: F.concat(
-            acc, F.array(F.coalesce(F.element_at(F.slice(F.reverse(acc), 1, 1), 1), F.lit(0))
-                         + opens(p))))
+            acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0)) + opens(p))))
 
         def cut(depths: Column) -> Column:
             def block(piece: Column, i: Column) -> Column:

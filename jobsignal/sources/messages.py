@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,9 +63,13 @@ def to_messages(postings: DataFrame) -> DataFrame:
     return postings.select(F.to_json(row, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def publish(postings: DataFrame, kind: str, location: str, topic: str = TOPIC) -> None:
-    """Send postings to the topic, or append them to a folder of JSON lines."""
-    messages = to_messages(postings)
+def publish(postings: DataFrame, kind: str, location: str, topic: str = TOPIC) -> int:
+    """Send postings to the topic, or append them to a folder of JSON lines; how many were sent.
+
+    The number is counted while the messages are written.
+    """
+    sent = Observation()
+    messages = to_messages(postings).observe(sent, F.count("*").alias("n"))
     if kind == "kafka":
         (messages.write.format("kafka").option("kafka.bootstrap.servers", location)
          .option("topic", topic).save())
@@ -73,3 +77,4 @@ def publish(postings: DataFrame, kind: str, location: str, topic: str = TOPIC) -
         messages.write.mode("append").text(location)
     else:
         raise ValueError(f"unknown message sink {kind!r}")
+    return sent.get["n"]

@@ -1,29 +1,39 @@
 """Parquet tables of raw postings and skill demand.
 
-Both tables carry the micro-batch as their innermost partition, and a batch replaces its own
-partitions when it is written again.  A batch that is repeated after a failure therefore
-leaves the same rows behind as one that ran through.
+Rows lie in folders by date.  Each write of a batch adds its rows under an attempt of its own and
+then, once they are all there, one commit record; readers take the rows of the latest attempt of
+every run and batch.  So a batch that is repeated after a failure counts once, what a failed attempt
+left behind is not seen, and runs that number their batches alike don't touch each other.
+
+``compact`` rewrites a closed day to few files, without the rows that no longer count.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobsignal.schema import RAW_JOBS, SKILL_DEMAND
+from jobsignal.session import working_folder
+
+_TAGS = T.StructType().add("run_id", "string").add("attempt", "string")
+COMMITS = T.StructType().add("run_id", "string").add("batch_id", "long") \
+    .add("attempt", "string").add("committed_at", "timestamp").add("date", "date")
 
 
-def _write_partitions(df: DataFrame, path: str, *columns: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _partitioned(df: DataFrame, path: str, mode: str, *columns: str) -> None:
+    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*columns).parquet(path))
 
 
 @dataclass(frozen=True)
 class DemandStore:
-    """``<base>/raw_jobs`` by source, date and batch; ``<base>/skill_demand`` by batch."""
+    """``<base>/raw_jobs`` by date and source, ``<base>/skill_demand`` by date, and their commits."""
 
     spark: SparkSession
     base: str
@@ -36,40 +46,109 @@ class DemandStore:
     def demand_path(self) -> str:
         return f"{self.base.rstrip('/')}/skill_demand"
 
-    def write_raw(self, jobs: DataFrame, batch_id: int | Column) -> None:
-        """Append postings; a source that holds most of a batch is split over several files."""
+    def write_raw(self, jobs: DataFrame, batch_id: int | Column, run_id: str = "") -> None:
+        """Add postings of one or several batches of a run.
+
+        A source that holds most of a batch is split over several files.
+        """
         batch = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
         rows = jobs.withColumn("batch_id", batch.cast("long"))
-        rows = rows.hint("rebalance", "source", "date", "batch_id")
-        _write_partitions(rows, self.raw_path, "source", "date", "batch_id")
+        self._add(rows, self.raw_path, run_id, "date", "source")
 
     def write_demand(self, demand: DataFrame, batch_id: int | Column,
-                     timestamp: Column | None = None) -> None:
-        """Append (skill, count) rows of a batch; a batch without skills writes nothing."""
+                     timestamp: Column | None = None, run_id: str = "") -> None:
+        """Add (skill, count) rows of a batch; a batch without skills adds nothing."""
         batch = batch_id if isinstance(batch_id, Column) else F.lit(batch_id)
         rows = demand.select(
             "skill", F.col("count").cast("long").alias("count"),
             (F.current_timestamp() if timestamp is None else timestamp).alias("timestamp"),
             batch.cast("long").alias("batch_id"),
-        )
-        _write_partitions(rows, self.demand_path, "batch_id")
+        ).withColumn("date", F.to_date("timestamp"))
+        self._add(rows, self.demand_path, run_id, "date")
 
     def raw_jobs(self) -> DataFrame:
-        """All raw postings; filters on source, date and batch_id prune folders."""
-        return self.spark.read.schema(RAW_JOBS).parquet(self.raw_path)
+        """All raw postings that count; filters on date and source prune folders."""
+        return self._committed(self.raw_path, RAW_JOBS)
 
     def skill_demand(self) -> DataFrame:
-        return self.spark.read.schema(SKILL_DEMAND).parquet(self.demand_path)
+        return self._committed(self.demand_path, SKILL_DEMAND)
+
+    def latest_demand(self) -> DataFrame:
+        """The demand of the batch that was committed last; only its date is read."""
+        commits = self._commits(self.demand_path)
+        newest = commits.agg(F.max(F.struct(
+            "committed_at", "batch_id", "run_id", "attempt", "date"))).scalar()
+        rows = self._rows(self.demand_path, SKILL_DEMAND)
+        return rows.where((F.col("date") == newest["date"])
+                          & (F.col("attempt") == newest["attempt"])
+                          & (F.col("batch_id") == newest["batch_id"])) \
+            .select(*SKILL_DEMAND.fieldNames())
 
     def has_demand(self) -> bool:
-        return self._exists(self.skill_demand)
+        return self._exists(self.demand_path)
 
     def has_raw(self) -> bool:
-        return self._exists(self.raw_jobs)
-
-    def _exists(self, read) -> bool:
+        return self._exists(self.raw_path)
+
+    def compact(self, date: str) -> None:
+        """Rewrite a closed day (``yyyy-MM-dd``): its rows that count, in few files.
+
+        The new files are written aside first, and replace the day's folders in one commit each.
+        """
+        for path, schema, parts in ((self.raw_path, RAW_JOBS, ("date", "source")),
+                                    (self.demand_path, SKILL_DEMAND, ("date",))):
+            if not self._exists(path):
+                continue
+            day = F.col("date") == F.lit(date).cast("date")
+            commits = self._aside(self._commits(path).where(day))
+            rows = self._aside(self._tagged(path, schema).where(day))
+            _partitioned(rows.hint("rebalance", *parts), path, "overwrite", *parts)
+            _partitioned(commits.coalesce(1), f"{path}_commits", "overwrite", "date")
+
+    def _add(self, rows: DataFrame, path: str, run_id: str, *parts: str) -> None:
+        attempt = uuid.uuid4().hex
+        tagged = rows.withColumn("run_id", F.lit(run_id)).withColumn("attempt", F.lit(attempt))
+        _partitioned(tagged.hint("rebalance", *parts), path, "append", *parts)
+        written = self.spark.read.schema(self._stored(rows.schema)).parquet(path) \
+            .where(F.col("attempt") == attempt)
+        days = rows.agg(F.collect_set("date")).scalar()
+        done = written.where(F.array_contains(days, F.col("date"))).groupBy("batch_id", "date") \
+            .agg(F.count("*").alias("n")).select(
+                F.lit(run_id).alias("run_id"), "batch_id", F.lit(attempt).alias("attempt"),
+                F.current_timestamp().alias("committed_at"), "date")
+        _partitioned(done.coalesce(1), f"{path}_commits", "append", "date")
+
+    def _stored(self, schema: T.StructType) -> T.StructType:
+        names = set(schema.fieldNames())
+        return T.StructType([*schema.fields, *[f for f in _TAGS if f.name not in names],
+                             *([] if "date" in names else [T.StructField("date", T.DateType())])])
+
+    def _rows(self, path: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(self._stored(schema)).parquet(path)
+
+    def _commits(self, path: str) -> DataFrame:
+        """The latest attempt of every run and batch, once for each date it has rows of."""
+        every = self.spark.read.schema(COMMITS).parquet(f"{path}_commits")
+        latest = every.groupBy("run_id", "batch_id").agg(
+            F.max(F.struct("committed_at", "attempt")).alias("m"))
+        latest = latest.select("run_id", "batch_id", "m.attempt")
+        return every.join(latest, ["run_id", "batch_id", "attempt"], "left_semi")
+
+    def _tagged(self, path: str, schema: T.StructType) -> DataFrame:
+        counts = self._commits(path).select("run_id", "batch_id", "attempt").distinct()
+        return self._rows(path, schema).join(counts, ["run_id", "batch_id", "attempt"], "left_semi")
+
+    def _committed(self, path: str, schema: T.StructType) -> DataFrame:
+        return self._tagged(path, schema).select(*schema.fieldNames())
+
+    def _aside(self, df: DataFrame) -> DataFrame:
+        path = working_folder(self.spark, "compact")
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _exists(self, path: str) -> bool:
         try:
-            read()
+            self.spark.read.schema(COMMITS).parquet(f"{path}_commits")
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return False

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,9 +17,19 @@ from jobsignal.sources.store import DemandStore
 TRIGGER = "30 seconds"
 
 
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint: it stays over restarts, and a new checkpoint has
+    a new one."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def batch_writer(store: DemandStore, dictionary: SkillDictionary = POSTINGS,
-                 fallback: bool = False) -> Callable[[DataFrame, int], None]:
-    """The work on one micro-batch.  Errors end the batch; the query then repeats it."""
+                 fallback: bool = False,
+                 checkpoint: str | None = None) -> Callable[[DataFrame, int], None]:
+    """The work on one micro-batch.  Errors end the batch; the query then repeats it.
+
+    Batches are told apart by the run that the ``checkpoint`` belongs to and their number in it.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Two tables come from the batch; without this it would be read from the source twice.
@@ -27,9 +37,10 @@ def batch_writer(store: DemandStore, dictionary: SkillDictionary = POSTINGS,
         try:
             if batch.isEmpty():
                 return
-            store.write_raw(batch, batch_id)
+            run = run_of(store.spark, checkpoint) if checkpoint else ""
+            store.write_raw(batch, batch_id, run)
             demand = posting_demand(batch, dictionary, fallback)
-            store.write_demand(demand, batch_id, batch_time(batch))
+            store.write_demand(demand, batch_id, batch_time(batch), run)
         finally:
             batch.unpersist()
 
@@ -58,7 +69,7 @@ def start(
     jobs = with_processing_time(parse_messages(messages))
     writer = (jobs.writeStream.queryName(name).outputMode("append")
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(batch_writer(store, dictionary, fallback)))
+              .foreachBatch(batch_writer(store, dictionary, fallback, checkpoint)))
     if trigger is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=trigger).start()

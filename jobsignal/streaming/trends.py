@@ -20,11 +20,14 @@ def skill_trend(demand: DataFrame, period: str = "1 day", late: str = "1 day",
     return counted.select(F.col("window.start").alias("period_start"), "skill", "count")
 
 
-def deduplicate_stream(postings: DataFrame, time: str, within: str) -> DataFrame:
-    """One posting per (title, company, location) for as long as ``within`` after the first.
+def deduplicate_stream(postings: DataFrame, within: str) -> DataFrame:
+    """One posting per (title, company, location) for as long as ``within`` after the first arrived.
 
-    State is kept per key and freed by the watermark.
+    Time is that of arrival, the time of the micro-batch.  A posting whose own timestamp is old is
+    therefore never late: it is kept if its key is new, however late it comes.  State is kept per
+    key and freed by the watermark; a key that comes again after ``within`` counts as new.
     """
     keys = [f"_{c}" for c in DEDUP_KEYS]
-    keyed = postings.select("*", *dedup_keys()).withWatermark(time, within)
-    return keyed.dropDuplicatesWithinWatermark(keys).drop(*keys)
+    keyed = postings.select("*", *dedup_keys(), F.current_timestamp().alias("_arrived")) \
+        .withWatermark("_arrived", within)
+    return keyed.dropDuplicatesWithinWatermark(keys).drop(*keys, "_arrived")

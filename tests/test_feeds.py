@@ -104,7 +104,7 @@ def test_wellfound_marked_cards(spark):
         ("ML engineer", "Acme Inc", "Germany", "https://wellfound.com/jobs/1?x=1&y=2", True),
         ("Unknown", "Unknown", "Unknown", "", False)]
     assert rows[0]["description"] == "ML engineer Acme Inc Germany, remote"
-    assert len(read(spark, "wellfound", card * 60, ["ml engineer"], [])) == 40
+    assert len(read(spark, "wellfound", card * 60, ["ml engineer"], [])) == 60
 
 
 def test_wellfound_any_block(spark):
