@@ -19,9 +19,9 @@ def landed(spark, *responses):
         LANDED)
 
 
-def read(spark, feed, body, *limits, query="data scientist"):
+def read(spark, feed, body, *limits, query="data scientist", **more):
     rows = feeds.ADAPTERS[feed].read(landed(spark, ("c", feed, 0, query, body)), *limits,
-                                     now=F.lit(NOW)).collect()
+                                     now=F.lit(NOW), **more).collect()
     return sorted((r.asDict() for r in rows), key=lambda r: r["pos"])
 
 
@@ -39,7 +39,9 @@ def test_remoteok(spark):
             (2, "Unknown", "Unknown", "", None, "https://remoteok.com/remote-jobs/s2")]
     assert all(r["is_remote"] and r["source"] == "remoteok" and r["timestamp"] == NOW for r in rows)
     many = [{}] + [{"position": "sde", "location": "remote"}] * 70
-    assert [r["pos"] for r in read(spark, "remoteok", many, ["sde"], ["remote"])] == list(range(1, 51))
+    assert [r["pos"] for r in read(spark, "remoteok", many, ["sde"], ["remote"])] == list(range(1, 71))
+    rows = read(spark, "remoteok", many, ["sde"], ["remote"], limit=50)
+    assert [r["pos"] for r in rows] == list(range(1, 51))
 
 
 def test_arbeitnow_object_and_bare_list(spark):
@@ -50,7 +52,8 @@ def test_arbeitnow_object_and_bare_list(spark):
         assert [(r["title"], r["company"], r["salary"], r["url"], r["tags"], r["is_remote"])
                 for r in rows] == [("DevOps Engineer", "B", None, "", [], True)]
     many = {"data": [{"title": "cook"}] * 99 + [{"title": "sde"}] * 5}
-    assert [r["pos"] for r in read(spark, "arbeitnow", many, ["sde"], [])] == [99]
+    assert [r["pos"] for r in read(spark, "arbeitnow", many, ["sde"], [])] == list(range(99, 104))
+    assert [r["pos"] for r in read(spark, "arbeitnow", many, ["sde"], [], limit=100)] == [99]
     assert read(spark, "arbeitnow", {"other": 1}, ["sde"], []) == []
 
 
@@ -70,8 +73,9 @@ def test_jsearch(spark):
     jobs = [{"job_title": "T", "employer_name": "E", "job_city": "Paris", "job_country": "FR",
              "job_salary": None, "job_is_remote": True},
             {"job_city": None, "job_country": "US"}, {"job_city": "Rome"}, {}]
+    assert len(read(spark, "jsearch", {"data": jobs * 10}, limit=30)) == 30
     rows = read(spark, "jsearch", {"data": jobs * 10})
-    assert len(rows) == 30
+    assert len(rows) == 40
     assert [(r["title"], r["location"], r["is_remote"]) for r in rows[:4]] == [
         ("T", "Paris, FR", True), ("Unknown", "US", False), ("Unknown", "Rome", False),
         ("Unknown", "", False)]
@@ -84,13 +88,18 @@ def test_hackernews(spark):
     rows = read(spark, "hackernews", {"children": comments}, ["data science", "devops"], ["remote"])
     assert [(r["title"], r["company"], r["location"], r["url"], r["is_remote"]) for r in rows] == [
         ("Data Scientist", "Acme", "Remote", "https://news.ycombinator.com/item?id=1", True),
-        ("Software Engineer", "x" * 80, "Remote", "https://news.ycombinator.com/item?id=4", True)]
+        ("Software Engineer", "x" * 90, "Remote", "https://news.ycombinator.com/item?id=4", True)]
+    short = read(spark, "hackernews", {"children": comments}, ["data science"], ["remote"],
+                 company_length=80)
+    assert [r["company"] for r in short] == ["Acme", "x" * 80]
     assert rows[0]["description"] == "Acme | Data Science | Remote & more"
     rows = read(spark, "hackernews", {"children": comments}, ["devops"], ["global"])
     assert [(r["title"], r["company"], r["location"]) for r in rows] == [
         ("Devops Engineer", "Unknown", "Unknown")]
     many = {"children": [{"id": i, "text": "sde remote" if i % 2 else "cook"} for i in range(300)]}
     rows = read(spark, "hackernews", many, ["sde"], ["remote"])
+    assert [r["pos"] for r in rows] == list(range(1, 300, 2))
+    rows = read(spark, "hackernews", many, ["sde"], ["remote"], limit=80)
     assert [r["pos"] for r in rows] == list(range(1, 160, 2))
 
 
@@ -105,6 +114,7 @@ def test_wellfound_marked_cards(spark):
         ("Unknown", "Unknown", "Unknown", "", False)]
     assert rows[0]["description"] == "ML engineer Acme Inc Germany, remote"
     assert len(read(spark, "wellfound", card * 60, ["ml engineer"], [])) == 60
+    assert len(read(spark, "wellfound", card * 60, ["ml engineer"], [], limit=40)) == 40
 
 
 def test_wellfound_any_block(spark):
@@ -116,6 +126,16 @@ def test_wellfound_any_block(spark):
         ("an open block, sde, canada", "canada")]
 
 
+def test_wellfound_nested_blocks(spark):
+    page = ("<div class=a><div><h2>The sde title</h2></div><div>a long enough text in Canada</div>"
+            "tail</div> <div>second block, sde, open at the end")
+    rows = read(spark, "wellfound", page, ["sde"], [], shortest=5)
+    assert [(r["pos"], r["title"], r["description"]) for r in rows] == [
+        (0, "The sde title", "The sde title a long enough text in Canada tail"),
+        (1, "The sde title", "The sde title"),
+        (3, "Unknown", "second block, sde, open at the end")]
+
+
 def test_latest_thread(spark):
     bodies = ['{"hits":[{"objectID":"7"},{"objectID":"8"}]}', '{"hits":[]}', "{}", "oops"]
     df = spark.createDataFrame(list(enumerate(bodies)), "i int, b string")
@@ -160,21 +180,23 @@ def test_collection_cycles(spark, tmp_path):
     kept = sorted((r["cycle"], r["source"], r["request"], r["pos"]) for r in done.postings.collect())
     assert kept == [("c1", "adzuna", 0, 0), ("c1", "remoteok", 0, 1), ("c2", "arbeitnow", 0, 0)]
     assert [f for f in POSTING.fieldNames() if f not in done.postings.columns] == []
-    stats = {r["cycle"]: r for r in done.stats.collect()}
+    assert {r["sent_total"] for r in done.stats().collect()} == {0}
+    stats = {r["cycle"]: r for r in done.send("files", str(tmp_path / "sent")).collect()}
+    assert spark.read.text(str(tmp_path / "sent")).count() == 3
     assert stats["c1"]["by_source"] == {"remoteok": 1, "arbeitnow": 2, "adzuna": 2, "jsearch": 0}
     assert (stats["c1"]["fetched_total"], stats["c1"]["deduplicated_total"],
             stats["c1"]["sent_total"]) == (5, 2, 2)
     assert stats["c2"]["by_source"]["adzuna"] == 0
     assert stats["c1"]["filters"]["categories"] == ["data science"]
-    write_stats(done.stats, str(tmp_path / "m"))
-    write_stats(done.stats, str(tmp_path / "m"))
+    write_stats(done.stats(), str(tmp_path / "m"))
+    write_stats(done.stats(), str(tmp_path / "m"))
     assert spark.read.schema(CYCLE_STATS).json(str(tmp_path / "m")).count() == 2
 
 
 def test_collection_switched_off(spark):
     off = CollectionFilters(enabled=False)
     done = collect(cycle(spark), off)
-    assert done.postings.count() == 0 and done.stats.count() == 0
+    assert done.postings.count() == 0 and done.stats().count() == 0
 
 
 def test_counts_by_source(spark):

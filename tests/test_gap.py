@@ -9,6 +9,7 @@ from jobsignal.plans.resume_gap import gap_bundle, resume_report
 
 SCHEMA = "resume_id string, skills array<string>"
 SMALL = {"python": 100, "sql": 80, "spark": 60, "aws": 50, "docker": 40}
+# A demonstration market and resume with known results.
 DEMO = {"Python": 850, "SQL": 720, "Machine Learning": 600, "AWS": 550, "Docker": 480,
         "Kubernetes": 420, "Java": 400, "React": 380, "TensorFlow": 350, "Django": 320,
         "PostgreSQL": 300, "MongoDB": 280, "Git": 750, "Linux": 650, "Spark": 290}
@@ -69,7 +70,7 @@ def test_empty_market(spark):
     for r in gap.summary(long, empty).collect():
         assert (r["market_total_skills"], r["missing_count"], r["gap_percentage"]) == (0, 0, 0.0)
         assert r["overall_assessment"] == R.MODERATE
-    assert gap.missing(long, empty).count() == gap.missing(long, empty, 10_000).count() == 0
+    assert gap.missing(long, empty).count() == gap.missing(long, empty, None).count() == 0
     assert {r["match_rate"] for r in gap.match_rate(long, empty).collect()} == {0.0}
     report = resume_report(resume_frame(spark, {"a": ["python"]}), empty).first()
     assert report["gap_analysis"] is None and report["message"] == R.NO_MARKET
@@ -107,11 +108,9 @@ def test_random_markets_in_both_forms(spark, seed):
     nested = {r["resume_id"]: r for r in gap.with_learning_path(gap.analyze(rf, mf, n)).collect()}
     summary = {r["resume_id"]: r for r in gap.summary(long, mf, n).collect()}
     assert set(nested) == set(summary) == set(resumes)
-    lacking, by_rank, match, path, first = {}, {}, {}, {}, {}
+    lacking, match, path, first = {}, {}, {}, {}
     for r in gap.missing(long, mf, n).collect():
         lacking.setdefault(r["resume_id"], []).append((r["skill"], r["demand_count"], r["priority"]))
-    for r in gap._missing_by_rank(long, mf, n).collect():
-        by_rank.setdefault(r["resume_id"], []).append((r["skill"], r["demand_count"], r["priority"]))
     for r in sorted(gap.matching(long, mf, n).collect(), key=lambda r: r["pos"]):
         match.setdefault(r["resume_id"], []).append((r["skill"], r["demand_count"]))
     for r in sorted(gap.learning_path(long, mf, n).collect(), key=lambda r: r["order"]):
@@ -128,7 +127,7 @@ def test_random_markets_in_both_forms(spark, seed):
         assert summary[k]["matching_count"] == len(w["matching"])
         assert summary[k]["missing_count"] == len(w["missing"])
         assert summary[k]["overall_assessment"] == nested[k]["overall_assessment"]
-        assert sorted(lacking.get(k, [])) == sorted(by_rank.get(k, [])) == sorted(w["missing"])
+        assert sorted(lacking.get(k, [])) == sorted(w["missing"])
         assert match.get(k, []) == w["matching"]
         assert first.get(k, []) == w["missing"][:2]
 
@@ -153,6 +152,33 @@ def test_display_limits(spark):
     assert len(report["matching_skills"]) == 20 and len(report["missing_skills"]) == 15
 
 
-def test_nested_report_refuses_a_huge_market(spark):
-    with pytest.raises(ValueError, match="missing"):
-        gap.analyze(resume_frame(spark, {"a": []}), market_frame(spark, SMALL), 10_000)
+def test_other_display_lengths(spark):
+    market = {f"s{i:02d}": 100 - i for i in range(60)}
+    report = gap.analyze(resume_frame(spark, {"a": ["s01", "s02", "s03"]}),
+                         market_frame(spark, market), 60, top=7)
+    row = gap.shown(report, matching=2, missing=3).first()
+    assert len(row["top_priorities"]) == 7
+    assert (len(row["matching_skills"]), len(row["missing_skills"])) == (2, 3)
+
+
+def test_a_market_of_ten_thousand_skills(spark):
+    market = {f"s{i}": (i * 7919) % 10_007 for i in range(10_007)}
+    have = {"a": [f"S{i}" for i in range(0, 10_007, 700)], "b": [], "c": ["other"]}
+    order = sorted(market, key=lambda s: (-market[s], s))[:10_000]
+    mf, rf = market_frame(spark, market), resume_frame(spark, have)
+    for r in gap.analyze(rf, mf, 10_000).collect():
+        held = {s.lower() for s in have[r["resume_id"]]}
+        assert [m["skill"] for m in r["missing_skills"]] == [s for s in order if s not in held]
+    long = gap.long_resumes(rf)
+    lacking = {}
+    for r in gap.missing(long, mf, None).collect():
+        lacking.setdefault(r["resume_id"], set()).add(r["skill"])
+    for k, names in have.items():
+        assert lacking[k] == set(market) - {s.lower() for s in names}
+    first = {}
+    for r in gap.top_priorities(long, mf, None, 12).collect():
+        first.setdefault(r["resume_id"], {})[r["rank"]] = r["skill"]
+    every = sorted(market, key=lambda s: (-market[s], s))
+    for k, names in have.items():
+        held = {s.lower() for s in names}
+        assert first[k] == dict(enumerate([s for s in every if s not in held][:12], 1))

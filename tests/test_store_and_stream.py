@@ -72,7 +72,7 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     write_messages(tmp_path / "in", "3.json", JOBS[:1])
     run(spark, tmp_path)
     assert demand_of(store) == expected_demand([*JOBS, JOBS[0]])
-    newest = M.latest_batch_demand(store.skill_demand()).collect()
+    newest = M.latest_batch_demand(store.latest_demand()).collect()
     assert {r["skill"]: r["count"] for r in newest} == expected_demand(JOBS[:1])
     batches = {r["batch_id"] for r in store.skill_demand().select("batch_id").collect()}
     assert batches == {0, 1, 2}
@@ -91,13 +91,89 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     assert store.raw_jobs().where("batch_id = 2").count() == 0
 
 
+def test_a_new_checkpoint_keeps_what_is_stored(spark, tmp_path):
+    write_messages(tmp_path / "one" / "in", "1.json", JOBS[:2])
+    write_messages(tmp_path / "two" / "in", "1.json", JOBS[2:])
+    store = DemandStore(spark, str(tmp_path / "store"))
+    for name in ("one", "two", "one"):
+        stream = messages.message_stream(spark, "files", str(tmp_path / name / "in"))
+        processor.start(stream, store, str(tmp_path / name / "checkpoint"), trigger=None,
+                        name=name).awaitTermination()
+    assert demand_of(store) == expected_demand(JOBS)
+    assert store.raw_jobs().count() == len(JOBS)
+
+
+def test_what_a_failed_attempt_left_is_not_seen(spark, tmp_path):
+    store = DemandStore(spark, str(tmp_path))
+    rows = spark.createDataFrame([("A", 1), ("B", 2)], "skill string, count long")
+    store.write_demand(rows, 0, run_id="r")
+    stray = spark.read.parquet(store.demand_path).withColumn("attempt", F.lit("lost"))
+    stray.write.partitionBy("date").parquet(str(tmp_path / "stray"))
+    spark.read.parquet(str(tmp_path / "stray")).write.mode("append").partitionBy("date") \
+        .parquet(store.demand_path)
+    assert demand_of(store) == {"A": 1, "B": 2}
+    store.write_demand(rows.where("skill = 'A'"), 0, run_id="r")
+    store.write_demand(rows, 0, run_id="other")
+    assert demand_of(store) == {"A": 2, "B": 2}
+
+
+def test_folders_follow_dates_and_a_closed_day_is_compacted(spark, tmp_path):
+    store = DemandStore(spark, str(tmp_path))
+    jobs = messages.with_processing_time(spark.createDataFrame(
+        JOBS, "title string, company string, description string, source string"))
+    rows = spark.createDataFrame([("A", 1), ("B", 2)], "skill string, count long")
+    for batch in range(5):
+        day = F.lit(f"2024-01-0{1 + batch // 3} 10:00:00").cast("timestamp")
+        store.write_demand(rows, batch, day)
+        store.write_demand(rows, batch, day)  # repeated
+        store.write_raw(jobs.withColumn("date", day.cast("date")), batch)
+
+    def files(pattern):
+        return sorted(str(p.relative_to(tmp_path)) for p in tmp_path.glob(pattern))
+
+    assert files("skill_demand/date=*") == [
+        "skill_demand/date=2024-01-01", "skill_demand/date=2024-01-02"]
+    assert len(files("raw_jobs/date=*/source=*")) == 6
+    before, raw = demand_of(store), store.raw_jobs().count()
+    assert before == {"A": 5, "B": 10} and raw == 20
+    many = len(files("skill_demand/date=2024-01-01/*.parquet"))
+    store.compact("2024-01-01")
+    assert len(files("skill_demand/date=2024-01-01/*.parquet")) == 1 < many
+    assert len(files("skill_demand_commits/date=2024-01-01/*.parquet")) == 1
+    assert demand_of(store) == before and store.raw_jobs().count() == raw
+    assert {r["skill"]: r["count"] for r in store.latest_demand().collect()} == {"A": 1, "B": 2}
+    store.write_demand(rows, 9)
+    assert demand_of(store) == {"A": 6, "B": 12}
+
+
+def test_late_and_repeated_postings_of_a_stream(spark, tmp_path):
+    source = tmp_path / "in"
+    batches = [[("a", "2024-06-01"), ("a", "2024-06-02")], [("b", "2020-01-01"), ("a", "2025-01-01")],
+               [("c", None), ("b", "2026-01-01")]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame([(t, "x", "y", d) for t, d in rows], "title string, company string, "
+                              "location string, timestamp string").coalesce(1) \
+            .write.mode("append").parquet(str(source))
+        kept = trends.deduplicate_stream(spark.readStream.schema(
+            "title string, company string, location string, timestamp string")
+            .parquet(str(source)), "10 days")
+        kept.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")) \
+            .trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    got = sorted(r["title"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == ["a", "b", "c"]
+
+
+def test_missing_filter_file_gives_the_defaults(spark, tmp_path):
+    assert CollectionFilters.load(spark, str(tmp_path / "none.json")) == CollectionFilters()
+
+
 def test_fallback_stream_counts_postings(spark, tmp_path):
     write_messages(tmp_path / "in", "1.json", JOBS)
     store = run(spark, tmp_path, dictionary=BASIC, fallback=True)
     texts = ["".join(f"{p.lower()} " for p in (r[0], r[2]) if p) for r in JOBS]
     want = {t: sum(t in x for x in texts) for t in BASIC.terms}
     assert demand_of(store) == {k: v for k, v in want.items() if v}
-    latest = {r["skill"] for r in M.latest_batch_demand(store.skill_demand()).collect()}
+    latest = {r["skill"] for r in M.latest_batch_demand(store.latest_demand()).collect()}
     assert "Python" in latest and "Javascript" not in latest
 
 
@@ -114,6 +190,9 @@ def test_market_sources(spark, tmp_path):
     rows, source = M.market_skills(store, 5)
     assert (list(map(tuple, rows.collect())), source) == ([("A", 2), ("B", 2)], "parquet")
     assert tuple(status.system_stats(store).first()) == (0, 1)
+    many = spark.range(60).selectExpr("concat('s', id) skill", "id + 1 count")
+    store.write_demand(many, 8)
+    assert tuple(status.system_stats(store).first()) == (0, 60)
     chart = M.chart(rows).first()
     assert (chart["skills"], chart["counts"], chart["total"]) == (["A", "B"], [2, 2], 2)
 
@@ -128,7 +207,8 @@ def test_published_messages_read_back(spark, tmp_path):
     row = {"title": "t", "company": None, "description": "d", "source": "s", "location": None,
            "salary": "5", "url": "u", "tags": ["a"], "is_remote": True, "timestamp": "x"}
     df = spark.createDataFrame([row], POSTING)
-    messages.publish(df, "files", str(tmp_path / "out"))
+    assert messages.publish(df, "files", str(tmp_path / "out")) == 1
+    assert messages.publish(df.limit(0), "files", str(tmp_path / "none")) == 0
     sent = spark.read.text(str(tmp_path / "out"))
     assert json.loads(sent.first()["value"]) == row
     back = messages.parse_messages(sent).first().asDict()
