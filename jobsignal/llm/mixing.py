@@ -209,7 +209,8 @@ def mixture(sizes: DataFrame, mix: Mix = Mix()) -> tuple[DataFrame, DataFrame, D
         F.col("source").alias("of"), F.col("block").alias("number"), "doc_id", "offset", "size",
         (F.greatest(begin, F.col("offset")) - F.col("offset")).alias("first"),
         (F.least(begin + mix.block_words, end) - F.col("offset")).alias("last"))
-    pieces = drawn.join(parts, (F.col("block") == F.col("number")) &
+    # The planner can't know how many rows a draw becomes, and would broadcast them.
+    pieces = drawn.join(parts.hint("merge"), (F.col("block") == F.col("number")) &
                         F.col("source").eqNullSafe(F.col("of"))).drop("of", "number")
     return docs, targets, pieces
 
@@ -220,7 +221,7 @@ def taken(docs: DataFrame, targets: DataFrame, pieces: DataFrame) -> DataFrame:
                                                   .alias("taken")) \
         .select(F.col("source").alias("of"), F.col("offset").alias("at"), "taken")
     some = docs.filter("size > 0").join(
-        used, (F.col("offset") == F.col("at")) & F.col("source").eqNullSafe(F.col("of")), "left") \
+        used.hint("merge"), (F.col("offset") == F.col("at")) & F.col("source").eqNullSafe(F.col("of")), "left") \
         .select("doc_id", "source", "size", F.coalesce("taken", F.lit(0)).alias("taken"))
     every = some.union(docs.filter("size = 0")
                        .select("doc_id", "source", "size", F.lit(0).cast("long")))
