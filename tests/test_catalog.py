@@ -53,8 +53,7 @@ def test_no_query_pairs_all_rows_or_leaves_the_jvm(spark, name):
         assert node not in plan, plan
 
 
-@pytest.mark.parametrize("name", ["dedup_postings", "source_caps", "feed_hackernews",
-                                  "feed_wellfound", "collected_postings"])
+@pytest.mark.parametrize("name", ["dedup_postings", "source_caps", "collected_postings"])
 def test_first_rows_of_a_group_are_cut_before_the_shuffle(spark, name):
     plan = physical_plan(contract.queries()[name](spark, SF_DIR))
     final, exchange, partial = (plan.index(", Final"), plan.index("Exchange"),
