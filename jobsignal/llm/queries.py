@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobsignal.llm import embeddings, licenses, url_trust
+from jobsignal.llm import embeddings, licenses, repetition, secrets, url_trust
 from jobsignal.llm.byte_bpe import op10_byte_bpe
 from jobsignal.llm.embeddings import op2_rotated_codes
 from jobsignal.llm.licenses import op3_license_scan
@@ -27,7 +27,9 @@ QUERIES = {f.__name__: f for f in (
     op10_byte_bpe,
 )}
 ORACLE_SQL: dict[str, str] = {
+    "op1_secret_scan": secrets.SQL,
     "op2_rotated_codes": embeddings.SQL,
     "op3_license_scan": licenses.SQL,
+    "op4_suffix_repetition": repetition.SQL,
     "op6_host_trust": url_trust.SQL,
 }

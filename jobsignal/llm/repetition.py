@@ -153,3 +153,54 @@ def op4_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The measures and verdicts of all `documents`; an empty table gives no rows."""
     return judged(documents(spark, sf_dir)).select(
         "doc_id", *MEASURES[:-1], "base_failed", "kept")
+
+
+def _sql(limits: Limits = Limits()) -> str:
+    """The same rows in DuckDB, from windows of words that occur twice in their text.
+
+    Words in repeats of at least k words are the words of the k-word windows found twice, and a
+    repeat longer than k words is a window of k + 1 words found twice.
+    """
+    blank = r"[\x20\x09-\x0D]"
+
+    def windows(k: int) -> str:
+        return f"""
+w{k} AS (
+  SELECT r, i FROM (
+    SELECT r, i, count(*) OVER (PARTITION BY r, w) AS c FROM (
+      SELECT r, unnest(range(1, len(ws) - {k - 2})) AS i,
+             unnest(list_transform(range(1, len(ws) - {k - 2}),
+                                   lambda i: array_to_string(ws[i:i + {k - 1}], ' '))) AS w
+      FROM texts WHERE len(ws) >= {k})) WHERE c > 1),
+c{k} AS (
+  SELECT r, count(*) AS n, sum(length(ws[j])) AS chars
+  FROM (SELECT DISTINCT r, unnest(range(i, i + {k})) AS j FROM w{k}) JOIN texts USING (r)
+  GROUP BY r)"""
+
+    window, span, long = limits.window, limits.span_words, limits.longest + 1
+    return f"""
+WITH numbered AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+texts AS MATERIALIZED (
+  SELECT r, doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws,
+         length(regexp_replace(text, '{blank}', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^{SYMBOLS}]', '', 'g')) AS n_symbols,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))
+           AS lines
+  FROM numbered),{windows(window)},{windows(span)},{windows(long)},
+measured AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, word_chars, n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(a.n, 0) AS n_repeat_words, coalesce(b.chars, 0)::BIGINT AS covered_chars,
+         c.n IS NOT NULL AS long
+  FROM texts LEFT JOIN c{window} a USING (r) LEFT JOIN c{span} b USING (r)
+       LEFT JOIN c{long} c USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_chars,
+       n_words < {limits.least_words}
+         OR 100 * n_repeat_words > {limits.repeat_percent} * n_words AS base_failed,
+       NOT base_failed AND NOT long
+         AND 100 * covered_chars <= {limits.covered_percent} * word_chars AS kept
+FROM measured"""
+
+
+SQL = _sql()

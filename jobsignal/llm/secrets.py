@@ -157,3 +157,45 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = Ledger(spark, working_folder(spark, "secret_ledger"))
     ledger.update(documents(spark, sf_dir).withColumnRenamed("doc_id", "path"), "1")
     return digests(ledger.findings("1"))
+
+
+def _sql(rules: tuple[Rule, ...] = RULES) -> str:
+    """The same rows in DuckDB: a pattern's matches, and what lies between them, give the places."""
+
+    def either_case(pattern: str) -> str:
+        """The pattern with the letters of its case-blind group in classes."""
+        group = re.search(r"\(\?i:([^)]*)\)", pattern)
+        if not group:
+            return pattern
+        letters = re.sub("[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]", group[1])
+        return pattern.replace(group[0], f"(?:{letters})")
+
+    columns, found = [], []
+    for k, rule in enumerate(rules):
+        pattern = either_case(rule.pattern).replace("'", "''")
+        columns += [f"regexp_extract_all(text, '{pattern}') AS m{k}",
+                    f"string_split_regex(text, '{pattern}') AS s{k}",
+                    f"regexp_extract_all(text, '{pattern}', {rule.group}) AS g{k}"]
+        start = (f"list_sum(list_transform(s{k}[1:i], lambda x: length(x)))::BIGINT + "
+                 f"coalesce(list_sum(list_transform(m{k}[1:i - 1], lambda x: length(x))), 0)::BIGINT")
+        found.append(f"list_transform(list_filter(range(1, len(m{k}) + 1), "
+                     f"lambda i: length(g{k}[i]) >= {rule.least}), lambda i: "
+                     f"{{'a': {start}, 'k': {k}, 'n': length(m{k}[i])}})")
+    names = "[" + ", ".join(f"'{r.kind}'" for r in rules) + "]"
+
+    def joined(spans: str) -> str:
+        return (f"array_to_string(list_transform({spans}, lambda s: {names}[s.k + 1] || ':' || s.a "
+                f"|| ':' || (s.a + s.n)), ',')")
+
+    counts = ", ".join(f"len(list_filter(spans, lambda s: s.k = {k}))::BIGINT AS n_{r.kind}"
+                       for k, r in enumerate(BASE))
+    base = f"list_filter(spans, lambda s: s.k < {len(BASE)})"
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+parts AS (SELECT doc_id, {", ".join(columns)} FROM texts),
+found AS (SELECT doc_id, list_sort(flatten([{", ".join(found)}])) AS spans FROM parts)
+SELECT doc_id, {counts}, sha256({joined(base)}) AS base_sha256, {joined("spans")} AS spans
+FROM found"""
+
+
+SQL = _sql()
