@@ -4,8 +4,37 @@ from __future__ import annotations
 
 from catalog import views as V
 from jobsignal.dictionaries import BASIC, POSTINGS, SkillDictionary
-from jobsignal.functions import rules as R
-from jobsignal.functions.text import SPACE_CHARS
+
+# --- fixed values, stated once more so that a wrong one in the library shows -----------------
+SPACE_CHARS = "".join(map(chr, [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203),
+                                8232, 8233, 8239, 8287, 12288]))
+CATEGORY_QUERIES = {
+    "data science": "data scientist",
+    "software engineer": "software engineer",
+    "ml engineer": "machine learning engineer",
+    "machine learning": "machine learning engineer",
+    "data analyst": "data analyst",
+    "devops engineer": "devops engineer",
+    "devops": "devops engineer",
+    "full stack developer": "full stack developer",
+    "full stack": "full stack developer",
+    "sde": "software development engineer",
+}
+REGION_COUNTRIES = {
+    "us": "us", "uk": "gb", "gb": "gb", "eu": "de", "germany": "de", "de": "de",
+    "canada": "ca", "ca": "ca", "australia": "au", "au": "au",
+}
+REGION_TOKENS = (
+    (("us",), (" united states", " usa", " us", "new york", "california", "texas")),
+    (("uk", "gb"), (" united kingdom", " uk", "london", "england", "gb")),
+    (("eu", "de", "germany"), (" germany", "berlin", "munich", "europe", "eu")),
+    (("canada", "ca"), (" canada", "toronto", "vancouver", "montreal")),
+)
+EXCELLENT = "Excellent! Your skills are well-aligned with market demand."
+GOOD = "Good skill set! Some areas for improvement identified."
+MODERATE = "Moderate skill gap. Consider focusing on high-priority missing skills."
+SIGNIFICANT = "Significant skill gap detected. Focus on learning in-demand skills."
+NO_MARKET = "Resume analyzed but no market data available for comparison"
 
 W = r"[\p{L}\p{N}_]"
 NL = "chr(10)"
@@ -102,7 +131,7 @@ def in_region(location: str, regions: tuple[str, ...]) -> str:
     tests = ["false"]
     if "remote" in regions:
         tests.append(f"contains({loc}, 'remote') OR {loc} = ''")
-    for names, tokens in R.REGION_TOKENS:
+    for names, tokens in REGION_TOKENS:
         if set(names) & set(regions):
             tests.extend(f"contains({loc}, {lit(t)})" for t in tokens)
     return "(" + " OR ".join(tests) + ")"
@@ -153,7 +182,7 @@ FEED_SQL = {
         FROM (SELECT *, CASE WHEN doc_id % 5 <> 0 THEN first_line ELSE 'Unknown' END AS title,
                      coalesce(place, 'Remote') AS location FROM {_docs(V.SMALL_PAYLOAD)})
         WHERE pos >= 1
-          AND {has_category("lower(title || ' ' || text || ' ' || lang)", phrases=R.CATEGORY_QUERIES)}""",
+          AND {has_category("lower(title || ' ' || text || ' ' || lang)", phrases=CATEGORY_QUERIES)}""",
     "arbeitnow": f"""
         SELECT cycle, 'arbeitnow' AS source, request, pos, first_line AS title,
                CASE WHEN doc_id % 4 <> 0 THEN source ELSE 'Unknown' END AS company,
@@ -162,7 +191,7 @@ FEED_SQL = {
         FROM (SELECT *, coalesce(place, 'Unknown') AS location,
                      CASE WHEN doc_id % 3 <> 0 THEN lang ELSE '' END AS tags
               FROM {_docs(V.LARGE_PAYLOAD)})
-        WHERE {has_category("lower(first_line || ' ' || text || ' ' || tags)", phrases=R.CATEGORY_QUERIES)}
+        WHERE {has_category("lower(first_line || ' ' || text || ' ' || tags)", phrases=CATEGORY_QUERIES)}
           AND {in_region("location", V.REGIONS)}""",
     "wellfound": f"""
         SELECT cycle, 'wellfound' AS source, request, pos, title, company, location,
@@ -173,7 +202,7 @@ FEED_SQL = {
                   CASE WHEN doc_id % 4 <> 0 THEN source ELSE 'Unknown' END AS company,
                   {strip(f"regexp_replace(' ' || first_line || ' ' || CASE WHEN doc_id % 4 <> 0 THEN ' ' || source || ' ' ELSE '' END || ' ' || coalesce(place, '-') || ' ' || text, {SPACES}, ' ', 'g')")} AS card
                   FROM {_docs(V.LARGE_PAYLOAD)}))
-          WHERE length(card) >= 20 AND {has_category("lower(card)", phrases=R.CATEGORY_QUERIES)}
+          WHERE length(card) >= 20 AND {has_category("lower(card)", phrases=CATEGORY_QUERIES)}
             AND {in_region("location", V.REGIONS)})""",
     "hackernews": f"""
         SELECT cycle, 'hackernews' AS source, request, pos,
@@ -188,7 +217,7 @@ FEED_SQL = {
                                ELSE 'Unknown' END AS location
                 FROM (SELECT *, {html_text("'<b>' || url || '</b> | ' || html")} AS comment
                       FROM ({_entry(V.LARGE_PAYLOAD, "pages", "page_id")}) WHERE page_id % 9 <> 0))
-          WHERE comment <> '' AND {has_category("lower(comment)", phrases=R.CATEGORY_QUERIES)}
+          WHERE comment <> '' AND {has_category("lower(comment)", phrases=CATEGORY_QUERIES)}
             AND {in_region("location", ("global",))})""",
     "adzuna": f"""
         SELECT cycle, 'adzuna' AS source, request, pos, first_line AS title,
@@ -278,9 +307,9 @@ def gap(n: int = 50, fold: int = 40) -> str:
 
 
 ASSESSMENT = f"""CASE
-    WHEN gap_ratio < 20 AND matching_count >= 10 THEN {lit(R.EXCELLENT)}
-    WHEN gap_ratio < 40 AND matching_count >= 5 THEN {lit(R.GOOD)}
-    WHEN gap_ratio < 60 THEN {lit(R.MODERATE)} ELSE {lit(R.SIGNIFICANT)} END"""
+    WHEN gap_ratio < 20 AND matching_count >= 10 THEN {lit(EXCELLENT)}
+    WHEN gap_ratio < 40 AND matching_count >= 5 THEN {lit(GOOD)}
+    WHEN gap_ratio < 60 THEN {lit(MODERATE)} ELSE {lit(SIGNIFICANT)} END"""
 PATH = """path AS (SELECT resume_id, row_number() OVER (PARTITION BY resume_id
             ORDER BY CASE priority WHEN 'High' THEN 0 ELSE 1 END, count DESC, skill) AS "order",
             skill, priority, count AS demand,
@@ -330,12 +359,12 @@ def mapped(pairs: dict[str, str], column: str, default: str) -> str:
 
 
 QUERY_ROWS = f"""
-    asked AS (SELECT filter_id, i, {mapped(R.CATEGORY_QUERIES, "categories[i]", "categories[i]")} AS query
+    asked AS (SELECT filter_id, i, {mapped(CATEGORY_QUERIES, "categories[i]", "categories[i]")} AS query
               FROM (SELECT *, unnest(range(1, len(categories) + 1)) AS i FROM ready)),
     query AS (SELECT filter_id, query, row_number() OVER (PARTITION BY filter_id ORDER BY min(i)) - 1 AS q
               FROM asked GROUP BY filter_id, query)"""
 COUNTRY_ROWS = f"""
-    land AS (SELECT filter_id, i, {mapped(R.REGION_COUNTRIES, "regions[i]", "NULL")} AS country
+    land AS (SELECT filter_id, i, {mapped(REGION_COUNTRIES, "regions[i]", "NULL")} AS country
              FROM (SELECT *, unnest(range(1, len(regions) + 1)) AS i FROM ready)
              WHERE NOT list_contains(regions, 'global')),
     found AS (SELECT filter_id, country, min(i) AS i FROM land WHERE country IS NOT NULL
@@ -571,7 +600,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT c.conv_id, c.turn,
                    CASE WHEN (SELECT count(*) FROM top) > 0 THEN count(t.skill)::INTEGER END AS matching_count,
                    CASE WHEN (SELECT count(*) FROM top) > 0 THEN ((SELECT count(*) FROM top) - count(t.skill))::INTEGER END AS missing_count,
-                   CASE WHEN (SELECT count(*) FROM top) = 0 THEN {lit(R.NO_MARKET)} END AS message
+                   CASE WHEN (SELECT count(*) FROM top) = 0 THEN {lit(NO_MARKET)} END AS message
             FROM conversations c LEFT JOIN have h USING (conv_id, turn)
                  LEFT JOIN top t ON t.skill = h.skill GROUP BY 1, 2""",
         "resume_skills": "WITH " + mentions(

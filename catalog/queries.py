@@ -364,7 +364,7 @@ def streamed_demand(spark, sf):
     base = working_folder(spark, "stream")
     messages.publish(V.postings(spark, sf), "files", f"{base}/messages")
     store = DemandStore(spark, f"{base}/store")
-    stream = messages.message_stream(spark, "files", f"{base}/messages", maxFilesPerTrigger="4")
+    stream = messages.message_stream(spark, "files", f"{base}/messages")
     processor.start(stream, store, f"{base}/checkpoint", V.VOCABULARY, trigger=None,
                     name="streamed_demand").awaitTermination()
     return market.market_demand(store.skill_demand())
@@ -411,8 +411,7 @@ def streamed_keys(spark, sf):
     base = working_folder(spark, "dedup")
     rows = V.postings(spark, sf).select("title", "company", "location", "timestamp")
     rows.write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3) \
-        .parquet(f"{base}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
     kept = trends.deduplicate_stream(stream, "400 days")
     writer = kept.select(*postings.dedup_keys()).writeStream.format("parquet").option(
         "checkpointLocation", f"{base}/checkpoint")
