@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsignal.llm import byte_bpe, mixing, pii, repetition, simhash
-from jobsignal.llm.tables import stored
+from jobsignal.llm.tables import ship, stored
 from jobsignal.session import working_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -22,6 +22,7 @@ def _documents(docs: DataFrame, text: Column | None = None) -> DataFrame:
 
     A column that the input lacks is null.
     """
+    ship(docs.sparkSession)
     if text is not None:
         docs = docs.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
     types = {"doc_id": "long", "n_chars": "long"}
@@ -78,6 +79,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, and the hashes of ids and decoded bytes of every row."""
+    ship(spark)
     return byte_bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 

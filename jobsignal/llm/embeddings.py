@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsignal.llm.simhash import smallest_linked
-from jobsignal.llm.tables import components, stored, tiles
+from jobsignal.llm.tables import components, ship, stored, tiles
 
 
 @dataclass(frozen=True)
@@ -210,6 +210,7 @@ def near_duplicates(vectors: DataFrame, search: Search = Search()) -> DataFrame:
 
 def op2_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all `embeddings`, whatever their labels."""
+    ship(spark)
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet")
                            .select("vec_id", "embedding"))
 

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+from functools import cache
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+import jobsignal
 from jobsignal.session import working_folder
 
 
@@ -16,7 +24,21 @@ def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@cache
+def _ship(context: SparkContext) -> None:
+    root = os.path.dirname(os.path.dirname(os.path.abspath(jobsignal.__file__)))
+    folder = tempfile.mkdtemp(prefix="jobsignal-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{folder}/jobsignal_package", "zip", root, "jobsignal"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, whose Python workers import it; once per application."""
+    _ship(spark.sparkContext)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
 
 
