@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignal.llm.tables import running_total, stored
+from jobsignal.llm.tables import running_total, ship, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 _WORD = re.compile(WORD)
@@ -37,6 +37,8 @@ class Mix:
     most: int = 2
     block_words: int = 64
     shard_blocks: int = 4096
+    #: Shards whose slots one task makes, about.
+    task_shards: int = 16
     seed: int = 42
 
 
@@ -158,7 +160,8 @@ def shard_draws(targets: DataFrame, shards: int, mix: Mix = Mix()) -> DataFrame:
 
     by_group = targets.select("source", "blocks", "draws").mapInArrow(
         spread, "source string, blocks long, shards long, first_slot long, n long")
-    return by_group.repartition("source", "shards").mapInArrow(
+    # A stated number of tasks: by the size of these few rows they would all go to one.
+    return by_group.repartition(max(1, shards // mix.task_shards), "source", "shards").mapInArrow(
         within, "source string, blocks long, shard long, first_slot long, n long")
 
 
@@ -264,5 +267,6 @@ def op7_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     Null texts have size 0, null sources are a source of their own, repeated rows are documents of
     their own; an empty table gives no rows.
     """
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return taken(*mixture(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))))
