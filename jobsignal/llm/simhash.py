@@ -1,13 +1,16 @@
 """SimHash fingerprints, and their comparison on vertical bit planes.
 
-Fingerprints within the radius share at least one of `radius + 1` bands of bits.  They are dealt
-out by band, many bands to a pool, and each pool is compared whole: its fingerprints are stored as
-64 bit planes, lane by lane, and the distances of many pairs grow at once in bitwise counters.
+Cut into `bands` of bits, fingerprints within the radius agree in all but `radius` of them.  They
+are dealt out by every choice of the other bands, many choices to a pool, and each pool is compared
+whole: its fingerprints are stored as 64 bit planes, lane by lane, and the distances of many pairs
+grow at once in bitwise counters.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -173,23 +176,40 @@ def smallest_linked(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> n
     return low
 
 
+def masks(radius: int, bands: int) -> list[int]:
+    """The bits in which a pair within the radius agrees, for each choice of its differing bands."""
+    if bands <= radius:
+        raise ValueError("there must be more bands than the radius")
+    edges = [64 * i // bands for i in range(bands + 1)]
+    band = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
+    return [sum(chosen) for chosen in combinations(band, bands - radius)]
+
+
+def bands_for(n: int, radius: int = RADIUS) -> int:
+    """The fewest bands whose choices spread n fingerprints over pools of the wanted size.
+
+    More bands fix more bits at once and have more choices; any number finds the same pairs.
+    """
+    bands = radius + 1
+    while bands < 16 and 64 * (bands - radius) // bands < math.log2(max(1, n / POOL)):
+        bands += 1
+    return bands
+
+
 def links(prints: DataFrame, radius: int = RADIUS, bands: int | None = None) -> DataFrame:
     """Edges (src, dst) that connect all fingerprints within the radius, by their ids.
 
     `prints` has one row per distinct fingerprint: (id, print).  Each pool gives a row per linked
     member at most, to the smallest id that it is connected with there, however many pairs there
-    are.  Pools are as many as the rows demand; one that holds a very frequent band is cut into
-    blocks, and any two blocks meet.
+    are.  Pools are as many as the rows demand; one that holds a very frequent choice of bits is
+    cut into blocks, and any two blocks meet.
     """
-    bands = bands or radius + 1
-    if bands <= radius:
-        raise ValueError("there must be more bands than the radius")
-    edges = [64 * i // bands for i in range(bands + 1)]
-    pools = max(1, -(-prints.count() * bands // POOL))
+    n = prints.count()
+    choices = masks(radius, bands or bands_for(n, radius))
+    pools = max(1, -(-n * len(choices) // POOL))
     own = F.array_distinct(F.array(*[
-        F.pmod(F.xxhash64(F.lit(i), F.shiftrightunsigned("print", a)
-                          .bitwiseAND(F.lit((1 << (b - a)) - 1))), F.lit(pools))
-        for i, (a, b) in enumerate(zip(edges, edges[1:]))]))
+        F.pmod(F.xxhash64(F.lit(i), F.col("print").bitwiseAND(F.lit(m - (m >> 63 << 64)))),
+               F.lit(pools)) for i, m in enumerate(choices)]))
     dealt = prints.select("id", "print", F.explode(own).alias("pool"))
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:

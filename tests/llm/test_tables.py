@@ -117,11 +117,22 @@ def test_links_reach_all_pairs_also_in_crowded_pools(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 64)
     df = spark.createDataFrame([(i, p - (p >> 63 << 64)) for i, p in enumerate(prints)],
                                "id long, print long")
-    found = simhash.links(df).collect()
-    assert len(found) < 20 * len(prints)
     want = smallest_reachable(range(len(prints)), close(prints, prints, 4))
-    got = smallest_reachable(range(len(prints)), [tuple(r) for r in found])
-    assert got == want
+    for bands in (None, 6):
+        found = simhash.links(df, bands=bands).collect()
+        assert bands or len(found) < 20 * len(prints)
+        assert smallest_reachable(range(len(prints)), [tuple(r) for r in found]) == want
+
+
+def test_bands_grow_with_the_fingerprints_and_lose_no_pair():
+    assert [simhash.bands_for(n) for n in (0, 10**5, 10**8, 10**11)] == [5, 5, 6, 8]
+    rng = np.random.default_rng(2)
+    for bands in (5, 6, 8):
+        choices = simhash.masks(4, bands)
+        assert len(choices) == math.comb(bands, 4)
+        for _ in range(200):
+            differ = sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
+            assert any(m & differ == 0 for m in choices)
 
 
 # Embeddings ---------------------------------------------------------------------------------
