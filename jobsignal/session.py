@@ -44,7 +44,7 @@ def working_folder(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         shared = _own_folder()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
