@@ -405,6 +405,9 @@ def oracle_sql() -> dict[str, str]:
         "skill_demand_topk": f"""WITH {posting_vocab}
             SELECT skill, sum(mentions)::BIGINT AS count FROM mention GROUP BY skill
             ORDER BY count DESC, skill LIMIT 20""",
+        "demand_of_all_skills": "WITH " + mentions(LOW_POSTINGS, "doc_id, source", POSTINGS) + f"""
+            SELECT d.skill, coalesce(sum(mentions), 0)::BIGINT AS count
+            FROM {values(POSTINGS)} LEFT JOIN mention m ON m.skill = d.skill GROUP BY 1""",
         "skill_demand_by_source": f"""WITH {posting_vocab}
             SELECT source, skill, sum(mentions)::BIGINT AS count FROM mention GROUP BY ALL""",
         "skill_mentions": f"WITH {text_terms} SELECT doc_id, skill, mentions FROM mention",

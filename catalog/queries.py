@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog import views as V
 from catalog.oracles import MARKUP_TERMS, PHRASE_TERMS
-from jobsignal.dictionaries import BASIC, POSTINGS, SkillDictionary
+from jobsignal.dictionaries import BASIC, POSTINGS, SkillDictionary, all_skills
 from jobsignal.functions import rules
 from jobsignal.functions import skills as S
 from jobsignal.functions.text import html_to_text, word_count
@@ -47,6 +47,15 @@ def skill_demand_topk(spark, sf):
     return market.top_n(market.posting_demand(V.postings(spark, sf), V.VOCABULARY), 20)
 
 
+@query
+def demand_of_all_skills(spark, sf):
+    """Every posting skill, also those that no posting names."""
+    names = spark.createDataFrame([(n,) for n in all_skills(distinct=True)], "skill string")
+    found = market.posting_demand(V.postings(spark, sf), POSTINGS)
+    return names.join(found, "skill", "left").select(
+        "skill", F.coalesce("count", F.lit(0)).cast("long").alias("count"))
+
+
 @query
 def skill_demand_by_source(spark, sf):
     return market.posting_demand(V.postings(spark, sf), V.VOCABULARY, by=["source"])
