@@ -223,9 +223,9 @@ def taken(docs: DataFrame, targets: DataFrame, pieces: DataFrame) -> DataFrame:
     used = pieces.groupBy("source", "offset").agg(F.sum(F.col("last") - F.col("first"))
                                                   .alias("taken")) \
         .select(F.col("source").alias("of"), F.col("offset").alias("at"), "taken")
-    some = docs.filter("size > 0").join(
-        used.hint("merge"), (F.col("offset") == F.col("at")) & F.col("source").eqNullSafe(F.col("of")), "left") \
-        .select("doc_id", "source", "size", F.coalesce("taken", F.lit(0)).alias("taken"))
+    same = (F.col("offset") == F.col("at")) & F.col("source").eqNullSafe(F.col("of"))
+    some = docs.filter("size > 0").join(used.hint("merge"), same, "left").select(
+        "doc_id", "source", "size", F.coalesce("taken", F.lit(0)).alias("taken"))
     every = some.union(docs.filter("size = 0")
                        .select("doc_id", "source", "size", F.lit(0).cast("long")))
     of = targets.select(F.col("source").alias("of"), "source_size", "target")

@@ -22,7 +22,6 @@ import json
 import re
 import struct
 import unicodedata
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
