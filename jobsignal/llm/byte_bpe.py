@@ -14,11 +14,14 @@ import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobsignal.llm.tables import documents
 
 #: Characters after which a longer text is cut at the next safe boundary.
 PIECE = 1 << 16
+#: Rows whose ids and bytes a worker holds at a time.
+VISIT_ROWS = 256
 #: Every match of the splitting pattern ends between such characters, whatever stands around.
 _PLAIN_BOUNDARY = re.compile(r"(?<=[A-Za-z0-9])(?=[ \n])")
 _BOUNDARY = regex.compile(r"(?<=\p{L})(?!\p{L})|(?<=\p{N})(?!\p{N})")
@@ -101,13 +104,41 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded
     return df.withColumn(out, decoded_bytes(F.col(ids), ranks_path))
 
 
+def round_trip(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids",
+               decoded: str = "decoded", pattern: str = public_tokenizers.PATTERN) -> DataFrame:
+    """Replace `text` by its ids and by the bytes decoded from them, in one visit.
+
+    Some rows at a time leave the worker, so that neither the ids nor the bytes of a whole batch
+    are held.  Columns named like the new ones are replaced.
+    """
+    kept = [f for f in df.schema if f.name not in (text, ids, decoded)]
+    schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType())),
+                           T.StructField(decoded, T.BinaryType())])
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(ranks_path, pattern)
+        for batch in batches:
+            for start in range(0, batch.num_rows, VISIT_ROWS):
+                part = batch.slice(start, VISIT_ROWS)
+                lists = [ids_of(enc, x.as_py() or "") for x in part.column(text)]
+                ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+                flat = pa.array(np.concatenate(lists).astype(np.int32))
+                back = [enc.decode_bytes(x.tolist()) for x in lists]
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(f.name) for f in kept],
+                     pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(back, pa.binary())],
+                    [*[f.name for f in kept], ids, decoded])
+
+    return df.select(*[f.name for f in kept], text).mapInArrow(visit, schema)
+
+
 def digests(df: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, n_tokens and the hashes of the ids and of the decoded bytes, one row per row.
 
     Null and empty texts have no tokens and the hashes of nothing; repeated rows are repeated; an
     empty table gives an empty one; further columns are not read.
     """
-    both = decode(encode(df.select("doc_id", "text"), ranks_path), ranks_path)
+    both = round_trip(df.select("doc_id", "text"), ranks_path)
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
