@@ -14,7 +14,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,16 +106,23 @@ class DemandStore:
             _partitioned(commits.coalesce(1), f"{path}_commits", "overwrite", "date")
 
     def _add(self, rows: DataFrame, path: str, run_id: str, *parts: str) -> None:
+        """Write the rows, then a commit for each batch and date among them.
+
+        The dates are noted while the rows are written, so that the commits are made from the files
+        of those days and nothing is computed twice.
+        """
         attempt = uuid.uuid4().hex
-        tagged = rows.withColumn("run_id", F.lit(run_id)).withColumn("attempt", F.lit(attempt))
+        seen = Observation()
+        tagged = rows.withColumn("run_id", F.lit(run_id)).withColumn("attempt", F.lit(attempt)) \
+            .observe(seen, F.min("date").alias("first"), F.max("date").alias("last"))
         _partitioned(tagged.hint("rebalance", *parts), path, "append", *parts)
-        written = self.spark.read.schema(self._stored(rows.schema)).parquet(path) \
-            .where(F.col("attempt") == attempt)
-        days = rows.agg(F.collect_set("date")).scalar()
-        done = written.where(F.array_contains(days, F.col("date"))).groupBy("batch_id", "date") \
-            .agg(F.count("*").alias("n")).select(
-                F.lit(run_id).alias("run_id"), "batch_id", F.lit(attempt).alias("attempt"),
-                F.current_timestamp().alias("committed_at"), "date")
+        days = seen.get
+        written = self.spark.read.schema(self._stored(rows.schema)).parquet(path).where(
+            F.col("date").between(F.lit(days["first"]), F.lit(days["last"]))
+            & (F.col("attempt") == attempt))
+        done = written.groupBy("batch_id", "date").agg(F.count("*").alias("n")).select(
+            F.lit(run_id).alias("run_id"), "batch_id", F.lit(attempt).alias("attempt"),
+            F.current_timestamp().alias("committed_at"), "date")
         _partitioned(done.coalesce(1), f"{path}_commits", "append", "date")
 
     def _stored(self, schema: T.StructType) -> T.StructType:
