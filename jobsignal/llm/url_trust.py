@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,11 +50,16 @@ RULES = (
 
 @dataclass(frozen=True)
 class Propagation:
-    """`chunk` steps make one job; the scores are written down after each."""
+    """`chunk` steps make one job; the scores are written down after each.
+
+    After `steps` steps they go on until no score changes by more than `tolerance` of itself in a
+    chunk.  The SQL, whose steps are written out, ends after `steps`.
+    """
 
     damping: float = 0.85
     steps: int = 10
     chunk: int = 5
+    tolerance: float = 1e-6
     threshold: float = 0.5
 
 
@@ -102,8 +108,18 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     return linked.union(both).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
+def settled(before: DataFrame, after: DataFrame, how: Propagation) -> bool:
+    """Whether no score of `after` moved by more than the tolerance; new hosts have moved.
+
+    Near the smallest doubles, below 1e-300, a score has too few digits left to be compared.
+    """
+    moved = F.abs(F.col("score") - F.coalesce("old", F.lit(0.0)))
+    return after.join(before.withColumnRenamed("score", "old"), ["host", "kind"], "left") \
+        .filter(moved > how.tolerance * F.col("score") + 1e-300).isEmpty()
+
+
 def scores(edges: DataFrame, seeds: DataFrame, how: Propagation = Propagation()) -> DataFrame:
-    """(host, kind, score) after some steps from `seeds` (host, kind, start).
+    """(host, kind, score) from `seeds` (host, kind, start), after steps until they settle.
 
     Kind "trust" goes along the edges and "distrust" against them; both are one table, so that a
     step is one join and one sum.  What reaches a host without edges stays there.
@@ -119,14 +135,17 @@ def scores(edges: DataFrame, seeds: DataFrame, how: Propagation = Propagation())
                   "host_flow")
     fixed = seeds.select("host", "kind", ((1 - how.damping) * F.col("start")).alias("score"))
     state = seeds.select("host", "kind", F.col("start").alias("score"))
-    for step in range(1, how.steps + 1):
+    before = state
+    for step in count(1):
         moved = state.join(flow, (F.col("host") == F.col("from")) & (F.col("kind") == F.col("of"))) \
             .select(F.col("to").alias("host"), "kind",
                     (how.damping * F.col("score") * F.col("share")).alias("score"))
         state = moved.union(fixed).groupBy("host", "kind").agg(F.sum("score").alias("score"))
-        if step % how.chunk == 0 or step == how.steps:
+        if step % how.chunk == 0:
             state = stored(state, "host_scores")
-    return state
+            if step >= how.steps and settled(before, state, how):
+                return state
+            before = state
 
 
 def seed_hosts(judged: DataFrame) -> DataFrame:
@@ -157,11 +176,12 @@ def blocked_hosts(pages: DataFrame, judged: DataFrame,
     found = scores(stored(host_edges(pages, hosts), "host_edges"), seeds, how)
 
     def of(kind: str) -> Column:
-        return F.round(F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))),
-                                  F.lit(0.0)), 12)
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0))
 
+    # The share of distrust, as scores shrink when the table grows; its digits are those settled.
+    share = F.round(F.try_divide("bad", F.col("bad") + F.col("good")), 6)
     return found.groupBy("host").agg(of("distrust").alias("bad"), of("trust").alias("good")) \
-        .filter(F.col("bad") > how.threshold * (F.col("bad") + F.col("good"))).select("host")
+        .filter(share > how.threshold).select("host")
 
 
 def judged_pages(pages: DataFrame, rules: Sequence[UrlRule] = RULES,

@@ -294,6 +294,19 @@ def test_trust_and_distrust_reach_other_hosts(spark):
         assert r["verdict"] == expected, r
 
 
+@pytest.mark.parametrize("hops, leaves", [(9, 20), (15, 0)])  # small scores; a long way
+def test_distrust_alone_reaches_far_hosts(spark, hops, leaves):
+    chain = ["bad.net", *[f"h{i}.org" for i in range(hops)]]
+    pages = [("http://bad.net/es/1", None)]
+    for near, far in zip(chain, chain[1:]):
+        pages += [(f"http://{h}/p", f"<a href='//{near}/x'>")
+                  for h in (far, *[f"l{i}-{far}" for i in range(leaves)])]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)],
+                               "page_id long, url string, html string")
+    got = url_trust.judged_pages(df).collect()
+    assert len(got) == len(pages) and {r["verdict"] for r in got} == {"block"}
+
+
 # Mixing -------------------------------------------------------------------------------------
 
 
