@@ -6,9 +6,9 @@ product with another rotated vector, divided by the factor, is an unbiased estim
 and the factor also bounds how far the estimate strays.  Pairs whose bound reaches the threshold
 are computed again exactly.
 
-Pairs are met in buckets: several independent rotations, whose leading signs make a bucket's
-number.  How many bits and rotations follows from the number of vectors and from the recall asked
-for at the threshold itself; closer pairs are met more surely.
+All pairs of one length meet, in tiles of two blocks, and the bound is wide enough to hold for
+certain, so that no link is lost.  The work grows with the square of the number of vectors; the
+rows dealt grow with it too, divided by a block of `tile` rows.
 """
 
 from __future__ import annotations
@@ -23,17 +23,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsignal.llm.simhash import smallest_linked
-from jobsignal.llm.tables import components, ship, stored, tiles
+from jobsignal.llm.tables import components, ship, stored
 
 
 @dataclass(frozen=True)
 class Search:
-    """`error` is the number of standard deviations of the estimate that its bound allows for."""
+    """`error` is the least number of standard deviations that the estimate's bound allows for.
+
+    Vectors are dealt in blocks of `spread * block`, of which `block` are compared at a time.
+    `recall` and `bucket` only belong to `bits` and `rotations`, the size of a search in buckets
+    of leading signs; the links don't depend on it.
+    """
 
     cosine: float = 0.9
     recall: float = 0.9995
     bucket: int = 1024
     block: int = 1024
+    spread: int = 8
     error: float = 5.0
     seed: int = 42
 
@@ -41,6 +47,14 @@ class Search:
         """Signs in a bucket's number: as many as make buckets of about `bucket` vectors."""
         return max(0, min(width, 30, math.ceil(math.log2(max(1, n / self.bucket)))))
 
+    def certain(self, width: int) -> float:
+        """Deviations that hold for certain for a pair at the threshold, `error` at least.
+
+        The angle to the other's code is at most the pair's angle and the code's own together, so
+        the estimate is at most sqrt(1 - cosine^2) sqrt(1 - factor^2) / factor below the threshold.
+        """
+        return max(self.error, math.sqrt((1 - self.cosine ** 2) * max(1, width - 1)))
+
     def rotations(self, bits: int) -> int:
         """Rotations after which a pair at the threshold shared a bucket with the wanted recall."""
         same = (1 - math.acos(self.cosine) / math.pi) ** bits
@@ -76,14 +90,16 @@ def close_pairs(left: np.ndarray, right: np.ndarray, search: Search,
                 turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of unit vectors with at least the wanted cosine.
 
-    A pair is computed exactly if both estimates, from either one's code, could reach it.
+    A pair is computed exactly if both estimates, from either one's code, could reach it.  The
+    estimates are in single precision, hence the slack.
     """
+    error, slack = search.certain(left.shape[1]), 1e-4
     rotated_l, bits_l, factors_l = codes(left, turn)
     rotated_r, bits_r, factors_r = codes(right, turn)
-    guess, bound = estimates(bits_l, factors_l, rotated_r, search.error)
-    maybe = guess + bound >= search.cosine
-    guess, bound = estimates(bits_r, factors_r, rotated_l, search.error)
-    maybe &= (guess + bound >= search.cosine).T
+    guess, bound = estimates(bits_l, factors_l, rotated_r, error)
+    maybe = guess + bound >= search.cosine - slack
+    guess, bound = estimates(bits_r, factors_r, rotated_l, error)
+    maybe &= (guess + bound >= search.cosine - slack).T
     a, b = np.nonzero(maybe)
     keep = np.zeros(len(a), bool)
     for at in range(0, len(a), 1 << 16):
@@ -104,65 +120,49 @@ def _units(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def bucketed(vectors: DataFrame, width: int, n: int, search: Search) -> DataFrame:
-    """Add `buckets`: the number of a vector's bucket in each rotation."""
-    bits = search.bits(n, width)
-    turns = [rotation(width, search.seed + 1 + t)[:bits] for t in range(search.rotations(bits))]
-    weights = 1 << np.arange(bits, dtype=np.int64)
-
-    @F.arrow_udf("array<int>")
-    def numbers(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            units = _units(_matrix(batch, width))
-            own = np.stack([((units @ t.T >= 0) @ weights) for t in turns], axis=1)
-            yield pa.ListArray.from_arrays(
-                pa.array(np.arange(len(units) + 1, dtype=np.int32) * len(turns)),
-                pa.array(own.reshape(-1).astype(np.int32)))
-
-    return vectors.withColumn("buckets", numbers("vector"))
-
-
 def _links(classes: DataFrame, width: int, n: int, search: Search) -> DataFrame:
     """(id, other, links) per tile: how many rows a class is linked with there, and the smallest
     class that the tile connects it with.
 
-    A pair that shares several buckets counts in the first of them only.  A tile gives a row per
-    class at most, however many pairs it has.
+    Any two of the `n` classes meet in one tile.  A tile gives a row per class at most, however
+    many pairs it has.
     """
-    dealt = bucketed(classes, width, n, search).select(
-        "id", "copies", "vector", "buckets", F.posexplode("buckets").alias("turn", "bucket"))
+    blocks = math.ceil(n / (search.spread * search.block))
+    dealt = classes.select("id", "copies", "vector", F.pmod(
+        F.xxhash64("id", F.lit("block")), F.lit(blocks)).cast("int").alias("block")) \
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) \
+        .withColumn("tile_i", F.least("block", "with")) \
+        .withColumn("tile_j", F.greatest("block", "with")).drop("with")
     error_turn = rotation(width, search.seed)
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
-        turn, i, j = key[0].as_py(), key[2].as_py(), key[3].as_py()
+        i, j = key[0].as_py(), key[1].as_py()
         ids = table.column("id").to_numpy()
         order = np.argsort(ids, kind="stable")
         ids, copies = ids[order], table.column("copies").to_numpy()[order]
         units = _units(_matrix(table.column("vector"), width))[order]
-        shared = _matrix(table.column("buckets"), -1 if not len(ids) else
-                         len(table.column("buckets")[0])).astype(np.int32)[order]
         block = table.column("block").to_numpy()[order]
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         total = np.zeros(len(ids), np.int64)
-        pairs = []
-        for at in range(0, len(left), search.block):
-            rows = left[at:at + search.block]
-            a, b = close_pairs(units[rows], units[right], search, error_turn)
-            a, b = rows[a], right[b]
-            new = a < b if i == j else np.ones(len(a), bool)
-            a, b = a[new], b[new]
-            if turn:
-                new = ~(shared[a, :turn] == shared[b, :turn]).any(axis=1)
-                a, b = a[new], b[new]
-            np.add.at(total, a, copies[b])
-            np.add.at(total, b, copies[a])
-            pairs.append((a, b))
-        low = smallest_linked(len(ids), iter(pairs))
+
+        def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for at in range(0, len(left), search.block):
+                rows = left[at:at + search.block]
+                for to in range(at if i == j else 0, len(right), search.block):
+                    others = right[to:to + search.block]
+                    a, b = close_pairs(units[rows], units[others], search, error_turn)
+                    a, b = rows[a], others[b]
+                    if i == j and at == to:
+                        a, b = a[a < b], b[a < b]
+                    np.add.at(total, a, copies[b])
+                    np.add.at(total, b, copies[a])
+                    yield a, b
+
+        low = smallest_linked(len(ids), pairs())
         found = total > 0
         return pa.table({"id": ids[found], "other": ids[low[found]], "links": total[found]})
 
-    return tiles(dealt, ["turn", "bucket"], "id", search.block) \
-        .groupBy("turn", "bucket", "tile_i", "tile_j") \
+    return dealt.groupBy("tile_i", "tile_j") \
         .applyInArrow(compare, "id long, other long, links long")
 
 

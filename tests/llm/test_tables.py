@@ -175,6 +175,22 @@ def test_near_duplicate_vectors(spark, vectors):
     assert sum(r["n_links"] for r in several) >= 0.99 * len(pairs)
 
 
+@pytest.mark.parametrize("width", [2, 16, 64, 300])
+def test_links_are_exact_in_many_blocks(spark, width):
+    """Pairs just above and just below the threshold, in tables of more than 1024 vectors."""
+    rng = np.random.default_rng(width)
+    a = embeddings._units(rng.standard_normal((700, width)))
+    b = rng.standard_normal((700, width))
+    b = embeddings._units(b - (a * b).sum(1, keepdims=True) * a)
+    c = rng.choice([0.8999, 0.9001, 0.905], (700, 1))
+    units = np.concatenate([a, c * a + np.sqrt(1 - c * c) * b])
+    linked = units @ units.T >= 0.9
+    df = spark.createDataFrame(list(enumerate(units.tolist())), "vec_id long, embedding array<double>")
+    for search in (embeddings.Search(bucket=64), embeddings.Search(bucket=64, block=64, error=0.5)):
+        got = embeddings.near_duplicates(df, search).collect()
+        assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate(linked.sum(1) - 1))
+
+
 def test_estimates_are_unbiased_and_their_bounds_hold():
     rng = np.random.default_rng(8)
     left, right = (embeddings._units(rng.standard_normal((400, 64))) for _ in range(2))
