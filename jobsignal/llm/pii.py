@@ -314,7 +314,10 @@ def detected(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; of overlapping ones the first."""
+    """The text with each span replaced by its kind in brackets.
+
+    Overlapping spans are replaced as one, by the kind of the first; nothing of them stays.
+    """
 
     @F.arrow_udf("string")
     def each(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -325,7 +328,7 @@ def redacted(text: Column, spans: Column) -> Column:
                 for span in (found.as_py() or []) if s is not None else []:
                     if span["start"] >= at:
                         parts += [s[at:span["start"]], f"[{span['kind'].upper()}]"]
-                        at = span["end"]
+                    at = max(at, span["end"])
                 out.append("".join([*parts, s[at:]]) if s is not None else None)
             yield pa.array(out, pa.string())
 

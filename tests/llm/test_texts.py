@@ -302,6 +302,18 @@ def test_classifier_trusts_labelers_and_not_failed_checks():
     assert "national_phone:---0-:13" not in good
 
 
+def test_overlapping_spans_are_redacted_whole(spark):
+    texts = {"+1 555 123 4567-joe@x.com": "[PHONE]", "a +1 555 123 4567-joe@x.com b": "a [PHONE] b",
+             "10.0.0.41 1111 1111 1111 11 x": "[IP] x", "joe@x.com, 10.0.0.41": "[EMAIL], [IP]"}
+    for text in list(texts)[:3]:
+        a, b = pii.proposals(text)
+        assert a[0] in ("phone", "ip") and b[0] in ("email", "card") and a[1] < b[1] < a[2] < b[2]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    spans = pii.spans_of(pii.proposed(df.text), [])
+    for text, out in df.select("text", pii.redacted(df.text, spans)).collect():
+        assert out == texts[text]
+
+
 def test_very_long_runs_take_linear_time():
     for unit in ("a", "1", "@", "1.", "+1", "(", "a@", "a@b.c", "1-", "[at]", " "):
         pii.proposals(unit * (200_000 // len(unit)))
