@@ -5,13 +5,15 @@ issuers and country codes, the words before it, its surroundings and its form; e
 nothing.  Expectation-maximisation over the counts of vote patterns in the whole corpus estimates
 how far each labeler can be trusted and how likely each pattern is personal data, and a logistic
 classifier learns that from votes, kind and form.  Spans of the base kinds that pass their checks
-always stay; the classifier decides on the others.
+always stay; the classifier decides on the others, and of accepted ones that overlap the likelier
+stays.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -114,35 +116,41 @@ def phones(text: str) -> Iterator[Span]:
             yield "phone", *m.span()
 
 
+def every(kind: str, pattern: re.Pattern[str], text: str) -> Iterator[Span]:
+    """The pattern's match from each place, also inside the one before."""
+    m = pattern.search(text)
+    while m:
+        yield kind, *m.span()
+        m = pattern.search(text, m.start() + 1)
+
+
 def proposals(text: str) -> list[Span]:
-    """All proposed spans by start, then kind; others give way to base spans they overlap."""
+    """All proposed spans by start, then kind; others give way to base spans they overlap.
+
+    Others may overlap each other: that is settled among those that the classifier accepts.
+    """
     base: list[Span] = []
     more: list[Span] = []
     if "@" in text:
         base += emails(text)
     if "at" in text.lower() and ("[" in text or "(" in text):
-        more += [("spelled_email", *m.span()) for m in _SPELLED.finditer(text)]
+        more += every("spelled_email", _SPELLED, text)
     if _DIGIT.search(text):
         base += ips(text)
         for span in cards(text):
             (base if span[0] == "card" else more).append(span)
         if "+" in text:
             base += phones(text)
-        more += [("social_number", *m.span()) for m in _SOCIAL.finditer(text)]
-        more += [("national_phone", *m.span()) for m in _NATIONAL.finditer(text)]
-        more += [("bank_account", *m.span()) for m in _BANK.finditer(text)]
-    if more:
+        more += every("social_number", _SOCIAL, text)
+        more += every("national_phone", _NATIONAL, text)
+        more += every("bank_account", _BANK, text)
+    if more and base:
         ranked = sorted(base, key=lambda s: s[1])
         starts = [s[1] for s in ranked]
-        reach = np.maximum.accumulate([s[2] for s in ranked]) if ranked else []
-        free, last = [], -1
-        for s in sorted(more, key=lambda s: (s[1], KINDS.index(s[0]))):
-            k = int(np.searchsorted(starts, s[2])) if starts else 0
-            if s[1] >= last and not (k and reach[k - 1] > s[1]):
-                free.append(s)
-                last = s[2]
-        base += free
-    return sorted(base, key=lambda s: (s[1], KINDS.index(s[0])))
+        reach = np.maximum.accumulate([s[2] for s in ranked])
+        last = [int(k) for k in np.searchsorted(starts, [s[2] for s in more])]
+        more = [s for s, k in zip(more, last) if not (k and reach[k - 1] > s[1])]
+    return sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
 def _bank_check(s: str) -> bool:
@@ -272,17 +280,17 @@ def train(patterns: dict[str, int], likely: dict[str, float], decay: float = 1.0
     return w
 
 
-def accepted(patterns: dict[str, int], threshold: float = 0.5) -> list[str]:
-    """The patterns that the trained classifier takes for personal data, sorted."""
+def accepted(patterns: dict[str, int], threshold: float = 0.5) -> dict[str, float]:
+    """The patterns that the trained classifier takes for personal data, with its scores."""
     if not patterns:
-        return []
+        return {}
     weights = train(patterns, estimate(patterns))
-    return sorted(p for p in patterns
-                  if 1 / (1 + math.exp(-float(features(p) @ weights))) >= threshold)
+    likely = {p: 1 / (1 + math.exp(-float(features(p) @ weights))) for p in sorted(patterns)}
+    return {p: score for p, score in likely.items() if score >= threshold}
 
 
-def accepted_counts(found: DataFrame) -> list[str]:
-    """The accepted patterns of `found`, a table with a column `proposed`.
+def accepted_counts(found: DataFrame) -> dict[str, float]:
+    """The accepted patterns with scores of `found`, a table with a column `proposed`.
 
     A pattern has one of a fixed number of forms, so that the counts that the driver fetches are
     bounded, whatever the corpus.
@@ -292,16 +300,44 @@ def accepted_counts(found: DataFrame) -> list[str]:
     return accepted({r["pattern"]: r["count"] for r in counts})
 
 
-def accepted_patterns(df: DataFrame, text: str = "text") -> list[str]:
-    """The accepted patterns of all texts of `df`."""
+def accepted_patterns(df: DataFrame, text: str = "text") -> dict[str, float]:
+    """The accepted patterns with scores of all texts of `df`."""
     return accepted_counts(df.select(proposed(F.col(text)).alias("proposed")))
 
 
-def spans_of(proposed: Column, good: list[str]) -> Column:
-    """Of the proposed spans those of base kinds and of accepted patterns (kind, start, end)."""
-    stays = F.filter(proposed, lambda s: s["kind"].isin(list(BASE)) | s["pattern"].isin(good))
-    return F.transform(stays, lambda s: F.struct(
-        s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+def settled(spans: list[dict], good: dict[str, float]) -> list[dict]:
+    """The spans of base kinds, and of accepted patterns those that overlap no likelier one.
+
+    Of equally likely ones the first by start, then kind, stays.
+    """
+    starts: list[int] = []
+    ends: list[int] = []
+    stays = []
+    others = [s for s in spans if s["kind"] not in BASE and s["pattern"] in good]
+    for s in sorted(others, key=lambda s: (-good[s["pattern"]], s["start"],
+                                           KINDS.index(s["kind"]))):
+        k = bisect(starts, s["start"])
+        if (k == 0 or ends[k - 1] <= s["start"]) and \
+                (k == len(starts) or starts[k] >= s["end"]):
+            starts.insert(k, s["start"])
+            ends.insert(k, s["end"])
+            stays.append(s)
+    return sorted([s for s in spans if s["kind"] in BASE] + stays,
+                  key=lambda s: (s["start"], KINDS.index(s["kind"])))
+
+
+def spans_of(proposed: Column, good: dict[str, float]) -> Column:
+    """Of the proposed spans those that stay (kind, start, end), given the accepted patterns."""
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
+                               ("end", pa.int32())]))
+
+    @F.arrow_udf("array<struct<kind:string,start:int,end:int>>")
+    def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in batches:
+            yield pa.array([[{k: s[k] for k in ("kind", "start", "end")}
+                             for s in settled(x.as_py() or [], good)] for x in lists], kind)
+
+    return each(proposed)
 
 
 def detected(df: DataFrame, key: list[str], text: str = "text") -> DataFrame:

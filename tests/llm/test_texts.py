@@ -302,6 +302,31 @@ def test_classifier_trusts_labelers_and_not_failed_checks():
     assert "national_phone:---0-:13" not in good
 
 
+@pytest.mark.parametrize("text, real", [("2023 555-123-4567", ("national_phone", 5, 17)),
+                                        ("2023 123-45-6789", ("social_number", 5, 16))])
+def test_rejected_proposals_hide_nothing(spark, text, real):
+    assert pii.proposals(text) == [("unchecked_card", 0, len(text)), real]
+    pattern = f"{real[0]}:{pii.votes(text, *real)}:{pii.shape(text[real[1]:real[2]])}"
+    df = spark.createDataFrame([(text,)], "text string")
+    spans = df.select(pii.spans_of(pii.proposed(df.text), {pattern: 0.6})).first()[0]
+    assert [tuple(s) for s in spans] == [real]
+
+
+def test_proposals_of_one_kind_may_overlap():
+    assert [s for s in pii.proposals("2023 555 123 4567") if s[0] == "national_phone"] == \
+        [("national_phone", 0, 12), ("national_phone", 5, 17)]
+
+
+def test_overlaps_are_settled_by_score():
+    spans = [{"kind": k, "start": a, "end": b, "pattern": p} for k, a, b, p in (
+        ("unchecked_card", 0, 17, "c"), ("email", 2, 4, "e"), ("national_phone", 5, 17, "n"),
+        ("social_number", 17, 28, "s"), ("national_phone", 20, 32, "n"))]
+    for good, want in (({"c": .9, "n": .8, "s": .7}, [0, 2, 20]), ({"c": .6, "n": .8}, [2, 5, 20]),
+                       ({"c": .8, "n": .8, "s": .8}, [0, 2, 17]), ({"n": .5}, [2, 5, 20]),
+                       ({}, [2]), ({"s": .6}, [2, 17])):
+        assert [s["start"] for s in pii.settled(spans, good)] == want
+
+
 def test_overlapping_spans_are_redacted_whole(spark):
     texts = {"+1 555 123 4567-joe@x.com": "[PHONE]", "a +1 555 123 4567-joe@x.com b": "a [PHONE] b",
              "10.0.0.41 1111 1111 1111 11 x": "[IP] x", "joe@x.com, 10.0.0.41": "[EMAIL], [IP]"}
@@ -309,7 +334,7 @@ def test_overlapping_spans_are_redacted_whole(spark):
         a, b = pii.proposals(text)
         assert a[0] in ("phone", "ip") and b[0] in ("email", "card") and a[1] < b[1] < a[2] < b[2]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    spans = pii.spans_of(pii.proposed(df.text), [])
+    spans = pii.spans_of(pii.proposed(df.text), {})
     for text, out in df.select("text", pii.redacted(df.text, spans)).collect():
         assert out == texts[text]
 
