@@ -1,9 +1,11 @@
 """License notices by a positional index of rare words; DataFrame functions only.
 
 A text keeps, of its words, those that occur in a notice, with their places.  Their document
-frequencies over the corpus rank them.  Each notice is indexed under the rarest words of its key
-phrase, with their positions in it; a text looks up its own rarest notice words there, and where
-two of them agree on where the notice would begin, the key phrase is verified word by word.
+frequencies over the corpus rank them.  The look-up is turned round: anchors are chosen per notice,
+the rarest words of its key phrase in the corpus, and each notice looks for them among a text's
+places.  Where they agree on where the key phrase would begin, it is verified word by word.  No
+text ranks its own words, and there is no table of notices' postings: there are a few notices, all
+in the plan, and anchors from the key phrase find it at every place without a shuffle.
 """
 
 from __future__ import annotations
