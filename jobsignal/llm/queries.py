@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from jobsignal.llm import embeddings, licenses, repetition, secrets, url_trust
+from jobsignal.llm import (
+    ball_codes,
+    embeddings,
+    fill_middle,
+    licenses,
+    main_text,
+    repetition,
+    secrets,
+    url_trust,
+)
+from jobsignal.llm.ball_codes import op11_ball_codes
 from jobsignal.llm.byte_bpe import op10_byte_bpe
 from jobsignal.llm.embeddings import op2_rotated_codes
+from jobsignal.llm.fill_middle import op13_fill_middle
 from jobsignal.llm.licenses import op3_license_scan
+from jobsignal.llm.main_text import op12_main_text
 from jobsignal.llm.mixing import op7_block_mixing
 from jobsignal.llm.pii import op9_weak_pii
 from jobsignal.llm.repetition import op4_suffix_repetition
@@ -25,6 +37,9 @@ QUERIES = {f.__name__: f for f in (
     op8_simhash_groups,
     op9_weak_pii,
     op10_byte_bpe,
+    op11_ball_codes,
+    op12_main_text,
+    op13_fill_middle,
 )}
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": secrets.SQL,
@@ -32,4 +47,7 @@ ORACLE_SQL: dict[str, str] = {
     "op3_license_scan": licenses.SQL,
     "op4_suffix_repetition": repetition.SQL,
     "op6_host_trust": url_trust.SQL,
+    "op11_ball_codes": ball_codes.SQL,
+    "op12_main_text": main_text.SQL,
+    "op13_fill_middle": fill_middle.SQL,
 }
