@@ -59,6 +59,7 @@ TOKEN = re.compile(rf"<!--|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>{_ATTRS}
 # Elements whose content is no markup.
 RAW = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in
        "script style title textarea iframe noembed noframes xmp".split()}
+_OPEN = re.compile(r"<[a-z/!?]", re.I)
 _HREF = re.compile(r"\bhref\b", re.I)
 _NAMED = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -197,7 +198,8 @@ class _Reader:
 def blocks(page: str) -> list[Block]:
     """The blocks of a page that have text, in order, with the elements they lie in.
 
-    Comments, scripts and the like without an end reach to the end of the page.
+    Comments, scripts and the like without an end reach to the end of the page, and so does a last
+    tag without one.
     """
     reader, at = _Reader(), 0
     last = page.rfind(">") + 1  # behind it there is no further tag
@@ -214,7 +216,7 @@ def blocks(page: str) -> list[Block]:
                 at = end.end() if end else len(page)
             else:
                 reader.tag(name, bool(m["end"]), m["attrs"])
-    reader.text(page[at:].split("<!--")[0])
+    reader.text(_OPEN.split(page[at:], maxsplit=1)[0])
     reader.end_link(closed=False)
     for e in reader.elements:
         e.settle()
