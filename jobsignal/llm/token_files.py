@@ -22,7 +22,7 @@ import json
 import re
 import struct
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,7 +32,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
 
 from jobsignal.llm.tables import documents, stored
 from jobsignal.session import working_folder
@@ -41,7 +40,7 @@ from jobsignal.session import working_folder
 END_ID = 1
 #: A segment is closed when it holds this many ids.
 SEGMENT_IDS = 1 << 21
-#: Words whose ids a worker remembers; when it knows more it forgets them all.
+#: Words whose ids a worker remembers in each of two generations.
 MEMO_WORDS = 400_000
 
 _HEADER = struct.Struct("<4sIQQ")
@@ -54,57 +53,74 @@ _PLAIN_TEXT = re.compile(f"[ \\n\\t\\r{re.escape(''.join(_PLAIN))}]*")
 #: The file's own splitting pattern, for such characters.
 _PIECES = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]"
                      f"|[^ \\n\\t\\r{_LETTERS}{_NUMBERS}]+")
+#: The characters that a word's bytes are shown as to the model: printable ones as themselves.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_CHARS = dict(zip((b for b in range(256) if b not in _PRINTABLE), map(chr, range(256, 512))))
+_BYTE_CHARS.update((b, chr(b)) for b in _PRINTABLE)
 _SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
+class Memo(dict):
+    """Values by key, made by `make` where unknown.
+
+    When a generation has `size` keys a new one begins, and what the last one knew is kept if it
+    is asked for while the new one fills: frequent keys stay, rare ones go.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], size: int):
+        super().__init__()
+        self.make, self.size, self.last = make, size, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.last.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= 64:
+            if len(self) >= self.size:
+                self.last = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 class WordEncoder:
-    """A word tokenizer whose words are looked up once per worker.
+    """A word tokenizer whose words are looked up, not encoded again.
 
     The splitting pattern never joins what white space divides, and a word's ids don't depend on
-    its neighbours.  So plain Latin text in lower case is split here, and the library encodes each
-    distinct word; text with other characters goes to the library as it is, one line-free run
-    between blanks at a time.
+    its neighbours.  So plain Latin text in lower case is split here, and the model encodes each
+    word that the worker doesn't remember; text with other characters goes to the library as it
+    is, one line-free run between blanks at a time.
     """
 
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
-        self.words = Tokenizer.from_file(path)
-        self.words.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.whole.get_vocab_size() <= 1 << 16 else "<u4")
         rules = json.loads(self.whole.to_str())
         self.plain = _SPLIT in str(rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]) \
             and [x["type"] for x in rules["normalizer"]["normalizers"]] \
             == ["NFC", "Replace", "Lowercase"]
-        self.words.normalizer = None
-        self.words.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-        encoder = self
-
-        class Memo(dict):
-            def __missing__(self, word: str) -> bytes:
-                ids = encoder._bytes(encoder.words, word)
-                if len(word) <= 64:
-                    if len(self) >= MEMO_WORDS:
-                        self.clear()
-                    self[word] = ids
-                return ids
-
-        self.memo = Memo()
-
-    def _bytes(self, tokenizer: Tokenizer, text: str) -> bytes:
-        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        self.model = self.whole.model
+        self.memo = Memo(self._word, MEMO_WORDS)
+
+    def _bytes(self, text: str) -> bytes:
+        ids = self.whole.encode(text, add_special_tokens=False).ids
         return np.array(ids, self.dtype).tobytes()
 
+    def _word(self, word: str) -> bytes:
+        shown = word if word.isascii() else "".join(map(_BYTE_CHARS.__getitem__, word.encode()))
+        return np.array([t.id for t in self.model.tokenize(shown)], self.dtype).tobytes()
+
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, little-endian."""
         if self.plain and _PLAIN_TEXT.fullmatch(text):
             return b"".join(map(self.memo.__getitem__, _PIECES.findall(text.lower())))
         if not self.plain:
-            return self._bytes(self.whole, text)
+            return self._bytes(text)
         out = []
         for run in re.findall(r"[^ \n]+", text):
             out.append(b"".join(map(self.memo.__getitem__, _PIECES.findall(run.lower())))
-                       if _PLAIN_TEXT.fullmatch(run) else self._bytes(self.whole, run))
+                       if _PLAIN_TEXT.fullmatch(run) else self._bytes(run))
         return b"".join(out)
 
 
