@@ -252,6 +252,63 @@ def fetched() -> str:
     return " UNION ALL ".join(parts)
 
 
+def turn(stretch: int, absent: str, given: str) -> str:
+    return (f"CASE doc_id // {stretch} % 3 WHEN 0 THEN {absent} WHEN 1 THEN NULL "
+            f"ELSE {given} END")
+
+
+_TITLE, _COMPANY = turn(1, "'Unknown'", "first_line"), turn(2, "'Unknown'", "source")
+_TEXT, _TAGS = turn(4, "''", "text"), turn(10, "NULL", "lang")
+_SALARY = turn(11, "NULL", "n_chars::VARCHAR")
+_SPARSE_BLOB = (f"lower(coalesce({_TITLE}, 'None') || ' ' || coalesce({_TEXT}, 'None') || ' ' || "
+                f"coalesce({_TAGS}, ''))")
+SPARSE = f"""
+    SELECT cycle, 'remoteok' AS source, request, pos, {_TITLE} AS title, {_COMPANY} AS company,
+           {turn(5, "'Remote'", "lang")} AS location, {_SALARY} AS salary,
+           {turn(7, "'https://remoteok.com/remote-jobs/' || coalesce(" + turn(8, "''", "first_line")
+                 + ", 'None')", "source")} AS url,
+           coalesce({_TAGS}, '') AS tags, true AS is_remote, {_TEXT} AS description
+    FROM {_docs(V.SMALL_PAYLOAD)}
+    WHERE pos >= 1 AND {has_category(_SPARSE_BLOB, phrases=CATEGORY_QUERIES)}
+    UNION ALL
+    SELECT cycle, 'arbeitnow', request, pos, {_TITLE}, {_COMPANY}, {turn(5, "'Unknown'", "lang")},
+           NULL, {turn(7, "''", "source")}, coalesce({_TAGS}, ''),
+           doc_id // 11 % 3 = 2 AND doc_id % 2 = 0, {_TEXT}
+    FROM {_docs(V.SMALL_PAYLOAD)} WHERE {has_category(_SPARSE_BLOB, phrases=CATEGORY_QUERIES)}
+    UNION ALL
+    SELECT cycle, 'adzuna', request, pos, {_TITLE}, coalesce({_COMPANY}, 'Unknown'), 'Unknown',
+           {_SALARY}, {turn(7, "''", "source")}, query,
+           contains(lower(coalesce({_TEXT}, '')), 'remote'), {_TEXT} FROM {_docs(V.SMALL_PAYLOAD)}
+    UNION ALL
+    SELECT cycle, 'jsearch', request, pos, {_TITLE}, {_COMPANY},
+           trim(coalesce({turn(5, "NULL", "lang")}, '') || ', '
+                || coalesce({turn(7, "NULL", "source")}, ''), ', '),
+           NULL, {turn(8, "''", "source")}, query, doc_id // 11 % 3 = 2 AND n_chars % 2 = 1, {_TEXT}
+    FROM {_docs(V.SMALL_PAYLOAD)}"""
+DAMAGED_FEEDS = ("remoteok", "adzuna", "jsearch")
+REJECTED = f"""
+    SELECT cycle, source, request, query, CASE request % 4 WHEN 2 THEN entries END AS pos,
+           CASE request % 4 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'entry is no object'
+                ELSE 'no list of entries' END AS reason,
+           CASE WHEN request % 4 = 2 THEN '7' WHEN request % 4 = 1 AND source = 'remoteok' THEN '['
+                ELSE '{{' END AS begins
+    FROM (SELECT cycle, request, query, count(*)::INTEGER AS entries
+          FROM {_docs(V.SMALL_PAYLOAD)} GROUP BY ALL),
+         (VALUES {", ".join(f"({lit(f)})" for f in DAMAGED_FEEDS)}) AS s(source)
+    WHERE request % 4 <> 0"""
+DAMAGED = f"""
+    WITH kept AS (SELECT *, ({title_key()}) AS k FROM ({" UNION ALL ".join(
+        feed(f) for f in DAMAGED_FEEDS)}) WHERE request % 4 IN (0, 2)),
+    counts AS (SELECT cycle, count(*) AS fetched_total, count(DISTINCT k) AS deduplicated_total,
+                      {", ".join(f"count(*) FILTER (source = {lit(f)}) AS {f}" for f in DAMAGED_FEEDS)}
+               FROM kept GROUP BY 1),
+    lost AS (SELECT cycle, count(*) AS rejected_total FROM ({REJECTED}) GROUP BY 1)
+    SELECT coalesce(counts.cycle, lost.cycle) AS cycle,
+           {", ".join(f"coalesce({c}, 0) AS {c}" for c in
+                      ("fetched_total", "deduplicated_total", "rejected_total", *DAMAGED_FEEDS))}
+    FROM counts FULL JOIN lost ON counts.cycle = lost.cycle"""
+
+
 # Markets and resumes ------------------------------------------------------------------------
 
 SOLD = """SELECT p_type || ' ' || p_size AS skill, count(*) AS count
@@ -383,6 +440,17 @@ ENTITIES = """SELECT conv_id, turn, unnest(regexp_extract_all(text, '\\p{Lu}\\p{
               CASE role WHEN 'user' THEN 'ORG' ELSE 'PERSON' END AS label FROM conversations"""
 
 
+def similar(sets: str, threshold: float) -> str:
+    """All pairs of distinct sets ``(id, s)``, compared one by one."""
+    return f"""WITH sets AS ({sets}),
+        class AS MATERIALIZED (SELECT min(id) AS id, s FROM sets GROUP BY s),
+        pair AS (SELECT a.id AS left_id, b.id AS right_id, len(list_intersect(a.s, b.s)) AS shared,
+                        len(a.s) + len(b.s) AS total
+                 FROM class a JOIN class b ON a.id < b.id)
+        SELECT left_id, right_id, shared::INTEGER AS shared, shared / (total - shared) AS similarity
+        FROM pair WHERE total > 0 AND shared / (total - shared) >= {threshold}"""
+
+
 def oracle_sql() -> dict[str, str]:
     vocab = mentions(LOW_DOCUMENTS, "doc_id", V.VOCABULARY)
     text_terms = mentions(LOW_DOCUMENTS, "doc_id", V.TEXT_TERMS)
@@ -397,11 +465,44 @@ def oracle_sql() -> dict[str, str]:
                       ON contains({strip("lower(phrase)")}, term)"""
     entity_hits = f"""SELECT DISTINCT conv_id, turn, skill FROM ({ENTITIES}) e JOIN {names}
                       ON {strip("e.text")} = skill WHERE label IN ('PRODUCT', 'ORG', 'TECH')"""
+    turn_sets = f"""SELECT conv_id * 10000 + turn AS id,
+        coalesce(list_sort(list(DISTINCT lower(skill)) FILTER (skill IS NOT NULL)), []) AS s
+        FROM conversations LEFT JOIN (WITH {resume} SELECT * FROM mention) USING (conv_id, turn)
+        GROUP BY conv_id, turn"""
     required = ("That", "OF THE", "Rest", "nowhere", "t")
     region_sets = {"us": ("us",), "uk": ("uk",), "eu": ("eu",), "canada": ("canada",),
                    "remote": ("remote",), "us remote": ("us", "remote"), "au": ("au",),
                    "global": ("global",), "any": ()}
+    both = [mentions(LOW_DOCUMENTS, "doc_id", d) for d in (V.TEXT_TERMS, V.RESUME_TERMS)]
     out = {
+        "table_mentions": " UNION ALL ".join(
+            f"SELECT * FROM (WITH {m} SELECT doc_id, {lit(n)} AS dict_id, skill, mentions FROM mention)"
+            for n, m in zip(("text", "resume"), both)),
+        "opening_mentions": f"""WITH low AS ({LOW_DOCUMENTS}),
+            first AS (SELECT lang, string_split(text, ' ') AS w FROM documents),
+            dict AS (SELECT DISTINCT lang AS dict_id, lower(w[1]) AS a, lower(w[2]) AS b FROM first
+                     WHERE regexp_full_match(w[1], '[A-Za-z]+')
+                       AND regexp_full_match(w[2], '[A-Za-z]+')),
+            cut AS (SELECT doc_id, regexp_extract_all(low, '[^\p{{L}}\p{{N}}_]*[\p{{L}}\p{{N}}_]+') AS p
+                    FROM low),
+            run AS (SELECT doc_id, i, p[i] AS x, p[i + 1] AS y
+                    FROM (SELECT *, unnest(range(1, len(p))) AS i FROM cut)),
+            pair AS (SELECT doc_id, i, regexp_extract(x, '[\p{{L}}\p{{N}}_]+$') AS a, y[2:] AS b
+                     FROM run WHERE regexp_full_match(y, ' [\p{{L}}\p{{N}}_]+')),
+            hit AS (SELECT doc_id, dict_id, a, b, i, i - row_number() OVER (
+                        PARTITION BY doc_id, dict_id, a, b ORDER BY i) AS stretch
+                    FROM pair JOIN dict USING (a, b))
+            SELECT doc_id, dict_id, a || ' ' || b AS term, sum(n)::BIGINT AS mentions FROM (
+                -- of a word that is repeated n + 1 times every second pair counts
+                SELECT doc_id, dict_id, a, b, CASE WHEN a = b THEN (count(*) + 1) // 2
+                       ELSE count(*) END AS n FROM hit GROUP BY doc_id, dict_id, a, b, stretch)
+            GROUP BY ALL""",
+        "similar_titles": similar(f"""SELECT doc_id AS id, list_sort(list_distinct(
+            string_split(lower(split_part(text, {NL}, 1)), ' '))) AS s FROM documents""", 0.7),
+        "similar_resumes": similar(turn_sets, 0.5),
+        "skill_set_classes": f"""WITH sets AS ({turn_sets})
+            SELECT id AS resume_id, min(id) OVER (PARTITION BY s) AS class_id,
+                   count(*) OVER (PARTITION BY s) AS members FROM sets""",
         "skill_demand_topk": f"""WITH {posting_vocab}
             SELECT skill, sum(mentions)::BIGINT AS count FROM mention GROUP BY skill
             ORDER BY count DESC, skill LIMIT 20""",
@@ -458,6 +559,9 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT doc_id, {lit(name)} AS asked FROM documents
                 WHERE {in_region(f"split_part(text, {NL}, 1)", regions)}"""
             for name, regions in region_sets.items()),
+        "feed_sparse_fields": SPARSE,
+        "rejected_responses": REJECTED,
+        "damaged_collection": DAMAGED,
         "source_selection": """SELECT source, count(*) AS postings FROM documents
             WHERE source IN ('src1', 'src7', 'src19') GROUP BY 1""",
         "source_caps": """SELECT source, doc_id FROM documents

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,10 @@ from jobsignal.dictionaries import BASIC, POSTINGS, SkillDictionary, all_skills
 from jobsignal.functions import rules
 from jobsignal.functions import skills as S
 from jobsignal.functions.text import html_to_text, word_count
-from jobsignal.operators import extraction, gap, market, postings, requests
+from jobsignal.operators import extraction, gap, market, postings, requests, similarity
 from jobsignal.operators.requests import CollectionFilters
+from jobsignal.operators.term_table import table_mentions as dictionary_mentions
+from jobsignal.operators.term_table import term_table
 from jobsignal.plans.collection import collect, cycle_stats, write_stats
 from jobsignal.plans.resume_gap import gap_bundle as bundle
 from jobsignal.plans.resume_gap import resume_report as report
@@ -132,6 +135,55 @@ def skill_similarity(spark, sf):
     return pairs.select("conv_id", S.jaccard(F.col("a"), F.col("b")).alias("similarity"))
 
 
+@query
+def table_mentions(spark, sf):
+    """Two dictionaries of a table looked up in all texts at once."""
+    terms = term_table(spark, {"text": V.TEXT_TERMS, "resume": V.RESUME_TERMS})
+    return dictionary_mentions(V.documents(spark, sf), ["doc_id"], F.col("text"), terms) \
+        .drop("term")
+
+
+@query
+def opening_mentions(spark, sf):
+    """Where the openings of all texts, their first two words, occur in any text."""
+    words = F.split("text", " ")
+    pair = F.array_join(F.slice(words, 1, 2), " ")
+    plain = F.rlike(F.get(words, F.lit(0)), F.lit(r"^[A-Za-z]+$")) \
+        & F.rlike(F.get(words, F.lit(1)), F.lit(r"^[A-Za-z]+$"))
+    terms = V.documents(spark, sf).where(plain).select(
+        F.col("lang").alias("dict_id"), F.lower(pair).alias("term"), pair.alias("skill"))
+    return dictionary_mentions(V.documents(spark, sf), ["doc_id"], F.col("text"), terms) \
+        .drop("skill")
+
+
+def _title_sets(spark: SparkSession, sf: str) -> DataFrame:
+    return V.documents(spark, sf).select(
+        F.col("doc_id").alias("resume_id"), F.split(F.lower(V.first_line()), " ").alias("skills"))
+
+
+@query
+def similar_titles(spark, sf):
+    """All pairs of postings whose titles share most of their words."""
+    return similarity.similar_sets(_title_sets(spark, sf), 0.7)
+
+
+@query
+def similar_resumes(spark, sf):
+    """All pairs of skill sets that turns of conversations name and that are half alike."""
+    return similarity.similar_sets(_turn_sets(spark, sf), 0.5)
+
+
+def _turn_sets(spark: SparkSession, sf: str) -> DataFrame:
+    return V.turns(spark, sf).select((F.col("conv_id") * 10000 + F.col("turn")).alias("resume_id"),
+                                     S.skill_list(F.col("text"), V.RESUME_TERMS).alias("skills"))
+
+
+@query
+def skill_set_classes(spark, sf):
+    """Which turns name the same skills."""
+    return similarity.skill_sets(_turn_sets(spark, sf))
+
+
 @query
 def fallback_demand(spark, sf):
     return market.posting_demand(V.postings(spark, sf), BASIC, fallback=True)
@@ -239,6 +291,41 @@ for _name in feeds.FEEDS:
 QUERIES["feed_hackernews"] = _feed("hackernews", ("global",))
 
 
+@query
+def feed_sparse_fields(spark, sf):
+    """Entries whose fields are absent, null or given: only absent ones get the defaults."""
+    frames = []
+    for name in ("remoteok", "arbeitnow", "adzuna", "jsearch"):
+        adapter = feeds.ADAPTERS[name]
+        limits = (V.CATEGORIES, ("global", "remote")) if adapter.filtered else ()
+        frames.append(_posting_row(adapter.read(V.sparse_landed(spark, sf, name), *limits,
+                                                now=F.lit(_NOW))))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _damaged(spark: SparkSession, sf: str):
+    folder = working_folder(spark, "landed")
+    V.damaged_landed(spark, sf).write.partitionBy("source").parquet(folder)
+    filters = CollectionFilters(V.CATEGORIES, V.REGIONS)
+    return collect(spark.read.schema(LANDED).parquet(folder), filters, F.lit(_NOW))
+
+
+@query
+def rejected_responses(spark, sf):
+    """What could not be read of responses that were damaged on the way, and why."""
+    return _damaged(spark, sf).rejected.select(
+        "cycle", "source", "request", "query", "pos", "reason", F.left("body", F.lit(1))
+        .alias("begins"))
+
+
+@query
+def damaged_collection(spark, sf):
+    """Statistics of a run over damaged responses: all that is whole is kept."""
+    stats = _damaged(spark, sf).stats()
+    counts = [F.col("by_source")[s].alias(s) for s in ("remoteok", "adzuna", "jsearch")]
+    return stats.select("cycle", "fetched_total", "deduplicated_total", "rejected_total", *counts)
+
+
 def _collection(spark: SparkSession, sf: str):
     """A run over stored responses; every adapter reads the folder of its own feed only."""
     folder = working_folder(spark, "landed")

@@ -213,6 +213,55 @@ def landed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     raise ValueError(feed)
 
 
+def _field(name: str, value: Column, stretch: int) -> Column:
+    """A JSON field that is absent, null or ``value``, by turns of ``stretch`` documents."""
+    turn = F.floor(F.col("doc_id") / stretch) % 3
+    text = F.to_json(F.struct(value.alias(name)))
+    given = F.nullif(F.substr(text, F.lit(2), F.length(text) - 2), F.lit(""))
+    return F.when(turn == 1, F.lit(f'"{name}":null')).when(turn == 2, given)
+
+
+def sparse_landed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """Responses whose fields are absent, null or given."""
+    docs = table(spark, sf_dir, "documents").withColumn("title", first_line())
+    title, text, source = F.col("title"), F.col("text"), F.col("source")
+    here = F.coalesce(F.array("lang"), F.array().cast("array<string>"))
+    fields = {
+        "remoteok": [("position", title, 1), ("company", source, 2), ("description", text, 4),
+                     ("location", F.col("lang"), 5), ("url", source, 7), ("slug", title, 8),
+                     ("tags", F.array("lang"), 10), ("salary", F.col("n_chars"), 11)],
+        "arbeitnow": [("title", title, 1), ("company_name", source, 2), ("description", text, 4),
+                      ("location", F.col("lang"), 5), ("url", source, 7),
+                      ("tags", F.array("lang"), 10), ("remote", F.col("doc_id") % 2 == 0, 11)],
+        "adzuna": [("title", title, 1), ("company", F.struct(source.alias("display_name")), 2),
+                   ("description", text, 4), ("redirect_url", source, 7),
+                   ("salary_min", F.col("n_chars"), 11)],
+        "jsearch": [("job_title", title, 1), ("employer_name", source, 2),
+                    ("job_description", text, 4), ("job_city", F.col("lang"), 5),
+                    ("job_country", source, 7), ("job_apply_link", source, 8),
+                    ("job_is_remote", F.col("n_chars") % 2, 11)],
+    }[feed]
+    entry = F.concat(F.lit("{"), F.concat_ws(",", *[_field(*f) for f in fields]), F.lit("}"))
+    wrap = {"remoteok": "", "arbeitnow": "data", "adzuna": "results", "jsearch": "data"}[feed]
+    return _responses(docs, feed, SMALL_PAYLOAD, entry, wrap)
+
+
+#: What a response of each remainder has suffered; 0 is whole.
+TRUNCATED, STRAY, LISTLESS = 1, 2, 3
+
+
+def damaged_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three feeds' responses, of which one in four is whole."""
+    frames = [landed(spark, sf_dir, f) for f in ("remoteok", "adzuna", "jsearch")]
+    rows = frames[0].unionByName(frames[1]).unionByName(frames[2])
+    body, kind = F.col("body"), F.col("request") % 4
+    stray = F.regexp_replace(body, r"\](\}?)$", ",7]$1")
+    return rows.withColumn("body", F.when(kind == TRUNCATED, F.left(body, F.length(body) - 3))
+                           .when(kind == STRAY, stray)
+                           .when(kind == LISTLESS, F.lit('{"results":null,"data":7}'))
+                           .otherwise(body))
+
+
 def all_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = [landed(spark, sf_dir, f) for f in
               ("remoteok", "arbeitnow", "wellfound", "hackernews", "adzuna", "jsearch")]

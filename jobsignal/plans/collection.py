@@ -14,22 +14,24 @@ from jobsignal.operators.requests import CollectionFilters
 from jobsignal.schema import CYCLE_STATS
 from jobsignal.session import working_folder
 from jobsignal.sources import messages
-from jobsignal.sources.feeds import ADAPTERS, FEEDS, iso_now
+from jobsignal.sources.feeds import ADAPTERS, FEEDS, iso_now, rejected
 
 
 @dataclass(frozen=True)
 class Collection:
-    """A run.  ``fetched`` are all postings, written down once; ``postings`` the distinct ones."""
+    """A run.  ``fetched`` are all postings, written down once; ``postings`` the distinct ones, and
+    ``rejected`` the responses and entries that could not be read, with their reasons."""
 
     fetched: DataFrame
     postings: DataFrame
+    rejected: DataFrame
     filters: CollectionFilters
     asked: tuple[str, ...]
     now: Column
 
     def stats(self, sent: bool = False) -> DataFrame:
         """One row per cycle; ``sent_total`` is 0 unless the postings have been sent."""
-        return cycle_stats(self.fetched, self.filters, self.asked, self.now, sent)
+        return cycle_stats(self.fetched, self.filters, self.asked, self.now, sent, self.rejected)
 
     def send(self, kind: str, location: str, topic: str = messages.TOPIC) -> DataFrame:
         """Publish the distinct postings; the statistics with what was sent.
@@ -48,7 +50,8 @@ def collect(landed: DataFrame, filters: CollectionFilters, now: Column | None =
     """Postings of the selected feeds, the first of every (title, company, location) per cycle.
 
     Feeds are ranked in their fixed order, whatever the order of ``filters.sources``.  Responses are
-    parsed once: the postings are written to the working folder, where all later steps read them.
+    parsed once: the postings are written to the working folder, where all later steps read them,
+    and beside them what could not be read.  A damaged response costs its own postings only.
     """
     spark = landed.sparkSession
     stamp = iso_now() if now is None else now
@@ -59,30 +62,49 @@ def collect(landed: DataFrame, filters: CollectionFilters, now: Column | None =
         adapter = ADAPTERS[feed]
         limits = (filters.categories, filters.regions) if adapter.filtered else ()
         frames[feed] = adapter.read(landed, *limits, now=stamp)
-    path = working_folder(spark, "fetched")
-    fetched = union_feeds(frames)
-    fetched.write.parquet(path)
-    fetched = spark.read.schema(fetched.schema).parquet(path)
-    return Collection(fetched, deduplicate(fetched, within=("cycle",)), filters, tuple(asked), stamp)
+    fetched = _written(union_feeds(frames), "fetched")
+    return Collection(fetched, deduplicate(fetched, within=("cycle",)),
+                      _written(rejected(landed), "rejected"), filters, tuple(asked), stamp)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = working_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cycle_stats(fetched: DataFrame, filters: CollectionFilters, asked: Sequence[str],
-                now: Column, sent: bool) -> DataFrame:
-    """One statistics row per cycle."""
+                now: Column, sent: bool, rejects: DataFrame | None = None) -> DataFrame:
+    """One statistics row per cycle, also for one of which nothing but ``rejects`` is left."""
     settings = asdict(filters)
     fields = [
         (string_array(list(settings[f.name])) if f.dataType.typeName() == "array"
          else F.lit(settings[f.name]).cast(f.dataType)).alias(f.name)
         for f in CYCLE_STATS["filters"].dataType
     ]
-    return cycle_totals(fetched, asked, by=("cycle",)).select(
+    totals = cycle_totals(fetched, asked, by=("cycle",))
+    none = F.lit(0).cast("long")
+    if rejects is None:
+        totals = totals.withColumn("rejected_total", none)
+    else:
+        counts = rejects.groupBy(F.col("cycle").alias("_cycle")).agg(F.count("*").alias("_n"))
+        zeros = F.create_map(*[c for s in asked for c in (F.lit(s), none)]) if asked \
+            else F.from_json(F.lit("{}"), "map<string,bigint>")
+        totals = totals.join(counts, F.col("cycle").eqNullSafe(F.col("_cycle")), "full").select(
+            F.coalesce("cycle", "_cycle").alias("cycle"),
+            F.coalesce("fetched_total", none).alias("fetched_total"),
+            F.coalesce("deduplicated_total", none).alias("deduplicated_total"),
+            F.coalesce("by_source", zeros).alias("by_source"),
+            F.coalesce("_n", none).alias("rejected_total"))
+    return totals.select(
         "cycle",
         now.alias("timestamp"),
         F.struct(*fields).alias("filters"),
         "fetched_total",
         "deduplicated_total",
-        (F.col("deduplicated_total") if sent else F.lit(0).cast("long")).alias("sent_total"),
+        (F.col("deduplicated_total") if sent else none).alias("sent_total"),
         "by_source",
+        "rejected_total",
     )
 
 

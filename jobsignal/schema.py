@@ -55,6 +55,8 @@ CYCLE_STATS = T.StructType([
     T.StructField("deduplicated_total", T.LongType()),
     T.StructField("sent_total", T.LongType()),
     T.StructField("by_source", T.MapType(T.StringType(), T.LongType())),
+    # Responses and entries that could not be read.
+    T.StructField("rejected_total", T.LongType()),
 ])
 
 # A landed provider response: which cycle and feed, which request of the cycle, and its text.

@@ -4,12 +4,17 @@ A response is one row of the landed table (``schema.LANDED``): collection cycle,
 of the request within the cycle, search phrase, and the response text.  Each adapter cuts the text
 into its entries and projects them to the posting schema plus ``cycle`` and the order that "first
 one wins" rules go by, ``request`` and ``pos``.  Any number of cycles is read at once.
+
+JSON is read as a variant, which tells an absent field from a null one: an absent field gets the
+feed's default, an explicit null stays null.  A response that can't be read, or an entry that is
+no object, gives no posting; ``rejected`` lists it with its reason, and all others are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +39,13 @@ HACKERNEWS_ITEM = "https://news.ycombinator.com/item?id="
 CARD_LOCATIONS = ("Remote", "United States", "UK", "Europe", "Germany", "India", "Canada")
 CARD_MARK = 'data-test="JobSearchResult"'
 
+# --- fixed values: where a JSON response has its entries; "" is the response itself ---------
+ENTRIES = {"remoteok": "", "arbeitnow": "data", "hackernews": "children", "adzuna": "results",
+           "jsearch": "data"}
+
+EMPTY, NOT_JSON = "empty response", "not JSON"
+NO_LIST, NO_OBJECT = "no list of entries", "entry is no object"
+
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
     """Responses stored as ``cycle=<id>/source=<feed>/request=<n>/query=<phrase>/<file>``.
@@ -93,33 +105,121 @@ def _first(postings: DataFrame, limit: int | None) -> DataFrame:
     return first_k(postings, limit, by=["cycle", "request"], order=["pos"])
 
 
-def _parsed(schema: str) -> Column:
-    return F.from_json(F.col("body"), schema)
+def _list(response: Column, feed: str) -> Column:
+    """The entries of a parsed response; null unless it is of the feed's shape.
+
+    An object without the feed's key has no entries.
+    """
+    key = ENTRIES[feed]
+    bare = F.try_variant_get(response, "$", "array<variant>")
+    if not key:
+        return bare
+    here = F.try_variant_get(response, f"$.{key}", "variant")
+    keyed = F.when(here.isNotNull(), F.try_variant_get(here, "$", "array<variant>")) \
+        .when(_is_object(response), F.array().cast("array<variant>"))
+    # This feed also answers with the list itself.
+    return F.coalesce(bare, keyed) if feed == "arbeitnow" else keyed
+
+
+def _is_object(value: Column) -> Column:
+    return F.startswith(F.schema_of_variant(value), F.lit("OBJECT"))
+
+
+def _objects(feed: str, fields: Callable[[Column], Sequence[Column]]) -> Column:
+    """The response's entries as structs of ``fields``; null in the place of one that is no object.
+
+    They are made inside the list: a filter on a column that is computed after the generator would
+    compute it once more.
+    """
+    return bind(F.try_parse_json("body"), lambda response: F.transform(
+        _list(response, feed), lambda e: F.when(_is_object(e), F.struct(*fields(e)))))
+
+
+def _text(entry: Column, path: str, default: str | None = None) -> Column:
+    """A field as text: the default where it is absent, null where it is null."""
+    value = F.try_variant_get(entry, f"$.{path}", "string")
+    if default is None:
+        return value
+    absent = F.try_variant_get(entry, f"$.{path}", "variant").isNull()
+    return F.when(absent, F.lit(default)).otherwise(value)
+
+
+def _amount(entry: Column, path: str) -> Column:
+    """A number as text; one that is written with a point keeps it."""
+    def shown(value: Column) -> Column:
+        text = F.try_variant_get(value, "$", "string")
+        cut = F.startswith(F.schema_of_variant(value), F.lit("DECIMAL")) & ~F.contains(text, F.lit("."))
+        return F.when(cut, F.concat(text, F.lit(".0"))).otherwise(text)
+
+    return bind(F.try_variant_get(entry, f"$.{path}", "variant"), shown)
+
+
+def _texts(entry: Column, path: str) -> Column:
+    return F.try_variant_get(entry, f"$.{path}", "array<string>")
+
+
+def _truth(entry: Column, path: str) -> Column:
+    """Whether a field says yes: a number other than 0, a text, list or object that is not empty."""
+    def says(value: Column) -> Column:
+        text = F.try_variant_get(value, "$", "string")
+        empty = text.isin("false", "[]", "{}") | (F.coalesce(text.try_cast("double"), F.lit(1.0)) == 0)
+        plain = F.schema_of_variant(value) == "STRING"
+        return F.coalesce(F.when(plain, text != "").otherwise(~empty), F.lit(False))
+
+    return bind(F.try_variant_get(entry, f"$.{path}", "variant"), says)
+
+
+def rejected(landed: DataFrame) -> DataFrame:
+    """Responses that can't be read, and entries that are no object: LANDED, ``pos``, ``reason``.
+
+    ``pos`` is null for a whole response; ``body`` is the response's, or the entry's, text.  An
+    object that names a field twice is not JSON here.
+    """
+    def faults(feed: str, response: Column) -> Column:
+        def of(entries: Column) -> Column:
+            whole = F.when(F.col("body").isNull() | (strip(F.col("body")) == ""), EMPTY) \
+                .when(response.isNull(), NOT_JSON).when(entries.isNull(), NO_LIST)
+            # The notice ahead of this feed's entries may be anything.
+            first = 1 if feed == "remoteok" else 0
+            odd = F.filter(F.transform(entries, lambda e, i: F.when(
+                ~_is_object(e) & (i >= first), F.struct(
+                    i.alias("pos"), F.lit(NO_OBJECT).alias("reason"), F.to_json(e).alias("body")))),
+                lambda x: x.isNotNull())
+            return F.when(whole.isNotNull(), F.array(F.struct(
+                F.lit(None).cast("int").alias("pos"), whole.alias("reason"),
+                F.col("body").alias("body")))).otherwise(odd)
+
+        return bind(_list(response, feed), of)
+
+    found = F.when(F.col("source").isin(list(ENTRIES)), bind(F.try_parse_json("body"), lambda v: reduce(
+        lambda rest, feed: F.when(F.col("source") == feed, faults(feed, v)).otherwise(rest),
+        ENTRIES, F.lit(None).cast("array<struct<pos:int,reason:string,body:string>>"))))
+    blank = F.col("body").isNull() | (strip(F.col("body")) == "")
+    found = F.when((F.col("source") == "wellfound") & blank, F.array(F.struct(
+        F.lit(None).cast("int").alias("pos"), F.lit(EMPTY).alias("reason"),
+        F.col("body").alias("body")))).otherwise(found)
+    return landed.select("cycle", "source", "request", "query", F.explode_outer(found).alias("f")) \
+        .where(F.col("f").isNotNull()).select("cycle", "source", "request", "query", "f.pos",
+                                              "f.reason", "f.body")
 
 
 def remoteok(landed: DataFrame, categories: Sequence[str], regions: Sequence[str],
              now: Column | None = None, limit: int | None = None) -> DataFrame:
     """Entry 0 is a notice; the others, or the next ``limit``, are filtered."""
-    rows = _entries(landed, "remoteok", _parsed(
-        "array<struct<position:string,company:string,description:string,tags:array<string>,"
-        "location:string,salary:string,url:string,slug:string>>"
-    ), 1, limit)
-    rows = rows.select(
-        "cycle", "request", "pos",
-        *unified_schema(
-            now if now is not None else iso_now(),
-            title=blank_to(F.col("e.position"), "Unknown"),
-            company=blank_to(F.col("e.company"), "Unknown"),
-            description=blank_to(F.col("e.description"), ""),
-            source=F.lit("remoteok"),
-            location=blank_to(F.col("e.location"), "Remote"),
-            salary=F.col("e.salary"),
-            url=F.coalesce(F.col("e.url"),
-                           F.concat(F.lit(REMOTEOK_JOB), blank_to(F.col("e.slug"), ""))),
-            tags=F.col("e.tags"),
-            is_remote=F.lit(True),
-        ),
-    )
+    def fields(e: Column) -> list[Column]:
+        address = F.concat(F.lit(REMOTEOK_JOB), F.coalesce(_text(e, "slug", ""), F.lit("None")))
+        absent = F.try_variant_get(e, "$.url", "variant").isNull()
+        return [_text(e, "position", "Unknown").alias("title"),
+                _text(e, "company", "Unknown").alias("company"),
+                _text(e, "description", "").alias("description"),
+                _text(e, "location", "Remote").alias("location"),
+                _amount(e, "salary").alias("salary"),
+                F.when(absent, address).otherwise(_text(e, "url")).alias("url"),
+                _texts(e, "tags").alias("tags")]
+
+    rows = _entries(landed, "remoteok", _objects("remoteok", fields), 1, limit)
+    rows = _postings(rows, "remoteok", now, salary=F.col("e.salary"), tags=F.col("e.tags"),
+                     is_remote=F.lit(True))
     return rows.where(
         rules.contains_category(_blob(), categories)
         & rules.matches_region_or_remote(F.col("location"), regions)
@@ -129,25 +229,16 @@ def remoteok(landed: DataFrame, categories: Sequence[str], regions: Sequence[str
 def arbeitnow(landed: DataFrame, categories: Sequence[str], regions: Sequence[str],
               now: Column | None = None, limit: int | None = None) -> DataFrame:
     """All entries, or the first ``limit``, filtered; the response is an object or a bare list."""
-    entry = ("array<struct<title:string,description:string,tags:array<string>,location:string,"
-             "company_name:string,url:string,remote:boolean>>")
-    bare = F.startswith(strip(F.col("body")), F.lit("["))
-    entries = F.when(bare, _parsed(entry)).otherwise(_parsed(f"struct<data:{entry}>")["data"])
-    rows = _entries(landed, "arbeitnow", entries, 0, limit)
-    rows = rows.select(
-        "cycle", "request", "pos",
-        *unified_schema(
-            now if now is not None else iso_now(),
-            title=blank_to(F.col("e.title"), "Unknown"),
-            company=blank_to(F.col("e.company_name"), "Unknown"),
-            description=blank_to(F.col("e.description"), ""),
-            source=F.lit("arbeitnow"),
-            location=blank_to(F.col("e.location"), "Unknown"),
-            url=blank_to(F.col("e.url"), ""),
-            tags=F.col("e.tags"),
-            is_remote=F.col("e.remote"),
-        ),
-    )
+    def fields(e: Column) -> list[Column]:
+        return [_text(e, "title", "Unknown").alias("title"),
+                _text(e, "company_name", "Unknown").alias("company"),
+                _text(e, "description", "").alias("description"),
+                _text(e, "location", "Unknown").alias("location"),
+                _text(e, "url", "").alias("url"),
+                _texts(e, "tags").alias("tags"), _truth(e, "remote").alias("remote")]
+
+    rows = _entries(landed, "arbeitnow", _objects("arbeitnow", fields), 0, limit)
+    rows = _postings(rows, "arbeitnow", now, tags=F.col("e.tags"), is_remote=F.col("e.remote"))
     return rows.where(rules.contains_category(_blob(), categories)
                       & rules.matches_region(F.col("location"), regions))
 
@@ -157,52 +248,40 @@ def adzuna(landed: DataFrame, now: Column | None = None, limit: int | None = Non
 
     ``limit`` takes the first so many of every response.
     """
-    rows = _entries(landed, "adzuna", _parsed(
-        "struct<results:array<struct<title:string,company:struct<display_name:string>,"
-        "description:string,location:struct<display_name:string>,salary_min:string,"
-        "redirect_url:string>>>"
-    )["results"], 0, limit)
-    return rows.select(
-        "cycle", "request", "pos",
-        *unified_schema(
-            now if now is not None else iso_now(),
-            title=blank_to(F.col("e.title"), "Unknown"),
-            company=blank_to(F.col("e.company.display_name"), "Unknown"),
-            description=blank_to(F.col("e.description"), ""),
-            source=F.lit("adzuna"),
-            location=blank_to(F.col("e.location.display_name"), "Unknown"),
-            salary=F.col("e.salary_min"),
-            url=blank_to(F.col("e.redirect_url"), ""),
-            tags=F.array("query"),
-            is_remote=_says_remote(F.col("e.description")),
-        ),
-    )
+    def fields(e: Column) -> list[Column]:
+        return [_text(e, "title", "Unknown").alias("title"),
+                _text(e, "company.display_name", "Unknown").alias("company"),
+                _text(e, "description", "").alias("description"),
+                _text(e, "location.display_name", "Unknown").alias("location"),
+                _amount(e, "salary_min").alias("salary"), _text(e, "redirect_url", "").alias("url")]
+
+    rows = _entries(landed, "adzuna", _objects("adzuna", fields), 0, limit)
+    return _postings(rows, "adzuna", now, salary=F.col("e.salary"), tags=F.array("query"),
+                     is_remote=_says_remote(F.col("e.description")))
 
 
 def jsearch(landed: DataFrame, now: Column | None = None, limit: int | None = None) -> DataFrame:
     """The search results of every phrase, or the first ``limit`` of them."""
-    rows = _entries(landed, "jsearch", _parsed(
-        "struct<data:array<struct<job_title:string,employer_name:string,job_description:string,"
-        "job_city:string,job_country:string,job_salary:string,job_apply_link:string,"
-        "job_is_remote:boolean>>>"
-    )["data"], 0, limit)
-    place = F.concat(blank_to(F.col("e.job_city"), ""), F.lit(", "),
-                     blank_to(F.col("e.job_country"), ""))
-    return rows.select(
-        "cycle", "request", "pos",
-        *unified_schema(
-            now if now is not None else iso_now(),
-            title=blank_to(F.col("e.job_title"), "Unknown"),
-            company=blank_to(F.col("e.employer_name"), "Unknown"),
-            description=blank_to(F.col("e.job_description"), ""),
-            source=F.lit("jsearch"),
-            location=F.btrim(place, F.lit(", ")),
-            salary=F.col("e.job_salary"),
-            url=blank_to(F.col("e.job_apply_link"), ""),
-            tags=F.array("query"),
-            is_remote=F.col("e.job_is_remote"),
-        ),
-    )
+    def fields(e: Column) -> list[Column]:
+        place = F.concat(blank_to(_text(e, "job_city"), ""), F.lit(", "),
+                         blank_to(_text(e, "job_country"), ""))
+        return [_text(e, "job_title", "Unknown").alias("title"),
+                _text(e, "employer_name", "Unknown").alias("company"),
+                _text(e, "job_description", "").alias("description"),
+                F.btrim(place, F.lit(", ")).alias("location"),
+                _amount(e, "job_salary").alias("salary"), _text(e, "job_apply_link", "").alias("url"),
+                _truth(e, "job_is_remote").alias("remote")]
+
+    rows = _entries(landed, "jsearch", _objects("jsearch", fields), 0, limit)
+    return _postings(rows, "jsearch", now, salary=F.col("e.salary"), tags=F.array("query"),
+                     is_remote=F.col("e.remote"))
+
+
+def _postings(rows: DataFrame, feed: str, now: Column | None, **more: Column) -> DataFrame:
+    """Entries that are objects, in the posting schema."""
+    named = {c: F.col(f"e.{c}") for c in ("title", "company", "description", "location", "url")}
+    return rows.where(F.col("e").isNotNull()).select("cycle", "request", "pos", *unified_schema(
+        now if now is not None else iso_now(), source=F.lit(feed), **named, **more))
 
 
 def wellfound(landed: DataFrame, categories: Sequence[str], regions: Sequence[str],
@@ -307,9 +386,8 @@ def hackernews(landed: DataFrame, categories: Sequence[str], regions: Sequence[s
 
     The company is what stands before the first bar, cut to ``company_length`` characters if given.
     """
-    children = _parsed("struct<children:array<struct<id:string,text:string>>>")["children"]
-    comments = _entries(landed, "hackernews", F.transform(children, lambda c: F.struct(
-        c["id"].alias("id"), html_to_text(c["text"]).alias("text"))))
+    comments = _entries(landed, "hackernews", _objects("hackernews", lambda c: [
+        _text(c, "id").alias("id"), html_to_text(_text(c, "text")).alias("text")]))
     text = F.col("e.text")
     remote = _says_remote(text)
     location = F.when(remote, F.lit("Remote")).otherwise(F.lit("Unknown"))
@@ -346,7 +424,9 @@ def latest_thread(body: Column) -> Column:
 
 
 def _blob() -> Column:
-    return category_text(F.col("title"), F.col("description"), F.col("tags"))
+    """What the category filter searches; a null title or description is the word None in it."""
+    return category_text(blank_to(F.col("title"), "None"), blank_to(F.col("description"), "None"),
+                         F.col("tags"))
 
 
 def _says_remote(text: Column) -> Column:

@@ -222,3 +222,46 @@ def test_iso_now_is_utc_whatever_the_session_says(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert abs(dt.datetime.fromisoformat(row["t"]).timestamp() * 1e6 - row["u"]) < 2
+
+
+def test_explicit_nulls_stay_and_absent_fields_get_defaults(spark):
+    entry = {"position": None, "company": None, "description": "sde", "tags": None,
+             "location": None, "url": None, "slug": None}
+    rows = read(spark, "remoteok", [{}, entry, {"description": "sde"}], ["sde"], ["global"])
+    shown = [(r["title"], r["company"], r["location"], r["url"], r["tags"]) for r in rows]
+    assert shown == [(None, None, None, None, []),
+                     ("Unknown", "Unknown", "Remote", "https://remoteok.com/remote-jobs/", [])]
+    rows = read(spark, "adzuna", {"results": [
+        {"title": None, "company": {"display_name": None}, "description": None, "redirect_url": None},
+        {"company": None}]})
+    assert [(r["title"], r["company"], r["description"], r["location"], r["url"], r["is_remote"])
+            for r in rows] == [(None, None, None, "Unknown", None, False),
+                               ("Unknown", "Unknown", "", "Unknown", "", False)]
+    yes = [True, 1, 2.5, "no", "false", [0], {"a": 1}]
+    no = [False, 0, 0.0, "", None, [], {}]
+    rows = read(spark, "jsearch", {"data": [{"job_is_remote": x} for x in yes + no]})
+    assert [r["is_remote"] for r in rows] == [True] * len(yes) + [False] * len(no)
+    rows = read(spark, "arbeitnow", [{"title": None, "description": None}], ["none none"], ["global"])
+    assert [r["title"] for r in rows] == [None]
+
+
+def test_damaged_responses_are_listed_and_the_others_kept(spark, tmp_path):
+    good = {"results": [{"title": "a"}, {"title": "b"}]}
+    rows = landed(spark, ("c1", "adzuna", 0, "q", good), ("c1", "adzuna", 1, "q", json.dumps(good)[:-2]),
+                  ("c1", "adzuna", 2, "q", {"results": None}), ("c1", "adzuna", 3, "q", {"other": 1}),
+                  ("c1", "adzuna", 4, "q", {"results": [7, {"title": "c"}, None]}),
+                  ("c2", "jsearch", 0, "q", "<html>busy</html>"), ("c2", "jsearch", 1, "q", ""),
+                  ("c2", "remoteok", 0, "q", ["notice"]), ("c2", "remoteok", 1, "q", [{}, "x"]),
+                  ("c2", "wellfound", 0, "q", " "), ("c2", "hackernews", 0, "q", [1]))
+    done = collect(rows, CollectionFilters(["sde"], ["global"]), F.lit(NOW))
+    assert sorted(r["title"] for r in done.postings.collect()) == ["a", "b", "c"]
+    got = {(r["cycle"], r["source"], r["request"], r["pos"]): r["reason"] for r in done.rejected.collect()}
+    assert got == {
+        ("c1", "adzuna", 1, None): feeds.NOT_JSON, ("c1", "adzuna", 2, None): feeds.NO_LIST,
+        ("c1", "adzuna", 4, 0): feeds.NO_OBJECT, ("c1", "adzuna", 4, 2): feeds.NO_OBJECT,
+        ("c2", "jsearch", 0, None): feeds.NOT_JSON, ("c2", "jsearch", 1, None): feeds.EMPTY,
+        ("c2", "remoteok", 1, 1): feeds.NO_OBJECT, ("c2", "wellfound", 0, None): feeds.EMPTY,
+        ("c2", "hackernews", 0, None): feeds.NO_LIST}
+    stats = {r["cycle"]: (r["fetched_total"], r["rejected_total"], r["by_source"]["adzuna"])
+             for r in done.stats().collect()}
+    assert stats == {"c1": (3, 4, 3), "c2": (0, 5, 0)}
