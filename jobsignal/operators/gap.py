@@ -47,10 +47,15 @@ def market_profile(market: DataFrame, n: int | None = TOP_N,
     number of market skills.
     """
     named = market.where(F.col("skill").isNotNull())
-    top = (named if n is None else top_of_market(named, n)).select(
-        "skill", F.col("count").alias("demand_count"))
-    ranked = with_rank(top, [F.col("demand_count").desc(), F.col("skill")])
-    size = ranked.agg(F.count("*")).scalar()
+    order = [F.col("demand_count").desc(), F.col("skill")]
+    if n is None:
+        ranked = with_rank(named.select("skill", F.col("count").alias("demand_count")), order)
+        size = ranked.agg(F.count("*")).scalar()
+    else:  # no more rows than ``n``: numbered in one place, as the cut has brought them there
+        top = top_of_market(named, n).select("skill", F.col("count").alias("demand_count"))
+        place = F.row_number().over(Window.orderBy(*order)) - 1
+        ranked = top.withColumn("rank", place.cast("long"))
+        size = F.count("*").over(Window.partitionBy())
     scored = ranked.select(
         "rank", "skill", F.lower("skill").alias("key"), "demand_count", size.alias("market_size"))
     tiers = F.col("market_size") if postings is None else F.lit(postings)

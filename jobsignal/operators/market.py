@@ -87,7 +87,7 @@ def market_skills(store: DemandStore, n: int = 50,
     passes when nothing is stored, ``none`` for an empty market.
     """
     if store.has_demand():
-        return top_n(market_demand(store.skill_demand()), n), "parquet"
+        return top_n(store.market(), n), "parquet"
     if latest is not None:
         return top_n(latest, n), "in-memory"
     none = store.spark.range(0).select(F.lit("").alias("skill"), F.col("id").alias("count"))

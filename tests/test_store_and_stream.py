@@ -146,6 +146,96 @@ def test_folders_follow_dates_and_a_closed_day_is_compacted(spark, tmp_path):
     assert demand_of(store) == {"A": 6, "B": 12}
 
 
+def market_of(store):
+    return {r["skill"]: r["count"] for r in store.market().collect()}
+
+
+def days_of_batches(spark, folder, per_day, days=3):
+    """A store with so many batches on each day, every skill of batch b counted b + 1 times."""
+    store = DemandStore(spark, str(folder))
+    for d in range(days):
+        rows = spark.range(per_day).selectExpr(
+            f"explode(array('A', 'B', 'd{d}')) AS skill", "id + 1 AS count", f"id + {d * per_day} AS b")
+        stamp = F.lit(f"2024-01-0{d + 1} 10:00:00").cast("timestamp")
+        store.write_demand(rows, F.col("b"), stamp, "r")
+    return store
+
+
+def test_closing_keeps_the_market_and_bounds_what_a_read_opens(spark, tmp_path):
+    opened = []
+    for per_day in (2, 12):
+        store = days_of_batches(spark, tmp_path / str(per_day), per_day)
+        want, newest = demand_of(store), sorted(map(tuple, store.latest_demand().select("skill", "count").collect()))
+        assert market_of(store) == want and want["A"] == 3 * per_day * (per_day + 1) // 2
+        store.close("2024-01-02")
+        assert market_of(store) == demand_of(store) == want
+        rollup = store._rollup()
+        assert str(rollup["until"]) == "2024-01-02"
+        assert sorted(map(tuple, store.latest_demand().select("skill", "count").collect())) == newest
+        store.close("2024-01-03")
+        opened.append((store._log(store.demand_path).count(),
+                       spark.read.parquet(store._rollup()["folder"]).count()))
+        assert market_of(store) == demand_of(store) == want
+        assert sorted(map(tuple, store.latest_demand().select("skill", "count").collect())) == newest
+    # a record per closed day and a row per skill, whatever the number of batches
+    assert opened == [(3, 5), (3, 5)]
+
+
+def test_batches_after_closing_count_once(spark, tmp_path):
+    store = days_of_batches(spark, tmp_path, 3)
+    store.close("2024-01-02")
+    want = demand_of(store)
+    one = spark.createDataFrame([("A", 100)], "skill string, count long")
+    stamp = F.lit("2024-01-01 11:00:00").cast("timestamp")
+    store.write_demand(one, 0, stamp, "late")  # another run's batch on a closed day
+    want = want | {"A": want["A"] + 100}
+    assert market_of(store) == demand_of(store) == want and store._rollup() is None
+    store.write_demand(one, 1, stamp, "r")  # stands in for a closed batch with counts of 2
+    want = want | {"A": want["A"] + 98, "B": want["B"] - 2, "d0": want["d0"] - 2}
+    assert market_of(store) == demand_of(store) == want
+    store.close("2024-01-02")
+    assert market_of(store) == demand_of(store) == want and store._rollup() is not None
+    store.write_demand(one, 50, F.lit("2024-01-04 11:00:00").cast("timestamp"), "r")
+    want = want | {"A": want["A"] + 100}
+    assert market_of(store) == demand_of(store) == want and store._rollup() is not None
+
+
+@pytest.mark.parametrize("step", ["skill_demand", "skill_demand_commits", "rollup", "record"])
+def test_closing_may_be_interrupted_anywhere(spark, tmp_path, monkeypatch, step):
+    from jobsignal.sources import store as module
+
+    store = days_of_batches(spark, tmp_path, 3)
+    want = demand_of(store)
+    real = module._partitioned
+
+    def failing(df, path, *rest):
+        if path.endswith(step):
+            raise OSError("lost")
+        real(df, path, *rest)
+
+    monkeypatch.setattr(module, "_partitioned", failing)
+    if step in ("rollup", "record"):
+        target = "parquet" if step == "rollup" else "mode"
+        writer = type(spark.range(1).write)
+        whole = getattr(writer, target)
+        seen = []
+
+        def broken(self, *a, **k):
+            if target == "mode" or "_rollup/" in a[0]:
+                seen.append(a)
+                if target == "parquet" or a == ("append",):
+                    raise OSError("lost")
+            return whole(self, *a, **k)
+
+        monkeypatch.setattr(writer, target, broken)
+    with pytest.raises(OSError):
+        store.close("2024-01-02")
+    monkeypatch.undo()
+    assert market_of(store) == demand_of(store) == want
+    store.close("2024-01-02")
+    assert market_of(store) == demand_of(store) == want and store._rollup() is not None
+
+
 def test_late_and_repeated_postings_of_a_stream(spark, tmp_path):
     source = tmp_path / "in"
     batches = [[("a", "2024-06-01"), ("a", "2024-06-02")], [("b", "2020-01-01"), ("a", "2025-01-01")],
