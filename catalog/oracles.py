@@ -483,12 +483,12 @@ def oracle_sql() -> dict[str, str]:
             dict AS (SELECT DISTINCT lang AS dict_id, lower(w[1]) AS a, lower(w[2]) AS b FROM first
                      WHERE regexp_full_match(w[1], '[A-Za-z]+')
                        AND regexp_full_match(w[2], '[A-Za-z]+')),
-            cut AS (SELECT doc_id, regexp_extract_all(low, '[^\p{{L}}\p{{N}}_]*[\p{{L}}\p{{N}}_]+') AS p
+            cut AS (SELECT doc_id, regexp_extract_all(low, '[^\\p{{L}}\\p{{N}}_]*[\\p{{L}}\\p{{N}}_]+') AS p
                     FROM low),
             run AS (SELECT doc_id, i, p[i] AS x, p[i + 1] AS y
                     FROM (SELECT *, unnest(range(1, len(p))) AS i FROM cut)),
-            pair AS (SELECT doc_id, i, regexp_extract(x, '[\p{{L}}\p{{N}}_]+$') AS a, y[2:] AS b
-                     FROM run WHERE regexp_full_match(y, ' [\p{{L}}\p{{N}}_]+')),
+            pair AS (SELECT doc_id, i, regexp_extract(x, '[\\p{{L}}\\p{{N}}_]+$') AS a, y[2:] AS b
+                     FROM run WHERE regexp_full_match(y, ' [\\p{{L}}\\p{{N}}_]+')),
             hit AS (SELECT doc_id, dict_id, a, b, i, i - row_number() OVER (
                         PARTITION BY doc_id, dict_id, a, b ORDER BY i) AS stretch
                     FROM pair JOIN dict USING (a, b))

@@ -1,10 +1,11 @@
 """Dictionaries as tables: terms of any number of dictionaries looked up in texts by a join.
 
-Each term is filed under one of its words, the one that fewest terms have.  Texts are cut into
-words, each with the few words around it, and joined with the filed terms on the word; whether the
+Each term is filed under one of its words, the one that fewest terms have.  A bitmap of hashes, of
+the word and of its neighbour in the term, says which words of a text could begin a look-up; they
+leave the text with the few words around them and are joined with the filed terms.  Whether the
 rest of the term stands there, in its place, is then seen from the surroundings alone.  No term is
-part of the plan, so a dictionary may have any number of them, and the planner broadcasts the
-filed terms if it measures them as small.
+part of the plan, so a dictionary may have any number of them; the planner broadcasts the filed
+terms if it measures them as small, and else only the words that passed the bitmap are shuffled.
 
 The rules are those of ``functions.skills``: whole words, and next to a term's edge that is no
 word character either a word character (``boundary="word"``) or none (``"token"``).
@@ -24,6 +25,9 @@ from jobsignal.session import working_folder
 
 _WORD = r"[\p{L}\p{N}_]"
 _PIECE = rf"{NON_WORDS[:-1]}*{_WORD}+|{NON_WORDS}$"
+#: The bitmap has 16 bits a term, at least 2^10 and at most 2^24 of them, or 2 MB; with more terms
+#: than that more words pass it, and the join still decides.
+LEAST_BITS, MOST_BITS = 10, 24
 TERMS = "dict_id string, term string, skill string, boundary string"
 
 
@@ -66,6 +70,10 @@ def filed_terms(terms: DataFrame) -> DataFrame:
     upto = F.array_join(F.slice("pieces", F.lit(1), F.col("b.i") + 1), "")
     head = F.left(upto, F.length(upto) - F.length("b.word"))
     size = F.size("words")
+    near = F.col("b.i") + 1
+    # The word and the next one, or at the end the one before and the word.
+    pair = F.when(near < size, F.concat("b.word", F.lit(" "), F.get("words", near))).otherwise(
+        F.concat(F.get("words", near - 2), F.lit(" "), "b.word"))
     first = F.regexp_extract("term", rf"^(?:{NON_WORDS})?", 0)
     last = F.regexp_extract("term", rf"(?:{NON_WORDS})?$", 0)
     # A term can overlap itself where its last words are its first ones, or both edges are signs.
@@ -75,6 +83,7 @@ def filed_terms(terms: DataFrame) -> DataFrame:
         F.col("b.word").alias("word"), "dict_id", "term", "skill", "boundary",
         head.alias("head"), F.substr("term", F.length(upto) + 1).alias("tail"),
         F.col("b.i").alias("lead"), size.alias("size"),
+        F.when(size > 1, pair).otherwise(F.col("b.word")).alias("mark"),
         F.length(first).alias("before"), F.length(last).alias("after"),
         ((size > 1) & F.coalesce(again, F.lit(False)) | ((first != "") & (last != "")))
         .alias("overlaps"))
@@ -83,31 +92,62 @@ def filed_terms(terms: DataFrame) -> DataFrame:
     return terms.sparkSession.read.schema(out.schema).parquet(path)
 
 
-def _places(low: Column, reach: int) -> Column:
-    """The words of a text, each with its place and what stands within ``reach`` words of it."""
+def _slot(key: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits).cast("long"))
+
+
+def _bitmap(filed: DataFrame, bits: int) -> DataFrame:
+    """One row: the bitmap of all marks as an array of ``bits / 64`` numbers."""
+    slot = _slot(F.col("mark"), bits)
+    set_bits = filed.groupBy(F.floor(slot / 64).alias("id")).agg(
+        F.bit_or(F.expr("1L << cast(pmod(xxhash64(mark), 64L) AS int)")).alias("w"))
+    every = filed.sparkSession.range(bits // 64).join(set_bits, "id", "left").select(
+        F.struct("id", F.coalesce("w", F.lit(0).cast("long")).alias("w")).alias("s"))
+    return every.agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["w"]).alias("bitmap"))
+
+
+def _places(low: Column, reach: int, bitmap: Column, bits: int) -> Column:
+    """The words of a text that pass the bitmap, each with its place and what stands within
+    ``reach`` words of it."""
     pieces = F.regexp_extract_all(low, F.lit(_PIECE), F.lit(0))
 
-    def around(parts: Column, words: Column) -> Column:
+    def around(parts: Column, words: Column, marked: Column) -> Column:
+        def passes(key: Column) -> Column:
+            return bind(_slot(key, bits), lambda h: F.bit_get(
+                F.get(marked, F.floor(h / 64).cast("int")), (h % 64).cast("int")) == 1)
+
         def place(word: Column, i: Column) -> Column:
             start = F.greatest(i - reach, F.lit(0))
             own = F.get(parts, i)
             before = F.concat(F.array_join(F.slice(parts, start + 1, i - start), ""),
                               F.left(own, F.length(own) - F.length(word)))
             after = F.array_join(F.slice(parts, i + 2, F.lit(reach + 1)), "")
-            return F.struct(i.alias("i"), word.alias("word"), before.alias("left"),
-                            after.alias("right"))
+            found = passes(word)
+            if reach > 1:
+                follows = F.concat(word, F.lit(" "), F.get(words, i + 1))
+                ends = F.concat(F.get(words, F.when(i > 0, i - 1)), F.lit(" "), word)
+                found = found | F.coalesce(passes(follows), F.lit(False)) \
+                    | F.coalesce(passes(ends), F.lit(False))
+            return F.when(found, F.struct(i.alias("i"), word.alias("word"), before.alias("left"),
+                                          after.alias("right")))
 
-        return F.transform(words, place)
+        return F.filter(F.transform(words, place), lambda p: p.isNotNull())
 
     # The last piece may have no word.
-    return bind(pieces, lambda parts: around(parts, _words(low)))
+    return bind(pieces, lambda parts: bind(_words(low), lambda words: bind(
+        bitmap, lambda marked: around(parts, words, marked))))
 
 
 def term_places(texts: DataFrame, keys: Sequence[str], text: Column, filed: DataFrame) -> DataFrame:
     """(*keys, dict_id, term, skill, ...): every place where a term stands in a text."""
-    reach = filed.agg(F.coalesce(F.max("size"), F.lit(1))).first()[0]  # words of the longest term
-    low = texts.select(*keys, F.explode_outer(_places(F.lower(blank_to(text, "")), reach))
-                       .alias("p")).where(F.col("p").isNotNull()).select(*keys, "p.*")
+    n, reach = filed.agg(F.count("*"), F.coalesce(F.max("size"), F.lit(1))).first()
+    bits = 1 << min(MOST_BITS, max(LEAST_BITS, (16 * n).bit_length()))
+    # A subquery: its value is made once, and rows carry it from the scan to the generator only.
+    marked = texts.select(*keys, text.alias("_text"), _bitmap(filed, bits).scalar().alias("_bitmap"))
+    places = bind(F.lower(blank_to(F.col("_text"), "")),
+                  lambda low: _places(low, reach, F.col("_bitmap"), bits))
+    low = marked.select(*keys, F.explode_outer(places).alias("p")) \
+        .where(F.col("p").isNotNull()).select(*keys, "p.*")
     there = low.join(filed, "word").where(
         F.endswith("left", "head") & F.startswith("right", "tail"))
     inner = F.left("left", F.length("left") - F.length("head"))
