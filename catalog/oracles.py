@@ -106,6 +106,11 @@ LOW_DOCUMENTS = "SELECT doc_id, lower(text) AS low FROM documents"
 POSTING = f"""
     posting AS (SELECT doc_id, split_part(text, {NL}, 1) AS title, source AS company,
                        text AS description, source, lang AS location, n_chars FROM documents)"""
+CYCLES = POSTING + f""",
+    seen AS (SELECT doc_id, {", ".join(f"lower({strip(f'coalesce({c}, {lit(str())})')}) AS {c}"
+                                       for c in ("title", "company", "location"))},
+                    unnest(CASE WHEN doc_id % 5 = 0 THEN ['c0', 'c1', 'c2']
+                                ELSE ['c' || (doc_id % 3)] END) AS cycle FROM posting)"""
 LOW_POSTINGS = f"""
     SELECT doc_id, source, (CASE WHEN title <> '' THEN lower(title) || ' ' ELSE '' END)
         || (CASE WHEN description <> '' THEN lower(description) || ' ' ELSE '' END) AS low
@@ -559,6 +564,22 @@ def oracle_sql() -> dict[str, str]:
             f"""SELECT doc_id, {lit(name)} AS asked FROM documents
                 WHERE {in_region(f"split_part(text, {NL}, 1)", regions)}"""
             for name, regions in region_sets.items()),
+        "postings_seen": f"""WITH {CYCLES} SELECT title, company, location, min(cycle) AS first_cycle,
+            max(cycle) AS last_cycle, count(DISTINCT cycle) AS cycles FROM seen GROUP BY ALL""",
+        "new_postings_by_cycle": f"""WITH {CYCLES},
+            first AS (SELECT title, company, location, min(cycle) AS cycle FROM seen GROUP BY ALL)
+            SELECT cycle, count(DISTINCT (title, company, location)) AS postings,
+                   (SELECT count(*) FROM first f WHERE f.cycle = s.cycle) AS new
+            FROM seen s GROUP BY cycle""",
+        "last_cycle_new_postings": f"""WITH {CYCLES}
+            SELECT doc_id, p.title, p.company, p.location FROM seen s JOIN posting p USING (doc_id)
+            WHERE NOT EXISTS (SELECT 1 FROM seen e WHERE e.cycle < 'c2' AND e.title = s.title
+                              AND e.company = s.company AND e.location = s.location)
+            QUALIFY row_number() OVER (PARTITION BY s.title, s.company, s.location
+                                       ORDER BY doc_id) = 1""",
+        "distinct_by_sketch": f"""WITH {POSTING}
+            SELECT source, count(*) AS rows, count(DISTINCT ({title_key()})) AS distinct,
+                   true AS close FROM posting GROUP BY source""",
         "feed_sparse_fields": SPARSE,
         "rejected_responses": REJECTED,
         "damaged_collection": DAMAGED,
@@ -606,6 +627,7 @@ def oracle_sql() -> dict[str, str]:
             sum(length(text))::BIGINT AS characters FROM documents GROUP BY ALL""",
         "market_demand": f"""WITH {batch}
             SELECT skill, sum(count)::BIGINT AS count FROM demand GROUP BY skill""",
+        "market_rollup": f"WITH {batch} SELECT skill, sum(count)::BIGINT AS count FROM demand GROUP BY 1",
         "latest_batch_demand": f"""WITH {batch}
             SELECT skill, count FROM demand WHERE batch_id = (SELECT max(batch_id) FROM demand)
             ORDER BY count DESC, skill LIMIT 20""",

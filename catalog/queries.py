@@ -14,7 +14,10 @@ from jobsignal.dictionaries import BASIC, POSTINGS, SkillDictionary, all_skills
 from jobsignal.functions import rules
 from jobsignal.functions import skills as S
 from jobsignal.functions.text import html_to_text, word_count
-from jobsignal.operators import extraction, gap, market, postings, requests, similarity
+from jobsignal.operators import (
+    distinct, extraction, gap, market, postings, requests, similarity,
+)
+from jobsignal.operators.history import PostingHistory
 from jobsignal.operators.requests import CollectionFilters
 from jobsignal.operators.term_table import table_mentions as dictionary_mentions
 from jobsignal.operators.term_table import term_table
@@ -252,6 +255,59 @@ def dedup_postings(spark, sf):
     return postings.deduplicate(rows, order=["doc_id"])
 
 
+def _cycles(spark: SparkSession, sf: str) -> DataFrame:
+    """Postings of three cycles: every fifth one is in all of them, the others in one."""
+    names = F.array(F.lit("c0"), F.lit("c1"), F.lit("c2"))
+    own = F.when(F.col("doc_id") % 5 == 0, names).otherwise(
+        F.slice(names, (F.col("doc_id") % 3 + 1).cast("int"), F.lit(1)))
+    return V.postings(spark, sf).withColumn("cycle", F.explode(own))
+
+
+def _history(spark: SparkSession, sf: str) -> PostingHistory:
+    history = PostingHistory(spark, working_folder(spark, "history"))
+    for cycle in ("c0", "c1", "c2"):
+        history.add(_cycles(spark, sf).where(F.col("cycle") == cycle), cycle, ("doc_id",))
+    return history
+
+
+@query
+def postings_seen(spark, sf):
+    """When each posting of three cycles was seen first and last."""
+    return _history(spark, sf).seen()
+
+
+@query
+def new_postings_by_cycle(spark, sf):
+    return _history(spark, sf).new_by_cycle()
+
+
+@query
+def last_cycle_new_postings(spark, sf):
+    """What the third cycle has that the first two had not, each posting once."""
+    history = PostingHistory(spark, working_folder(spark, "history"))
+    for cycle in ("c0", "c1"):
+        history.add(_cycles(spark, sf).where(F.col("cycle") == cycle), cycle, ("doc_id",))
+    new = history.add(_cycles(spark, sf).where(F.col("cycle") == "c2"), "c2", ("doc_id",))
+    return new.select("doc_id", "title", "company", "location")
+
+
+@query
+def distinct_by_sketch(spark, sf):
+    """Distinct postings per source from sketches of four batches, beside the exact numbers.
+
+    ``close`` says whether an estimate is within three standard errors, or one posting, of them.
+    """
+    rows = V.postings(spark, sf).withColumn("batch_id", F.col("doc_id") % 4)
+    sketches = distinct.posting_sketches(rows, ["source", "batch_id"])
+    estimates = distinct.merged(sketches, ["source"]).select(
+        F.col("source").alias("_source"), "rows", distinct.estimate().alias("estimate"))
+    exact = distinct.distinct_postings(rows, ["source"])
+    off = F.abs(F.col("estimate") - F.col("distinct"))
+    return exact.join(estimates, F.col("source").eqNullSafe(F.col("_source"))).select(
+        "source", "rows", "distinct",
+        (off <= F.greatest(F.lit(1.0), 3 * distinct.STANDARD_ERROR * F.col("distinct"))).alias("close"))
+
+
 @query
 def cycle_totals(spark, sf):
     rows = V.postings(spark, sf).withColumn("cycle", F.concat(F.lit("c"), F.col("doc_id") % 3))
@@ -303,17 +359,10 @@ def feed_sparse_fields(spark, sf):
     return reduce(DataFrame.unionByName, frames)
 
 
-def _damaged(spark: SparkSession, sf: str):
-    folder = working_folder(spark, "landed")
-    V.damaged_landed(spark, sf).write.partitionBy("source").parquet(folder)
-    filters = CollectionFilters(V.CATEGORIES, V.REGIONS)
-    return collect(spark.read.schema(LANDED).parquet(folder), filters, F.lit(_NOW))
-
-
 @query
 def rejected_responses(spark, sf):
     """What could not be read of responses that were damaged on the way, and why."""
-    return _damaged(spark, sf).rejected.select(
+    return feeds.rejected(V.damaged_landed(spark, sf)).select(
         "cycle", "source", "request", "query", "pos", "reason", F.left("body", F.lit(1))
         .alias("begins"))
 
@@ -321,15 +370,16 @@ def rejected_responses(spark, sf):
 @query
 def damaged_collection(spark, sf):
     """Statistics of a run over damaged responses: all that is whole is kept."""
-    stats = _damaged(spark, sf).stats()
+    stats = _collection(spark, sf, V.damaged_landed(spark, sf)).stats()
     counts = [F.col("by_source")[s].alias(s) for s in ("remoteok", "adzuna", "jsearch")]
     return stats.select("cycle", "fetched_total", "deduplicated_total", "rejected_total", *counts)
 
 
-def _collection(spark: SparkSession, sf: str):
+def _collection(spark: SparkSession, sf: str, landed: DataFrame | None = None):
     """A run over stored responses; every adapter reads the folder of its own feed only."""
     folder = working_folder(spark, "landed")
-    V.all_landed(spark, sf).write.partitionBy("source").parquet(folder)
+    (V.all_landed(spark, sf) if landed is None else landed).write.partitionBy("source") \
+        .parquet(folder)
     filters = CollectionFilters(V.CATEGORIES, V.REGIONS)
     landed = spark.read.schema(LANDED).parquet(folder)
     return collect(landed, filters, F.lit(_NOW))
@@ -437,6 +487,19 @@ def market_demand(spark, sf):
     return market.market_demand(_stored(spark, sf, demand=True).skill_demand())
 
 
+@query
+def market_rollup(spark, sf):
+    """The market of four days of batches, two of them closed and rolled up."""
+    store = DemandStore(spark, working_folder(spark, "store"))
+    batch = (F.col("doc_id") % 8).alias("batch_id")
+    counted = market.posting_demand(V.postings(spark, sf).withColumn("batch_id", batch),
+                                    V.VOCABULARY, by=["batch_id"])
+    day = F.timestamp_seconds(F.lit(1_700_000_000) + F.floor(F.col("batch_id") / 2) * 86400)
+    store.write_demand(counted, F.col("batch_id"), day)
+    store.close("2023-11-15")
+    return store.market()
+
+
 @query
 def latest_batch_demand(spark, sf):
     return market.latest_batch_demand(_stored(spark, sf, demand=True).latest_demand())

@@ -21,13 +21,11 @@ from pyspark.sql import functions as F
 from jobsignal.dictionaries import SkillDictionary
 from jobsignal.functions.skills import NON_WORDS
 from jobsignal.functions.text import bind, blank_to
+from jobsignal.operators.bitmap import bitmap, bits_for, may_contain
 from jobsignal.session import working_folder
 
 _WORD = r"[\p{L}\p{N}_]"
 _PIECE = rf"{NON_WORDS[:-1]}*{_WORD}+|{NON_WORDS}$"
-#: The bitmap has 16 bits a term, at least 2^10 and at most 2^24 of them, or 2 MB; with more terms
-#: than that more words pass it, and the join still decides.
-LEAST_BITS, MOST_BITS = 10, 24
 TERMS = "dict_id string, term string, skill string, boundary string"
 
 
@@ -92,29 +90,14 @@ def filed_terms(terms: DataFrame) -> DataFrame:
     return terms.sparkSession.read.schema(out.schema).parquet(path)
 
 
-def _slot(key: Column, bits: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(bits).cast("long"))
-
-
-def _bitmap(filed: DataFrame, bits: int) -> DataFrame:
-    """One row: the bitmap of all marks as an array of ``bits / 64`` numbers."""
-    slot = _slot(F.col("mark"), bits)
-    set_bits = filed.groupBy(F.floor(slot / 64).alias("id")).agg(
-        F.bit_or(F.expr("1L << cast(pmod(xxhash64(mark), 64L) AS int)")).alias("w"))
-    every = filed.sparkSession.range(bits // 64).join(set_bits, "id", "left").select(
-        F.struct("id", F.coalesce("w", F.lit(0).cast("long")).alias("w")).alias("s"))
-    return every.agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["w"]).alias("bitmap"))
-
-
-def _places(low: Column, reach: int, bitmap: Column, bits: int) -> Column:
+def _places(low: Column, reach: int, marks: Column, bits: int) -> Column:
     """The words of a text that pass the bitmap, each with its place and what stands within
     ``reach`` words of it."""
     pieces = F.regexp_extract_all(low, F.lit(_PIECE), F.lit(0))
 
     def around(parts: Column, words: Column, marked: Column) -> Column:
         def passes(key: Column) -> Column:
-            return bind(_slot(key, bits), lambda h: F.bit_get(
-                F.get(marked, F.floor(h / 64).cast("int")), (h % 64).cast("int")) == 1)
+            return may_contain(marked, key, bits)
 
         def place(word: Column, i: Column) -> Column:
             start = F.greatest(i - reach, F.lit(0))
@@ -135,15 +118,15 @@ def _places(low: Column, reach: int, bitmap: Column, bits: int) -> Column:
 
     # The last piece may have no word.
     return bind(pieces, lambda parts: bind(_words(low), lambda words: bind(
-        bitmap, lambda marked: around(parts, words, marked))))
+        marks, lambda marked: around(parts, words, marked))))
 
 
 def term_places(texts: DataFrame, keys: Sequence[str], text: Column, filed: DataFrame) -> DataFrame:
     """(*keys, dict_id, term, skill, ...): every place where a term stands in a text."""
     n, reach = filed.agg(F.count("*"), F.coalesce(F.max("size"), F.lit(1))).first()
-    bits = 1 << min(MOST_BITS, max(LEAST_BITS, (16 * n).bit_length()))
+    bits = bits_for(n)
     # A subquery: its value is made once, and rows carry it from the scan to the generator only.
-    marked = texts.select(*keys, text.alias("_text"), _bitmap(filed, bits).scalar().alias("_bitmap"))
+    marked = texts.select(*keys, text.alias("_text"), bitmap(filed, "mark", bits).scalar().alias("_bitmap"))
     places = bind(F.lower(blank_to(F.col("_text"), "")),
                   lambda low: _places(low, reach, F.col("_bitmap"), bits))
     low = marked.select(*keys, F.explode_outer(places).alias("p")) \
