@@ -445,6 +445,13 @@ ENTITIES = """SELECT conv_id, turn, unnest(regexp_extract_all(text, '\\p{Lu}\\p{
               CASE role WHEN 'user' THEN 'ORG' ELSE 'PERSON' END AS label FROM conversations"""
 
 
+def met(texts: str, needles: list[tuple[str, str, str]]) -> str:
+    """(doc_id, dim, name) by a search for every needle; the empty one is met by empty texts."""
+    rows = ", ".join(f"({lit(d)}, {lit(n)}, {lit(x)})" for d, n, x in needles)
+    return f"""SELECT DISTINCT doc_id, dim, name FROM ({texts}) JOIN (VALUES {rows}) AS d(dim, name, needle)
+        ON CASE WHEN needle = '' THEN low = '' ELSE contains(low, needle) END"""
+
+
 def similar(sets: str, threshold: float) -> str:
     """All pairs of distinct sets ``(id, s)``, compared one by one."""
     return f"""WITH sets AS ({sets}),
@@ -583,6 +590,12 @@ def oracle_sql() -> dict[str, str]:
         "feed_sparse_fields": SPARSE,
         "rejected_responses": REJECTED,
         "damaged_collection": DAMAGED,
+        "category_dimension": met("SELECT doc_id, lower(text) AS low FROM documents", [
+            ("category", c, n) for c, q in {**CATEGORY_QUERIES, "rest of": "in the", "that": "that"}.items()
+            for n in (c, q)]),
+        "region_dimension": met(f"SELECT doc_id, lower(split_part(text, {NL}, 1)) AS low FROM documents", [
+            *[("region", n, t) for names, tokens in REGION_TOKENS for n in names for t in tokens],
+            ("region", "remote", "remote"), ("region", "remote", "")]),
         "source_selection": """SELECT source, count(*) AS postings FROM documents
             WHERE source IN ('src1', 'src7', 'src19') GROUP BY 1""",
         "source_caps": """SELECT source, doc_id FROM documents

@@ -18,6 +18,7 @@ from jobsignal.operators import (
     distinct, extraction, gap, market, postings, requests, similarity,
 )
 from jobsignal.operators.history import PostingHistory
+from jobsignal.operators.needle_table import category_needles, met_needles, region_needles
 from jobsignal.operators.requests import CollectionFilters
 from jobsignal.operators.term_table import table_mentions as dictionary_mentions
 from jobsignal.operators.term_table import term_table
@@ -237,6 +238,19 @@ def region_filter(spark, sf):
     return rows.where(F.col("asked").isNotNull())
 
 
+@query
+def category_dimension(spark, sf):
+    """The categories of a table that each posting's text meets."""
+    needles = category_needles(spark, {**rules.CATEGORY_QUERIES, **V.CATEGORY_PHRASES, "that": "that"})
+    return met_needles(V.documents(spark, sf), ["doc_id"], F.col("text"), needles)
+
+
+@query
+def region_dimension(spark, sf):
+    """The regions of a table that each posting's title meets."""
+    return met_needles(V.postings(spark, sf), ["doc_id"], F.col("title"), region_needles(spark))
+
+
 @query
 def source_selection(spark, sf):
     rows = postings.select_sources(V.table(spark, sf, "documents"), ["src1", "src7", "src19"])
