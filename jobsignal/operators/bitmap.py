@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsignal.functions.text import bind
-
-#: Bits a key, and the bounds of a bitmap: 2^24 bits are 2 MB.  With more keys than that more rows
-#: pass it; the join behind it decides in any case.
-BITS_A_KEY = 16
+#: Bits a key, and the bounds of a bitmap: 2^24 bits are 2 MB.  With more than 262 144 keys more rows
+#: pass it than one in 64; the join behind it decides in any case.
+BITS_A_KEY = 64
 LEAST_BITS, MOST_BITS = 10, 24
 
 
@@ -18,25 +16,29 @@ def bits_for(keys: int) -> int:
     return 1 << min(MOST_BITS, max(LEAST_BITS, (BITS_A_KEY * keys).bit_length()))
 
 
-def _slot(key: Column, bits: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(bits).cast("long"))
+def hashed(*parts: Column | str) -> Column:
+    """What a key of one or several parts is known by."""
+    return F.xxhash64(*parts)
 
 
-def bitmap(keys: DataFrame, key: str, bits: int) -> DataFrame:
-    """One row with ``bitmap``: the hashes of all keys, as an array of ``bits / 64`` numbers.
+def bitmap(hashes: DataFrame, name: str, bits: int) -> DataFrame:
+    """One row with ``bitmap``: which hashes occur in the column, as ``bits / 64`` numbers.
 
     A task sends a number per 64 slots at most, however many keys it has.
     """
-    slot = _slot(F.col(key), bits)
-    words = keys.select(F.shiftright(slot, 6).alias("id"), (slot % 64).cast("int").alias("b")) \
+    slot = F.pmod(F.col(name), F.lit(bits).cast("long"))
+    words = hashes.select(F.shiftright(slot, 6).alias("id"), (slot % 64).cast("int").alias("b")) \
         .groupBy("id").agg(F.bit_or(F.expr("1L << b")).alias("w"))
-    every = keys.sparkSession.range(bits // 64).join(words, "id", "left").select(
+    every = hashes.sparkSession.range(bits // 64).join(words, "id", "left").select(
         F.struct("id", F.coalesce("w", F.lit(0).cast("long")).alias("w")).alias("s"))
     return every.agg(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["w"])
                      .alias("bitmap"))
 
 
 def may_contain(words: Column, key: Column, bits: int) -> Column:
-    """False only for keys that are not among those of the bitmap; null for a null key."""
-    return bind(F.when(key.isNotNull(), _slot(key, bits)), lambda h: F.bit_get(
-        F.get(words, F.shiftright(h, 6).cast("int")), (h % 64).cast("int")) == 1)
+    """False only for a hash that is not among those of the bitmap.
+
+    ``key`` is evaluated twice, which is cheaper for a hash than to bind it.
+    """
+    slot = F.shiftright(F.pmod(key, F.lit(bits).cast("long")), 6).cast("int")
+    return F.bit_get(F.get(words, slot), F.pmod(key, F.lit(64).cast("long")).cast("int")) == 1

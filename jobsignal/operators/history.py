@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobsignal.operators.bitmap import bitmap, bits_for, may_contain
+from jobsignal.operators.bitmap import bitmap, bits_for, hashed, may_contain
 from jobsignal.operators.postings import DEDUP_KEYS, dedup_keys, first_k
 from jobsignal.schema import FEED_ORDER
 
@@ -70,10 +70,9 @@ class PostingHistory:
         """Of the postings of earlier cycles those that may be among ``keys``."""
         earlier = self._rows().where((F.col("cycle") < cycle) & F.col("fresh"))
         bits = bits_for(keys.count())
-        marks = keys.select(F.concat_ws("\x01", *_KEYS).alias("k"))
-        found = bitmap(marks, "k", bits).scalar()
+        found = bitmap(keys.select(hashed(*_KEYS).alias("mark")), "mark", bits).scalar()
         return earlier.select(*_KEYS, found.alias("_bitmap")) \
-            .where(may_contain(F.col("_bitmap"), F.concat_ws("\x01", *_KEYS), bits)).select(*_KEYS)
+            .where(may_contain(F.col("_bitmap"), hashed(*_KEYS), bits)).select(*_KEYS)
 
     def _rows(self) -> DataFrame:
         try:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from jobsignal.functions import rules
 from jobsignal.functions.text import bind, blank_to
-from jobsignal.operators.bitmap import bitmap, bits_for, may_contain
+from jobsignal.operators.bitmap import bitmap, bits_for, hashed, may_contain
 from jobsignal.session import working_folder
 
 GRAM = 3
@@ -47,7 +47,8 @@ def met_needles(texts: DataFrame, keys: Sequence[str], text: Column, needles: Da
     entries = _written(_entries(low, _written(_filed(needles), "needles")), "entries")
     n, reach = entries.agg(F.count_distinct("word"), F.coalesce(F.max("size"), F.lit(1))).first()
     bits = bits_for(n)
-    marked = low.select(*keys, "_low", bitmap(entries, "word", bits).scalar().alias("_bitmap"))
+    marked = low.select(*keys, "_low", bitmap(
+        entries.select(hashed("word").alias("mark")), "mark", bits).scalar().alias("_bitmap"))
     words = marked.select(*keys, F.explode_outer(
         _windows(F.col("_low"), reach, F.col("_bitmap"), bits)).alias("w")) \
         .where(F.col("w").isNotNull()).select(*keys, "w.*")
@@ -103,7 +104,7 @@ def _windows(low: Column, reach: int, marks: Column, bits: int) -> Column:
         def window(word: Column, i: Column) -> Column:
             start = F.greatest(i - (reach - 1), F.lit(0))
             near = F.array_join(F.slice(words, start + 1, i - start + reach), " ")
-            return F.when(may_contain(marked, word, bits),
+            return F.when(may_contain(marked, hashed(word), bits),
                           F.struct(word.alias("word"), near.alias("window")))
 
         return F.filter(F.transform(words, window), lambda w: w.isNotNull())

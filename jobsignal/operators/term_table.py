@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from jobsignal.dictionaries import SkillDictionary
 from jobsignal.functions.skills import NON_WORDS
 from jobsignal.functions.text import bind, blank_to
-from jobsignal.operators.bitmap import bitmap, bits_for, may_contain
+from jobsignal.operators.bitmap import bitmap, bits_for, hashed, may_contain
 from jobsignal.session import working_folder
 
 _WORD = r"[\p{L}\p{N}_]"
@@ -70,8 +70,8 @@ def filed_terms(terms: DataFrame) -> DataFrame:
     size = F.size("words")
     near = F.col("b.i") + 1
     # The word and the next one, or at the end the one before and the word.
-    pair = F.when(near < size, F.concat("b.word", F.lit(" "), F.get("words", near))).otherwise(
-        F.concat(F.get("words", near - 2), F.lit(" "), "b.word"))
+    pair = F.when(near < size, hashed("b.word", F.get("words", near))).otherwise(
+        hashed(F.get("words", near - 2), "b.word"))
     first = F.regexp_extract("term", rf"^(?:{NON_WORDS})?", 0)
     last = F.regexp_extract("term", rf"(?:{NON_WORDS})?$", 0)
     # A term can overlap itself where its last words are its first ones, or both edges are signs.
@@ -81,7 +81,7 @@ def filed_terms(terms: DataFrame) -> DataFrame:
         F.col("b.word").alias("word"), "dict_id", "term", "skill", "boundary",
         head.alias("head"), F.substr("term", F.length(upto) + 1).alias("tail"),
         F.col("b.i").alias("lead"), size.alias("size"),
-        F.when(size > 1, pair).otherwise(F.col("b.word")).alias("mark"),
+        F.when(size > 1, pair).otherwise(hashed("b.word")).alias("mark"),
         F.length(first).alias("before"), F.length(last).alias("after"),
         ((size > 1) & F.coalesce(again, F.lit(False)) | ((first != "") & (last != "")))
         .alias("overlaps"))
@@ -96,8 +96,8 @@ def _places(low: Column, reach: int, marks: Column, bits: int) -> Column:
     pieces = F.regexp_extract_all(low, F.lit(_PIECE), F.lit(0))
 
     def around(parts: Column, words: Column, marked: Column) -> Column:
-        def passes(key: Column) -> Column:
-            return may_contain(marked, key, bits)
+        def passes(*key: Column) -> Column:
+            return may_contain(marked, hashed(*key), bits)
 
         def place(word: Column, i: Column) -> Column:
             start = F.greatest(i - reach, F.lit(0))
@@ -107,10 +107,8 @@ def _places(low: Column, reach: int, marks: Column, bits: int) -> Column:
             after = F.array_join(F.slice(parts, i + 2, F.lit(reach + 1)), "")
             found = passes(word)
             if reach > 1:
-                follows = F.concat(word, F.lit(" "), F.get(words, i + 1))
-                ends = F.concat(F.get(words, F.when(i > 0, i - 1)), F.lit(" "), word)
-                found = found | F.coalesce(passes(follows), F.lit(False)) \
-                    | F.coalesce(passes(ends), F.lit(False))
+                found = found | passes(word, F.get(words, i + 1)) \
+                    | passes(F.get(words, F.when(i > 0, i - 1)), word)
             return F.when(found, F.struct(i.alias("i"), word.alias("word"), before.alias("left"),
                                           after.alias("right")))
 
