@@ -48,7 +48,10 @@ BASE = (
 #: Further kinds: key blocks and tokens with a prefix of their issuer.
 MORE = (
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("web_token", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # A first part without the others is consumed as well, so that a long run is tried once; the
+    # group is empty then, and the match too short.
+    Rule("web_token", r"\beyJ[A-Za-z0-9_-]{8,}"
+                      r"(\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})?", 1, 1),
     Rule("hosted_token", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,})"),
 )
 RULES = BASE + MORE

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -340,6 +341,22 @@ def test_overlapping_spans_are_redacted_whole(spark):
 
 
 def test_very_long_runs_take_linear_time():
-    for unit in ("a", "1", "@", "1.", "+1", "(", "a@", "a@b.c", "1-", "[at]", " "):
+    for unit in ("a", "1", "@", "1.", "+1", "(", "a@", "a@b.c", "1-", "[at]", " ",
+                 "eyJ-", "eyJ-abcdefgh.", "eyJ.", "ghp_", "xoxa-", "-----BEGIN ", "token "):
         pii.proposals(unit * (200_000 // len(unit)))
         secrets.scan(unit * (200_000 // len(unit)))
+
+
+def test_web_tokens_are_those_of_the_plain_pattern():
+    part = r"[A-Za-z0-9_-]{8,}"
+    plain = re.compile(rf"\beyJ{part}\.eyJ{part}\.{part}", re.ASCII)
+    rule = next(r for r in secrets.RULES if r.kind == "web_token")
+    rng = random.Random(5)
+    pieces = ["eyJ", "eyJabcdefgh", "abcdefgh", "-", ".", "_", " ", "é", "a", "eyJ12345678."]
+    found = 0
+    for _ in range(20_000):
+        text = "".join(rng.choices(pieces, k=rng.randint(0, 14)))
+        expected = [m.span() for m in plain.finditer(text)]
+        assert list(rule.spans(text)) == expected, text
+        found += len(expected)
+    assert found > 100
