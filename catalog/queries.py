@@ -393,7 +393,7 @@ def _collection(spark: SparkSession, sf: str, landed: DataFrame | None = None):
     """A run over stored responses; every adapter reads the folder of its own feed only."""
     folder = working_folder(spark, "landed")
     (V.all_landed(spark, sf) if landed is None else landed).write.partitionBy("source") \
-        .parquet(folder)
+        .option("compression", "zstd").parquet(folder)
     filters = CollectionFilters(V.CATEGORIES, V.REGIONS)
     landed = spark.read.schema(LANDED).parquet(folder)
     return collect(landed, filters, F.lit(_NOW))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,6 +26,8 @@ CATEGORY_PHRASES = {"rest of": "in the"}
 REGIONS = ("us", "remote")
 SMALL_PAYLOAD = 64
 LARGE_PAYLOAD = 128
+# What the list of entries is called in a response; "" is the response itself.
+WRAPS = {"remoteok": "", "arbeitnow": "data", "adzuna": "results", "jsearch": "data"}
 
 
 _SCHEMAS: dict[str, StructType] = {}
@@ -41,7 +45,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def first_line(text: str = "text") -> Column:
+def first_line(text: str | Column = "text") -> Column:
     return F.substring_index(text, "\n", 1)
 
 
@@ -129,25 +133,57 @@ def buyer_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Feed responses -----------------------------------------------------------------------------
 
 
-def _place() -> Column:
-    return (F.when(F.col("lang") == "en", "Austin, USA").when(F.col("lang") == "de", "Berlin")
-            .when(F.col("lang") == "fr", F.lit(None)).otherwise("Remote"))
+Field = Callable[[str], Column]
+
 
+def _place(d: Field) -> Column:
+    lang = d("lang")
+    return (F.when(lang == "en", "Austin, USA").when(lang == "de", "Berlin")
+            .when(lang == "fr", F.lit(None)).otherwise("Remote"))
 
-def _every(n: int, value: Column) -> Column:
+
+def _every(d: Field, n: int, value: Column) -> Column:
     """``value``, left out for every ``n``-th document."""
-    return F.when(F.col("doc_id") % n != 0, value)
+    return F.when(d("doc_id") % n != 0, value)
+
+
+def _shared(docs: DataFrame, *columns: str) -> DataFrame:
+    """Consecutive documents in one row, as many as the largest response holds.
+
+    Every feed packs its responses from these rows, and Spark shuffles the documents once for all
+    feeds that are read together.
+    """
+    return docs.groupBy(F.floor(F.col("doc_id") / LARGE_PAYLOAD).alias("n")).agg(
+        F.collect_list(F.struct("doc_id", *columns)).alias("docs"))
+
 
+def _entries(docs: str | Column, entry: Callable[[Field], Column]) -> Column:
+    """The entries of the documents of a list, in the order of ``doc_id``."""
+    listed = F.array_sort(F.transform(docs, lambda d: F.struct(
+        d["doc_id"].alias("doc_id"), entry(lambda c: d[c]).alias("e"))))
+    return F.transform(listed, lambda e: e["e"])
 
-def _responses(docs: DataFrame, feed: str, size: int, entry: Column, wrap: str,
-               ) -> DataFrame:
+
+def _responses(shared: DataFrame, feed: str, size: int, entry: Callable[[Field], Column],
+               wrap: str) -> DataFrame:
     """Consecutive documents packed into responses of ``size`` entries each."""
-    packed = docs.groupBy(F.floor(F.col("doc_id") / size).alias("n")).agg(
-        F.array_sort(F.collect_list(F.struct("doc_id", entry.alias("e")))).alias("list"))
-    entries = F.transform("list", lambda e: e["e"])
-    text = F.concat(F.lit("["), F.array_join(entries, ","), F.lit("]"))
+    text = F.concat(F.lit("["), F.array_join(_entries("docs", entry), ","), F.lit("]"))
     body = text if not wrap else F.concat(F.lit('{"' + wrap + '":'), text, F.lit("}"))
-    return _landed(packed, feed, body)
+    return _landed(_cut(shared, size), feed, body)
+
+
+def _cut(shared: DataFrame, size: int) -> DataFrame:
+    """The shared rows cut into lists of ``size`` documents, which divides theirs."""
+    if size == LARGE_PAYLOAD:
+        return shared
+
+    def number(d: Column) -> Column:
+        return F.floor(d["doc_id"] / size)
+
+    numbers = F.array_distinct(F.transform("docs", number))
+    # The outer form keeps the optimizer from listing the numbers a second time.
+    return shared.select("docs", F.explode_outer(numbers).alias("n")).select(
+        "n", F.filter("docs", lambda d: number(d).eqNullSafe(F.col("n"))).alias("docs"))
 
 
 def _landed(packed: DataFrame, feed: str, body: Column) -> DataFrame:
@@ -161,89 +197,98 @@ def _landed(packed: DataFrame, feed: str, body: Column) -> DataFrame:
     )
 
 
-def landed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumn("title", first_line())
-    title, text, source = F.col("title"), F.col("text"), F.col("source")
+def _document_entry(feed: str, d: Field) -> Column:
+    """A document as an entry of the feed's response."""
+    title, text, source, doc_id = first_line(d("text")), d("text"), d("source"), d("doc_id")
     if feed == "remoteok":
-        entry = F.struct(
-            _every(5, title).alias("position"), source.alias("company"),
-            text.alias("description"), F.array("lang").alias("tags"), _place().alias("location"),
-            F.col("n_chars").alias("salary"), _every(2, F.concat(F.lit("/r/"), "doc_id"))
-            .alias("url"), F.concat(F.lit("doc-"), "doc_id").alias("slug"))
-        return _responses(docs, feed, SMALL_PAYLOAD, F.to_json(entry), "")
+        return F.to_json(F.struct(
+            _every(d, 5, title).alias("position"), source.alias("company"),
+            text.alias("description"), F.array(d("lang")).alias("tags"),
+            _place(d).alias("location"), d("n_chars").alias("salary"),
+            _every(d, 2, F.concat(F.lit("/r/"), doc_id)).alias("url"),
+            F.concat(F.lit("doc-"), doc_id).alias("slug")))
     if feed == "arbeitnow":
-        entry = F.struct(
-            title.alias("title"), text.alias("description"), _every(3, F.array("lang"))
-            .alias("tags"), _place().alias("location"), _every(4, source).alias("company_name"),
-            F.concat(F.lit("/a/"), "doc_id").alias("url"), _every(2, F.lit(True)).alias("remote"))
-        return _responses(docs, feed, LARGE_PAYLOAD, F.to_json(entry), "data")
+        return F.to_json(F.struct(
+            title.alias("title"), text.alias("description"),
+            _every(d, 3, F.array(d("lang"))).alias("tags"), _place(d).alias("location"),
+            _every(d, 4, source).alias("company_name"),
+            F.concat(F.lit("/a/"), doc_id).alias("url"),
+            _every(d, 2, F.lit(True)).alias("remote")))
     if feed == "adzuna":
-        entry = F.struct(
-            title.alias("title"), F.struct(_every(4, source).alias("display_name"))
+        return F.to_json(F.struct(
+            title.alias("title"), F.struct(_every(d, 4, source).alias("display_name"))
             .alias("company"), text.alias("description"),
-            F.struct(_place().alias("display_name")).alias("location"),
-            (F.col("n_chars") + F.lit(0.5)).alias("salary_min"),
-            F.concat(F.lit("/z/"), "doc_id").alias("redirect_url"))
-        return _responses(docs, feed, SMALL_PAYLOAD, F.to_json(entry), "results")
+            F.struct(_place(d).alias("display_name")).alias("location"),
+            (d("n_chars") + F.lit(0.5)).alias("salary_min"),
+            F.concat(F.lit("/z/"), doc_id).alias("redirect_url")))
     if feed == "jsearch":
-        entry = F.struct(
-            _every(5, title).alias("job_title"), source.alias("employer_name"),
-            text.alias("job_description"), _every(3, F.lit("Paris")).alias("job_city"),
-            _every(2, F.col("lang")).alias("job_country"),
+        return F.to_json(F.struct(
+            _every(d, 5, title).alias("job_title"), source.alias("employer_name"),
+            text.alias("job_description"), _every(d, 3, F.lit("Paris")).alias("job_city"),
+            _every(d, 2, d("lang")).alias("job_country"),
             F.lit(None).cast("string").alias("job_salary"),
-            F.concat(F.lit("/j/"), "doc_id").alias("job_apply_link"),
-            (F.col("doc_id") % 2 == 0).alias("job_is_remote"))
-        return _responses(docs, feed, SMALL_PAYLOAD, F.to_json(entry), "data")
+            F.concat(F.lit("/j/"), doc_id).alias("job_apply_link"),
+            (doc_id % 2 == 0).alias("job_is_remote")))
+    if feed == "wellfound":
+        return F.concat(
+            F.lit('<div class="x" data-test="JobSearchResult"><h2>'), title, F.lit("</h2>"),
+            F.coalesce(_every(d, 4, F.concat(F.lit("<span>"), source, F.lit("</span>"))), F.lit("")),
+            F.lit('<a href="/jobs/'), doc_id.cast("string"), F.lit('?a=1&amp;b=2">'),
+            F.coalesce(_place(d), F.lit("-")), F.lit("</a><p>"), text, F.lit("</p></div>"))
+    raise ValueError(feed)
+
+
+def landed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     if feed == "hackernews":
         pages = table(spark, sf_dir, "pages").withColumnRenamed("page_id", "doc_id")
         # Comments open with the company; pages carry real tags and character references.
-        comment = F.concat(F.lit("<b>"), "url", F.lit("</b> | "), "html")
-        entry = F.struct(F.col("doc_id").alias("id"), _every(9, comment).alias("text"))
-        return _responses(pages, feed, LARGE_PAYLOAD, F.to_json(entry), "children")
+        return _responses(_shared(pages, "url", "html"), feed, LARGE_PAYLOAD, lambda d: F.to_json(
+            F.struct(d("doc_id").alias("id"), _every(d, 9, F.concat(
+                F.lit("<b>"), d("url"), F.lit("</b> | "), d("html"))).alias("text"))), "children")
+    shared = _shared(documents(spark, sf_dir), "text", "source", "lang", "n_chars")
+
+    def entry(d: Field) -> Column:
+        return _document_entry(feed, d)
+
     if feed == "wellfound":
-        card = F.concat(
-            F.lit('<div class="x" data-test="JobSearchResult"><h2>'), title, F.lit("</h2>"),
-            F.coalesce(_every(4, F.concat(F.lit("<span>"), source, F.lit("</span>"))), F.lit("")),
-            F.lit('<a href="/jobs/'), F.col("doc_id").cast("string"), F.lit('?a=1&amp;b=2">'),
-            F.coalesce(_place(), F.lit("-")), F.lit("</a><p>"), text, F.lit("</p></div>"))
-        packed = docs.groupBy(F.floor(F.col("doc_id") / LARGE_PAYLOAD).alias("n")).agg(
-            F.array_sort(F.collect_list(F.struct("doc_id", card.alias("e")))).alias("list"))
-        cards = F.array_join(F.transform("list", lambda e: e["e"]), "\n")
-        return _landed(packed, feed, F.concat(F.lit("<html><body>"), cards, F.lit("</body>")))
-    raise ValueError(feed)
+        cards = F.array_join(_entries("docs", entry), "\n")
+        return _landed(shared, feed, F.concat(F.lit("<html><body>"), cards, F.lit("</body>")))
+    size = LARGE_PAYLOAD if feed == "arbeitnow" else SMALL_PAYLOAD
+    return _responses(shared, feed, size, entry, WRAPS[feed])
 
 
-def _field(name: str, value: Column, stretch: int) -> Column:
+def _field(d: Field, name: str, value: Column, stretch: int) -> Column:
     """A JSON field that is absent, null or ``value``, by turns of ``stretch`` documents."""
-    turn = F.floor(F.col("doc_id") / stretch) % 3
+    turn = F.floor(d("doc_id") / stretch) % 3
     text = F.to_json(F.struct(value.alias(name)))
     given = F.nullif(F.substr(text, F.lit(2), F.length(text) - 2), F.lit(""))
     return F.when(turn == 1, F.lit(f'"{name}":null')).when(turn == 2, given)
 
 
-def sparse_landed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    """Responses whose fields are absent, null or given."""
-    docs = table(spark, sf_dir, "documents").withColumn("title", first_line())
-    title, text, source = F.col("title"), F.col("text"), F.col("source")
-    here = F.coalesce(F.array("lang"), F.array().cast("array<string>"))
+def _sparse_entry(feed: str, d: Field) -> Column:
+    title, text, source, lang = first_line(d("text")), d("text"), d("source"), d("lang")
     fields = {
         "remoteok": [("position", title, 1), ("company", source, 2), ("description", text, 4),
-                     ("location", F.col("lang"), 5), ("url", source, 7), ("slug", title, 8),
-                     ("tags", F.array("lang"), 10), ("salary", F.col("n_chars"), 11)],
+                     ("location", lang, 5), ("url", source, 7), ("slug", title, 8),
+                     ("tags", F.array(lang), 10), ("salary", d("n_chars"), 11)],
         "arbeitnow": [("title", title, 1), ("company_name", source, 2), ("description", text, 4),
-                      ("location", F.col("lang"), 5), ("url", source, 7),
-                      ("tags", F.array("lang"), 10), ("remote", F.col("doc_id") % 2 == 0, 11)],
+                      ("location", lang, 5), ("url", source, 7),
+                      ("tags", F.array(lang), 10), ("remote", d("doc_id") % 2 == 0, 11)],
         "adzuna": [("title", title, 1), ("company", F.struct(source.alias("display_name")), 2),
                    ("description", text, 4), ("redirect_url", source, 7),
-                   ("salary_min", F.col("n_chars"), 11)],
+                   ("salary_min", d("n_chars"), 11)],
         "jsearch": [("job_title", title, 1), ("employer_name", source, 2),
-                    ("job_description", text, 4), ("job_city", F.col("lang"), 5),
+                    ("job_description", text, 4), ("job_city", lang, 5),
                     ("job_country", source, 7), ("job_apply_link", source, 8),
-                    ("job_is_remote", F.col("n_chars") % 2, 11)],
+                    ("job_is_remote", d("n_chars") % 2, 11)],
     }[feed]
-    entry = F.concat(F.lit("{"), F.concat_ws(",", *[_field(*f) for f in fields]), F.lit("}"))
-    wrap = {"remoteok": "", "arbeitnow": "data", "adzuna": "results", "jsearch": "data"}[feed]
-    return _responses(docs, feed, SMALL_PAYLOAD, entry, wrap)
+    return F.concat(F.lit("{"), F.concat_ws(",", *[_field(d, *f) for f in fields]), F.lit("}"))
+
+
+def sparse_landed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """Responses whose fields are absent, null or given."""
+    shared = _shared(documents(spark, sf_dir), "text", "source", "lang", "n_chars")
+    return _responses(shared, feed, SMALL_PAYLOAD, lambda d: _sparse_entry(feed, d), WRAPS[feed])
 
 
 #: What a response of each remainder has suffered; 0 is whole.

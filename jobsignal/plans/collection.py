@@ -69,7 +69,7 @@ def collect(landed: DataFrame, filters: CollectionFilters, now: Column | None =
 
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = working_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

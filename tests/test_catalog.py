@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from catalog import check, oracles
+from catalog import views as V
 from catalog.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -61,6 +62,14 @@ def test_first_rows_of_a_group_are_cut_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan and final < exchange < partial
 
 
+def test_documents_are_shuffled_once_for_all_feeds(spark):
+    """Of five feeds that hold the documents, four use the shuffle of the first."""
+    df = V.all_landed(spark, SF_DIR)
+    df.collect()
+    plan = physical_plan(df).split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 4 and plan.count("Scan parquet") == 2
+
+
 @pytest.mark.parametrize("name", ["skill_mentions", "top_skills_per_doc", "match_required_skills",
                                   "skill_list_per_doc", "html_to_text", "category_filter"])
 def test_work_on_single_texts_moves_no_data(spark, name):
