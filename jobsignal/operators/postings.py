@@ -54,6 +54,38 @@ def deduplicate(df: DataFrame, order: Sequence[str] = FEED_ORDER,
     return first_k(keyed, 1, by=[*within, *keys], order=order).drop(*keys)
 
 
+def deduplicate_written(written: DataFrame, order: Sequence[str] = FEED_ORDER,
+                        within: Sequence[str] = ()) -> DataFrame:
+    """Like :func:`deduplicate`, for rows as they are read from Parquet files.
+
+    The rows stay where they are.  Only the keys and the order are shuffled, with the file and the
+    number of each row; the rows taken come back as one bit per row of their file, and every task
+    reads its files once more with these bits at hand.
+    """
+    own = written.columns
+    placed = written.select("*", F.col("_metadata.file_path").alias("_file"),
+                            F.col("_metadata.row_index").alias("_row"))
+    keys = [f"_{c}" for c in DEDUP_KEYS]
+    narrow = placed.select(*within, *order, *dedup_keys(), "_file", "_row")
+    first = first_k(narrow, 1, by=[*within, *keys], order=order)
+    words = first.groupBy(F.col("_file").alias("_of"), F.shiftright("_row", 6).alias("_w")).agg(
+        F.bit_or(F.expr("1L << cast(_row & 63 as int)")).alias("_bits"))
+    taken = words.groupBy("_of").agg(F.array_sort(F.collect_list(F.struct("_w", "_bits")))
+                                     .alias("_words"))
+
+    def from_last(s: Column, i: Column) -> Column:
+        """A word after a zero for each one, since the last of the list, that has no row taken."""
+        last = F.coalesce(F.get("_words", i - 1)["_w"], F.lit(-1).cast("long"))
+        return F.concat(F.array_repeat(F.lit(0).cast("long"), (s["_w"] - last - 1).cast("int")),
+                        F.array(s["_bits"]))
+
+    dense = taken.select("_of", F.flatten(F.transform("_words", from_last)).alias("_words"))
+    word = F.get("_words", F.shiftright("_row", 6).cast("int"))
+    bit = F.bit_get(word, (F.col("_row") % 64).cast("int"))
+    return placed.join(F.broadcast(dense), F.col("_file") == F.col("_of")) \
+        .where(bit == 1).select(*own)
+
+
 def cycle_totals(fetched: DataFrame, sources: Sequence[str],
                  by: Sequence[str] = ()) -> DataFrame:
     """fetched_total, deduplicated_total and by_source (0 for a source without rows) per ``by``.

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsignal.functions.rules import string_array
-from jobsignal.operators.postings import cycle_totals, deduplicate, select_sources, union_feeds
+from jobsignal.operators.postings import (
+    cycle_totals, deduplicate, deduplicate_written, select_sources, union_feeds,
+)
 from jobsignal.operators.requests import CollectionFilters
 from jobsignal.schema import CYCLE_STATS
 from jobsignal.session import working_folder
@@ -17,6 +19,10 @@ from jobsignal.sources import messages
 from jobsignal.sources.feeds import ADAPTERS, FEEDS, iso_now, rejected
 
 
+# --- fixed values: how files of sent messages are written ------------------------------------
+SENT_FILES = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
+
 @dataclass(frozen=True)
 class Collection:
     """A run.  ``fetched`` are all postings, written down once; ``postings`` the distinct ones, and
@@ -36,10 +42,15 @@ class Collection:
     def send(self, kind: str, location: str, topic: str = messages.TOPIC) -> DataFrame:
         """Publish the distinct postings; the statistics with what was sent.
 
-        Raises if the sink took another number of messages than there are postings.
+        The texts are sent from the files that they were written to; only what tells postings apart
+        is shuffled.  Files of messages are compressed.  The statistics are made once, as they are
+        compared with what was sent.  Raises if the sink took another number of messages than there
+        are postings.
         """
-        taken = messages.publish(self.postings, kind, location, topic)
-        stats = self.stats(sent=True)
+        postings = deduplicate_written(self.fetched, within=("cycle",))
+        options = SENT_FILES if kind == "files" else {}
+        taken = messages.publish(postings, kind, location, topic, **options)
+        stats = _written(self.stats(sent=True), "stats")
         due = stats.agg(F.coalesce(F.sum("sent_total"), F.lit(0))).first()[0]
         if taken != due:
             raise RuntimeError(f"{taken} messages sent of {due}")

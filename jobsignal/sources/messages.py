@@ -63,18 +63,19 @@ def to_messages(postings: DataFrame) -> DataFrame:
     return postings.select(F.to_json(row, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def publish(postings: DataFrame, kind: str, location: str, topic: str = TOPIC) -> int:
+def publish(postings: DataFrame, kind: str, location: str, topic: str = TOPIC,
+            **options: str) -> int:
     """Send postings to the topic, or append them to a folder of JSON lines; how many were sent.
 
-    The number is counted while the messages are written.
+    The number is counted while the messages are written.  ``options`` are those of the writer.
     """
     sent = Observation()
     messages = to_messages(postings).observe(sent, F.count("*").alias("n"))
     if kind == "kafka":
         (messages.write.format("kafka").option("kafka.bootstrap.servers", location)
-         .option("topic", topic).save())
+         .option("topic", topic).options(**options).save())
     elif kind == "files":
-        messages.write.mode("append").text(location)
+        messages.write.mode("append").options(**options).text(location)
     else:
         raise ValueError(f"unknown message sink {kind!r}")
     return sent.get["n"]

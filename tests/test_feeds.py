@@ -213,6 +213,38 @@ def test_first_posting_wins(spark):
     assert sorted(r["o"] for r in got) == sorted(r[0] for r in model.dedup(rows))
 
 
+def test_first_posting_wins_where_rows_are_written(spark, tmp_path):
+    """Files of several words of bits, words without a row that is taken, and a file without any."""
+    values = ["a", " A ", "b\t", "B", "", None, " "]
+    rows = [(i % 3, i, values[i * 5 % 7], values[i % 7], values[i * 3 % 7], "x" * (i % 50))
+            for i in range(400)]
+    rows += [(0, 400 + i, f"t{i // 150}", None, None, "y") for i in range(600)]
+    columns = "cycle int, o int, title string, company string, location string, description string"
+    spark.createDataFrame(rows, columns).coalesce(1).write.parquet(str(tmp_path / "w"))
+    spark.createDataFrame([(*r[:1], r[1] + 5000, *r[2:]) for r in rows[:300]], columns) \
+        .repartition(3).write.mode("append").parquet(str(tmp_path / "w"))
+    written = spark.read.schema(columns).parquet(str(tmp_path / "w"))
+    found = P.deduplicate_written(written, order=["o"], within=["cycle"])
+    assert found.columns == written.columns
+    want = P.deduplicate(written, order=["o"], within=["cycle"]).collect()
+    assert sorted(found.collect(), key=lambda r: r["o"]) == sorted(want, key=lambda r: r["o"])
+    assert P.deduplicate_written(written.where("o < 0"), order=["o"]).count() == 0
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "description" not in plan[plan.index("Aggregate"):].split("Relation")[0]
+
+
+def test_sent_messages_are_the_postings(spark, tmp_path):
+    done = collect(cycle(spark), FILTERS, F.lit(NOW))
+    out = str(tmp_path / "sent")
+    sent = sum(r["sent_total"] for r in done.send("files", out).collect())
+    got = [json.loads(r["value"]) for r in spark.read.text(out).collect()]
+    want = [r.asDict() for r in done.postings.select(*POSTING.fieldNames()).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and sent == len(got) > 0
+    assert all(f.name.endswith(".gz") for f in (tmp_path / "sent").glob("part-*"))
+    folder = done.fetched.inputFiles()
+    assert folder and all(f.endswith(".zstd.parquet") for f in folder)
+
+
 def test_iso_now_is_utc_whatever_the_session_says(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:
