@@ -150,7 +150,7 @@ def table_mentions(spark, sf):
 @query
 def opening_mentions(spark, sf):
     """Where the openings of all texts, their first two words, occur in any text."""
-    words = F.split("text", " ")
+    words = F.split("text", " ", 3)  # the rest of the text stays uncut
     pair = F.array_join(F.slice(words, 1, 2), " ")
     plain = F.rlike(F.get(words, F.lit(0)), F.lit(r"^[A-Za-z]+$")) \
         & F.rlike(F.get(words, F.lit(1)), F.lit(r"^[A-Za-z]+$"))

@@ -2,7 +2,8 @@
 
 Each term is filed under one of its words, the one that fewest terms have.  A bitmap of hashes, of
 the word and of its neighbour in the term, says which words of a text could begin a look-up; they
-leave the text with the few words around them and are joined with the filed terms.  Whether the
+leave the text with the few words around them and are joined, by that hash, with the filed terms, so
+that a word meets only terms that have its neighbour too.  Whether the
 rest of the term stands there, in its place, is then seen from the surroundings alone.  No term is
 part of the plan, so a dictionary may have any number of them; the planner broadcasts the filed
 terms if it measures them as small, and else only the words that passed the bitmap are shuffled.
@@ -14,13 +15,14 @@ word character either a word character (``boundary="word"``) or none (``"token"`
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsignal.dictionaries import SkillDictionary
 from jobsignal.functions.skills import NON_WORDS
-from jobsignal.functions.text import bind, blank_to
+from jobsignal.functions.text import blank_to
 from jobsignal.operators.bitmap import bitmap, bits_for, hashed, may_contain
 from jobsignal.session import working_folder
 
@@ -37,7 +39,7 @@ def term_table(spark: SparkSession, dictionaries: dict[str, SkillDictionary]) ->
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, NON_WORDS), lambda w: w != "")
+    return F.array_remove(F.split(text, NON_WORDS), "")
 
 
 def _is_word(char: Column) -> Column:
@@ -90,46 +92,58 @@ def filed_terms(terms: DataFrame) -> DataFrame:
     return terms.sparkSession.read.schema(out.schema).parquet(path)
 
 
-def _places(low: Column, reach: int, marks: Column, bits: int) -> Column:
-    """The words of a text that pass the bitmap, each with its place and what stands within
-    ``reach`` words of it."""
-    pieces = F.regexp_extract_all(low, F.lit(_PIECE), F.lit(0))
-
-    def around(parts: Column, words: Column, marked: Column) -> Column:
-        def passes(*key: Column) -> Column:
-            return may_contain(marked, hashed(*key), bits)
-
-        def place(word: Column, i: Column) -> Column:
-            start = F.greatest(i - reach, F.lit(0))
-            own = F.get(parts, i)
-            before = F.concat(F.array_join(F.slice(parts, start + 1, i - start), ""),
-                              F.left(own, F.length(own) - F.length(word)))
-            after = F.array_join(F.slice(parts, i + 2, F.lit(reach + 1)), "")
-            found = passes(word)
-            if reach > 1:
-                found = found | passes(word, F.get(words, i + 1)) \
-                    | passes(F.get(words, F.when(i > 0, i - 1)), word)
-            return F.when(found, F.struct(i.alias("i"), word.alias("word"), before.alias("left"),
-                                          after.alias("right")))
-
-        return F.filter(F.transform(words, place), lambda p: p.isNotNull())
+def _cut_texts(texts: DataFrame, keys: Sequence[str], text: Column) -> DataFrame:
+    """(*keys, _pieces, _words, i, word): one row per word, in a text that was cut once.
 
+    The words leave their text before anything is looked up, as Spark compiles what is done to a
+    row, but not what is done to the elements of a list.
+    """
+    low = texts.select(*keys, F.lower(blank_to(text, "")).alias("_low"))
     # The last piece may have no word.
-    return bind(pieces, lambda parts: bind(_words(low), lambda words: bind(
-        marks, lambda marked: around(parts, words, marked))))
+    cut = low.select(*keys, F.regexp_extract_all("_low", F.lit(_PIECE), F.lit(0)).alias("_pieces"),
+                     _words(F.col("_low")).alias("_words"))
+    # The outer form keeps the optimizer from cutting every text a second time for a "list is not
+    # empty" filter below the generator.
+    return cut.select(*keys, "_pieces", "_words", F.posexplode_outer("_words").alias("i", "word"))
+
+
+def _places(words: DataFrame, keys: Sequence[str], reach: int, marked: Column,
+            bits: int) -> DataFrame:
+    """(*keys, i, word, left, right, mark): the words that pass the bitmap, each with its place,
+    what stands within ``reach`` words of it, and every mark that it passed with."""
+    i, word = F.col("i"), F.col("word")
+
+    def marks(next_word: Column, word_before: Column) -> list[Column]:
+        return [hashed(word)] + ([hashed(word, next_word), hashed(word_before, word)]
+                                 if reach > 1 else [])
+
+    start = F.greatest(i - reach, F.lit(0))
+    own = F.get("_pieces", i)
+    before = F.concat(F.array_join(F.slice("_pieces", start + 1, i - start), ""),
+                      F.left(own, F.length(own) - F.length(word)))
+    after = F.array_join(F.slice("_pieces", i + 2, F.lit(reach + 1)), "")
+    following, preceding = F.get("_words", i + 1), F.get("_words", i - 1)
+    passed = reduce(Column.__or__, [may_contain(marked, m, bits)
+                                    for m in marks(following, preceding)])
+    found = words.where(word.isNotNull() & passed).select(
+        *keys, "i", "word", before.alias("left"), after.alias("right"),
+        following.alias("_next"), preceding.alias("_last"))
+    # Between two equal words both neighbours give the same mark.  A list that is filtered ends the
+    # compiled code above, which Java optimizes only while it is short.
+    own_marks = F.filter(F.array_distinct(F.array(*marks(F.col("_next"), F.col("_last")))),
+                         lambda m: m.isNotNull())
+    return found.select(*keys, "i", "word", "left", "right", F.explode_outer(own_marks)
+                        .alias("mark")).where(may_contain(marked, F.col("mark"), bits))
 
 
 def term_places(texts: DataFrame, keys: Sequence[str], text: Column, filed: DataFrame) -> DataFrame:
     """(*keys, dict_id, term, skill, ...): every place where a term stands in a text."""
     n, reach = filed.agg(F.count("*"), F.coalesce(F.max("size"), F.lit(1))).first()
     bits = bits_for(n)
-    # A subquery: its value is made once, and rows carry it from the scan to the generator only.
-    marked = texts.select(*keys, text.alias("_text"), bitmap(filed, "mark", bits).scalar().alias("_bitmap"))
-    places = bind(F.lower(blank_to(F.col("_text"), "")),
-                  lambda low: _places(low, reach, F.col("_bitmap"), bits))
-    low = marked.select(*keys, F.explode_outer(places).alias("p")) \
-        .where(F.col("p").isNotNull()).select(*keys, "p.*")
-    there = low.join(filed, "word").where(
+    # A subquery: its value is made once and is part of the compiled filter.
+    marked = bitmap(filed, "mark", bits).scalar()
+    low = _places(_cut_texts(texts, keys, text), keys, reach, marked, bits)
+    there = low.join(filed, ["mark", "word"]).where(
         F.endswith("left", "head") & F.startswith("right", "tail"))
     inner = F.left("left", F.length("left") - F.length("head"))
     outer = F.substr("right", F.length("tail") + 1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobsignal.dictionaries import POSTINGS, RESUMES, SkillDictionary
 from jobsignal.operators import extraction
+from jobsignal.operators.bitmap import bitmap, bits_for, hashed, may_contain
 from jobsignal.operators.term_table import TERMS, filed_terms, table_mentions, term_table
 
 WORD = r"[^\W]"
@@ -78,3 +79,24 @@ def test_a_hundred_thousand_terms(spark):
     assert abs(plan_size(found) - plan_size(few)) < 200
     assert not re.search("NestedLoop|Cartesian|Python", found._jdf.queryExecution()
                          .executedPlan().toString())
+
+
+def test_words_are_tested_one_by_one_in_compiled_code(spark):
+    """Words leave a text before the bitmap is asked, and meet the terms by its hash."""
+    terms = term_table(spark, {"t": TRICKY})
+    df = spark.createDataFrame([(1, "a a a b a b, a a")], "id long, text string")
+    aa = spark.createDataFrame([("d", "a a", "AA", None), ("d", "b a", "BA", None)], TERMS)
+    got = {r.skill: r.mentions for r in table_mentions(df, ["id"], F.col("text"), aa).collect()}
+    assert got == {"AA": 2, "BA": 1}
+    plan = table_mentions(df, ["id"], F.col("text"), terms)._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    assert "posexplode(_words" in plan and "(mark#" in plan[plan.index("Join"):].split("\n")[0]
+
+
+def test_two_bits_a_key_let_few_others_pass(spark):
+    bits = bits_for(3000)
+    marks = spark.range(3000).select(hashed("id").alias("k"))
+    others = spark.range(10_000, 110_000).select(hashed("id").alias("k"))
+    passed = others.crossJoin(bitmap(marks, "k", bits)) \
+        .where(may_contain(F.col("bitmap"), F.col("k"), bits)).count()
+    assert passed < 300
